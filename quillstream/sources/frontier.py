@@ -27,8 +27,9 @@ def read_newest_id(path: str) -> int:
 
 def id_ranges(last: int, newest: int, chunk: int) -> Iterator[tuple[int, int]]:
     """(last, newest] as closed ranges of at most ``chunk`` ids."""
-    for first in range(last + 1, newest + 1, chunk):
-        yield first, min(first + chunk - 1, newest)
+    starts = range(last + 1, newest + 1, chunk)
+    # Spark copies the iterator, which a generator does not allow.
+    return iter([(first, min(first + chunk - 1, newest)) for first in starts])
 
 
 class FrontierReader(SimpleDataSourceStreamReader):
