@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from quillstream.functions.arrays import let, prefix_sums
 
-WHITESPACE = " \t\n\x0b\f\r"
 SPACE = r"[ \t\n\x0B\f\r]"
+# The same characters as an SQL string.
+BLANKS = r"' \t\n\u000B\u000C\r'"
 # A sentence ends with a run of . ! ? that whitespace follows; the rest of the text is the last one.
 SENTENCE = rf"(?s).*?[.!?]+{SPACE}+|.+"
 # Words may hold inner apostrophes and hyphens; any other visible character is a token of its own.
@@ -20,98 +21,77 @@ TOKEN = r"[\p{L}\p{N}_]+(?:['-][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
 WORD = r"^[\p{L}\p{N}_]"
 
 
-def annotation(
-    kind: str,
-    begin: Column,
-    end: Column,
-    result: Column,
-    sentence: Column | None = None,
-    metadata: Column | None = None,
-    embeddings: Column | None = None,
-) -> Column:
-    """One annotation struct. ``sentence`` is kept in the metadata, as text."""
-    if metadata is None:
-        number = F.lit("0") if sentence is None else sentence.cast("string")
-        metadata = F.create_map(F.lit("sentence"), number)
-    if embeddings is None:
-        embeddings = F.array().cast("array<float>")
-    return F.struct(
-        F.lit(kind).alias("annotatorType"),
-        begin.cast("int").alias("begin"),
-        end.cast("int").alias("end"),
-        result.alias("result"),
-        metadata.alias("metadata"),
-        embeddings.alias("embeddings"),
-    )
+def pattern(regex: str) -> str:
+    """A regular expression as an SQL string without escapes."""
+    return f'r"{regex}"'
 
 
-def sentence_number(ann: Column) -> Column:
-    """The sentence an annotation belongs to."""
-    return ann["metadata"]["sentence"].cast("int")
-
-
-def document(text: Column) -> Column:
+def annotation(
+    kind: str,
+    begin: str,
+    end: str,
+    result: str,
+    metadata: str = "map('sentence', '0')",
+    embeddings: str = "cast(array() AS array<float>)",
+) -> str:
+    """One annotation struct, in SQL."""
+    return f"""named_struct('annotatorType', '{kind}', 'begin', {begin}, 'end', {end},
+      'result', {result}, 'metadata', {metadata}, 'embeddings', {embeddings})"""
+
+
+def document(text: str) -> Column:
     """The whole text as an array of one annotation; empty for NULL."""
-    whole = F.array(annotation("document", F.lit(0), F.length(text) - 1, text))
-    return F.filter(whole, lambda d: d["result"].isNotNull())
+    whole = annotation("document", "0", f"length({text}) - 1", text)
+    return F.expr(f"filter(array({whole}), d -> d.result IS NOT NULL)")
 
 
-def sentences(documents: Column) -> Column:
+def sentences(documents: str) -> Column:
     """Sentence annotations of every document annotation, numbered from 0."""
-
-    def split(doc: Column) -> Column:
-        pieces = F.regexp_extract_all(doc["result"], F.lit(SENTENCE), F.lit(0))
-
-        def spans(p: Column) -> Column:
-            def build(ends: Column) -> Column:
-                def one(piece: Column, i: Column) -> Column:
-                    begin = doc["begin"] + F.get(ends, i) - F.length(piece)
-                    stripped = F.rtrim(piece, F.lit(WHITESPACE))
-                    return annotation(
-                        "document", begin, begin + F.length(stripped) - 1, stripped, sentence=i
-                    )
-
-                # Only a text of nothing but whitespace yields a blank piece.
-                return F.filter(F.transform(p, one), lambda s: s["result"] != "")
-
-            return let(prefix_sums(F.transform(p, F.length)), build)
-
-        return let(pieces, spans)
-
-    return F.flatten(F.transform(documents, split))
+    one = let(
+        "start",
+        "doc.begin + get(ends, i) - length(piece)",
+        let(
+            "kept",
+            f"trim(TRAILING {BLANKS} FROM piece)",
+            annotation(
+                "document",
+                "start",
+                "start + length(kept) - 1",
+                "kept",
+                "map('sentence', cast(i AS string))",
+            ),
+        ),
+    )
+    # Only a text of nothing but whitespace yields a blank piece.
+    spans = f"filter(transform(pieces, (piece, i) -> {one}), s -> s.result <> '')"
+    lengths = prefix_sums("transform(pieces, p -> length(p))")
+    cut = f"regexp_extract_all(doc.result, {pattern(SENTENCE)}, 0)"
+    split = let("pieces", cut, let("ends", lengths, spans))
+    return F.expr(f"flatten(transform({documents}, doc -> {split}))")
 
 
-def tokens(units: Column) -> Column:
+def tokens(units: str) -> Column:
     """Word and punctuation annotations of every sentence (or document) annotation.
 
     One regex pass takes each token with the whitespace before it; nothing lies between two such
     pieces, so running lengths are the offsets.
     """
-    gap_and_token = f"{SPACE}*(?:{TOKEN})"
-
-    def split(unit: Column) -> Column:
-        pieces = F.regexp_extract_all(unit["result"], F.lit(gap_and_token), F.lit(0))
-
-        def spans(p: Column) -> Column:
-            def build(ends: Column) -> Column:
-                def one(piece: Column, i: Column) -> Column:
-                    token = F.ltrim(piece, F.lit(WHITESPACE))
-                    end = unit["begin"] + F.get(ends, i) - 1
-                    return annotation(
-                        "token",
-                        end - F.length(token) + 1,
-                        end,
-                        token,
-                        metadata=unit["metadata"],
-                    )
-
-                return F.transform(p, one)
-
-            return let(prefix_sums(F.transform(p, F.length)), build)
-
-        return let(pieces, spans)
-
-    return F.flatten(F.transform(units, split))
+    one = let(
+        "tok",
+        f"trim(LEADING {BLANKS} FROM piece)",
+        annotation(
+            "token",
+            "unit.begin + get(ends, i) - length(tok)",
+            "unit.begin + get(ends, i) - 1",
+            "tok",
+            "unit.metadata",
+        ),
+    )
+    spans = f"transform(pieces, (piece, i) -> {one})"
+    lengths = prefix_sums("transform(pieces, p -> length(p))")
+    cut = f"regexp_extract_all(unit.result, {pattern(f'{SPACE}*(?:{TOKEN})')}, 0)"
+    split = let("pieces", cut, let("ends", lengths, spans))
+    return F.expr(f"flatten(transform({units}, unit -> {split}))")
 
 
 def token_texts(text: Column) -> Column:

@@ -9,24 +9,25 @@ from pyspark.sql import functions as F
 from quillstream.functions import text as X
 from quillstream.functions.keywords import keywords
 from quillstream.functions.stopwords import ENGLISH
+from quillstream.operators.rows import each
 
 
 def with_document(items: DataFrame) -> DataFrame:
-    return items.withColumn("document", X.document(F.col("text")))
+    return items.withColumn("document", X.document("text"))
 
 
 def with_sentences(items: DataFrame) -> DataFrame:
-    return items.withColumn("sentence", X.sentences(F.col("document")))
+    return items.withColumn("sentence", X.sentences("document"))
 
 
 def with_tokens(items: DataFrame, units: str = "sentence") -> DataFrame:
     """Tokens of the sentences or, with ``units="document"``, of the whole text."""
-    return items.withColumn("token", X.tokens(F.col(units)))
+    return items.withColumn("token", X.tokens(units))
 
 
 def with_keywords(items: DataFrame, **options) -> DataFrame:
     """Keywords from the token column; options as in ``functions.keywords.keywords``."""
-    return items.withColumn("keywords", keywords(F.col("token"), **options))
+    return items.withColumn("keywords", keywords("token", **options))
 
 
 def with_whitespace_tokens(items: DataFrame) -> DataFrame:
@@ -47,5 +48,4 @@ def without_stop_words(items: DataFrame) -> DataFrame:
 
 def annotation_rows(items: DataFrame, column: str, *keep: str) -> DataFrame:
     """One row per annotation of a column: the kept columns, position, and the annotation's fields."""
-    exploded = items.select(*keep, F.posexplode(column).alias("position", "ann"))
-    return exploded.select(*keep, "position", "ann.*")
+    return each(items, column, "ann", *keep).select(*keep, "position", "ann.*")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.functions.arrays import group_runs
+from quillstream.operators.rows import each
 
 # A term table up to this many rows (some tens of MB) is broadcast; its size is known from the fit.
 BROADCAST_TERMS = 500_000
@@ -21,26 +22,23 @@ def hashed_term_frequency(items: DataFrame, buckets: int = 1 << 18) -> DataFrame
     return HashingTF(inputCol="tokens", outputCol="raw_tf", numFeatures=buckets).transform(items)
 
 
-def term_counts(tokens: Column) -> Column:
+def term_counts(tokens: str) -> Column:
     """Distinct terms of a token array with their counts. A document is one row, so sorting its
     tokens and cutting the runs counts them without a shuffle."""
-    runs = group_runs(F.sort_array(tokens))
-    return F.transform(
-        runs,
-        lambda r: F.struct(F.get(r, F.lit(0)).alias("term"), F.size(r).cast("long").alias("tf")),
-    )
+    runs = group_runs(f"sort_array({tokens})")
+    count = "named_struct('term', get(run, 0), 'tf', cast(size(run) AS bigint))"
+    return F.expr(f"transform({runs}, run -> {count})")
 
 
 def term_frequency(items: DataFrame, key: str = "id") -> DataFrame:
     """Exact counts: one row per item and distinct term. Narrow: no shuffle."""
-    counted = items.select(key, F.explode(term_counts(F.col("tokens"))).alias("t"))
-    return counted.select(key, "t.term", "t.tf")
+    return each(items, term_counts("tokens"), "t", key).select(key, "t.term", "t.tf")
 
 
 def document_frequency(items: DataFrame) -> DataFrame:
     """Number of items that hold each term. Map tasks add up first, so a term of every document
     reaches the shuffle as one row per task."""
-    terms = items.select(F.explode(F.array_distinct("tokens")).alias("term"))
+    terms = each(items, F.array_distinct("tokens"), "term")
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 

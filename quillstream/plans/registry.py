@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import text as X
 from quillstream.operators import annotate, classify, embed, ingest, records, terms
+from quillstream.operators.rows import each
 from quillstream.plans import jobs
 from quillstream.session import scratch_path, spread
 from quillstream.sources import archive, frontier, tables
@@ -203,12 +204,12 @@ def _whitespace_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ws_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return _whitespace_tokens(spark, sf).select("id", F.posexplode("tokens").alias("position", "term"))
+    return each(_whitespace_tokens(spark, sf), "tokens", "term", "id")
 
 
 def stop_words(spark: SparkSession, sf: str) -> DataFrame:
     kept = annotate.without_stop_words(_whitespace_tokens(spark, sf))
-    return kept.select("id", F.posexplode("filtered_token").alias("position", "term"))
+    return each(kept, "filtered_token", "term", "id")
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,9 +240,8 @@ def hashing_tf(spark: SparkSession, sf: str) -> DataFrame:
         F.get_json_object(F.to_json(F.struct("raw_tf")), "$.raw_tf"),
         "indices array<int>, values array<double>",
     )
-    pairs = rows.select("id", parts.alias("v")).select(
-        "id", F.explode(F.arrays_zip("v.indices", "v.values")).alias("p")
-    )
+    parsed = rows.select("id", parts.alias("v"))
+    pairs = each(parsed, F.arrays_zip("v.indices", "v.values"), "p", "id")
     return pairs.select("id", F.col("p.indices").alias("bucket"), F.col("p.values").alias("tf"))
 
 
