@@ -43,10 +43,9 @@ def latest_rows(rows: DataFrame, key: str, sequence: str | None = None) -> DataF
     """
     content = F.xxhash64(*[F.col(c) for c in rows.columns])
     order = F.struct(F.col(sequence), content) if sequence else content
-    newest = rows.groupBy(F.col(key).alias("_key")).agg(
-        F.max_by(F.struct("*"), order).alias("_row")
-    )
-    return newest.select("_row.*")
+    newest = rows.groupBy(key).agg(F.max_by(F.struct("*"), order).alias("_row"))
+    # The key comes from the grouping, so a join on it reuses the grouping's partitions.
+    return newest.select(*[F.col(c if c == key else f"_row.{c}") for c in rows.columns])
 
 
 def item_lookup(ids: DataFrame, items: DataFrame, sequence: str | None = None) -> DataFrame:

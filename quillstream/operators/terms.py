@@ -9,7 +9,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.functions.arrays import group_runs
+from quillstream.functions.arrays import map_runs
 from quillstream.operators.rows import each
 
 # A term table up to this many rows (some tens of MB) is broadcast; its size is known from the fit.
@@ -25,9 +25,8 @@ def hashed_term_frequency(items: DataFrame, buckets: int = 1 << 18) -> DataFrame
 def term_counts(tokens: str) -> Column:
     """Distinct terms of a token array with their counts. A document is one row, so sorting its
     tokens and cutting the runs counts them without a shuffle."""
-    runs = group_runs(f"sort_array({tokens})")
     count = "named_struct('term', get(run, 0), 'tf', cast(size(run) AS bigint))"
-    return F.expr(f"transform({runs}, run -> {count})")
+    return F.expr(map_runs(f"sort_array({tokens})", count))
 
 
 def term_frequency(items: DataFrame, key: str = "id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstream.functions.keywords import ACRONYM, CAPITAL, LETTER, SCORE_PLACES
+from quillstream.functions.keywords import ACRONYM, CAPITAL, LETTER, SCORE_UNIT
 from quillstream.functions.stopwords import ENGLISH
 from quillstream.functions.text import SPACE, TOKEN, WORD
 from quillstream.sources.tables import FIRST_EPOCH
@@ -125,8 +125,8 @@ gram AS (
   FROM ahead WHERE edge AND edge2 AND s2 = s AND pos2 = pos + 2),
 keyword AS (
   SELECT id, text, arg_min(b, pos) AS b, arg_min(e, pos) AS e,
-    round(arg_min(product, pos) / (count(*) * (1.0::DOUBLE + arg_min(total, pos))), {SCORE_PLACES})
-      AS score
+    floor(arg_min(product, pos) / (count(*) * (1.0::DOUBLE + arg_min(total, pos)))
+      * {SCORE_UNIT}::DOUBLE + 0.5::DOUBLE) / {SCORE_UNIT}::DOUBLE AS score
   FROM gram GROUP BY id, text),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY score, text) AS rank

@@ -61,30 +61,14 @@ def stream_frontier(spark: SparkSession, sf: str) -> DataFrame:
     newest = _max(tables.read_table(spark, sf, "events"), "event_id")
     work = scratch_path(spark, "frontier")
     out, checkpoint = f"{work}/ids", f"{work}/checkpoint"
-    for poll, seen in enumerate((last, newest)):
-        # One file per poll result, written by Spark so that it lands on the shared folder.
-        polled = f"{work}/poll-{poll}"
-        spark.range(1).select(F.lit(str(seen)).alias("value")).coalesce(1).write.text(polled)
-        _publish_mark(spark, polled, f"{work}/newest")
+    for seen in (last, newest):
+        poll = spark.range(1).select(F.lit(str(seen)).alias("value"))
+        poll.write.mode("append").text(f"{work}/newest")
         ids = frontier.frontier_stream(spark, f"{work}/newest", chunk=1000)
         io.drain(io.write_files(ids, out, checkpoint))
     return spark.read.schema("id bigint").parquet(out)
 
 
-def _publish_mark(spark: SparkSession, polled: str, target: str) -> None:
-    """Put the one text file of a poll in the place that the source reads."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path
-    filesystem = path(polled).getFileSystem(conf)
-    part = next(
-        s.getPath() for s in filesystem.listStatus(path(polled)) if s.getPath().getName().startswith("part-")
-    )
-    jvm.org.apache.hadoop.fs.FileUtil.copy(
-        filesystem, part, filesystem, path(target), False, True, conf
-    )
-
-
 def backfill_range(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.backfill_ids(spark, _max(tables.read_table(spark, sf, "events"), "event_id"))
 
@@ -333,7 +317,7 @@ def annotate_stream(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_path(spark, "annotate")
     topic = tables.land_topic(_items(spark, sf), "id", f"{work}/topic")
     fitted = jobs.compose(jobs.text_stages(), _items(spark, sf).select("id", "text"))
-    stream = jobs.prepare(io.read_record_files(spark, topic, max_per_trigger=2))
+    stream = jobs.prepare(io.read_record_files(spark, topic, max_per_trigger=8))
     rows = fitted.transform(stream).select(
         "id",
         F.size("sentence").alias("sentences"),
@@ -431,7 +415,7 @@ def _event_topic(spark: SparkSession, sf: str, work: str) -> str:
 def stream_source(spark: SparkSession, sf: str) -> DataFrame:
     """All records of a topic, decoded, in several batches."""
     work = scratch_path(spark, "source")
-    raw = io.read_record_files(spark, _event_topic(spark, sf, work), max_per_trigger=2)
+    raw = io.read_record_files(spark, _event_topic(spark, sf, work), max_per_trigger=8)
     io.drain(io.write_files(records.decode_records(raw), f"{work}/out", f"{work}/checkpoint"))
     return spark.read.parquet(f"{work}/out")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -28,6 +29,11 @@ def build_session(app: str = "quillstream", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="quillstream-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that every executor can see.
 
@@ -38,8 +44,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="quillstream-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_scratch()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

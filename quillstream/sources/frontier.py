@@ -17,12 +17,20 @@ CHUNK = 100_000
 
 
 def read_newest_id(path: str) -> int:
-    """The newest id, as text in a file on any file system that Arrow knows."""
+    """The newest id: the number in a text file, or the highest number in the files of a folder to
+    which every poll adds one. Any file system that Arrow knows will do."""
     from pyarrow import fs
 
-    filesystem, name = fs.FileSystem.from_uri(path)
-    with filesystem.open_input_stream(name) as file:
-        return int(file.read().decode().strip())
+    filesystem, name = fs.FileSystem.from_uri(path.removeprefix("file:") if "://" not in path else path)
+    files = [name]
+    if filesystem.get_file_info(name).type == fs.FileType.Directory:
+        found = filesystem.get_file_info(fs.FileSelector(name))
+        files = [f.path for f in found if f.is_file and f.base_name[0] not in "._"]
+    numbers = []
+    for file in files:
+        with filesystem.open_input_stream(file) as stream:
+            numbers += [int(n) for n in stream.read().split()]
+    return max(numbers)
 
 
 def id_ranges(last: int, newest: int, chunk: int) -> Iterator[tuple[int, int]]:
@@ -51,7 +59,7 @@ class FrontierReader(SimpleDataSourceStreamReader):
 
 
 class FrontierSource(DataSource):
-    """Options: path (file with the newest id), startId (optional mark), chunk (ids per range)."""
+    """Options: path (where the newest id is), startId (optional mark), chunk (ids per range)."""
 
     @classmethod
     def name(cls) -> str:

@@ -52,7 +52,7 @@ def as_topic(rows: DataFrame, key: str, topic: str = "items") -> DataFrame:
     )
 
 
-def land_topic(rows: DataFrame, key: str, path: str, files: int = 4) -> str:
+def land_topic(rows: DataFrame, key: str, path: str, files: int = 16) -> str:
     """Write a topic as parquet files, the offline stand-in for a broker."""
     as_topic(rows, key).repartition(files, "offset").write.parquet(path)
     return path
