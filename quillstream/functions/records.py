@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillstream.schema import ITEM
 
@@ -18,7 +19,7 @@ def whole_row_json() -> Column:
     return F.to_json(F.struct("*"))
 
 
-def parse_item(value: Column, schema=ITEM) -> Column:
+def parse_item(value: Column, schema: T.StructType = ITEM) -> Column:
     """JSON text as an item struct. Text that is not a JSON object gives NULL fields, no error."""
     return F.from_json(value, schema)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillstream.functions import records as R
 from quillstream.schema import ITEM
@@ -16,9 +17,11 @@ def decode_records(records: DataFrame) -> DataFrame:
     return records.select(F.col("key").cast("string"), F.col("value").cast("string"))
 
 
-def parse_items(records: DataFrame, schema=ITEM) -> DataFrame:
+def parse_items(records: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Item columns of every record, with its key. A payload that is no JSON object gives a row of
-    NULL fields (a ghost)."""
+    NULL fields (a ghost). Name the fields a job needs: Spark narrows the schema of a parse by
+    itself only where a single field is used."""
+    schema = T.StructType([f for f in ITEM.fields if fields is None or f.name in fields])
     parsed = decode_records(records).select("key", R.parse_item(F.col("value"), schema).alias("data"))
     return parsed.select("key", "data.*")
 
@@ -29,9 +32,14 @@ def drop_ghosts(items: DataFrame) -> DataFrame:
 
 
 def normalize_items(items: DataFrame, text_fill: str = "") -> DataFrame:
-    """Fill NULL text columns and scores, and turn epoch seconds into timestamps."""
-    filled = items.na.fill(text_fill, FILLED).na.fill(0, ["score"])
-    return filled.withColumn("time", R.epoch_timestamp(F.col("time")))
+    """Fill NULL text columns and scores, and turn epoch seconds into timestamps, in those of the
+    columns that are there."""
+    filled = items.na.fill(text_fill, [c for c in FILLED if c in items.columns])
+    if "score" in items.columns:
+        filled = filled.na.fill(0, ["score"])
+    if "time" in items.columns:
+        filled = filled.withColumn("time", R.epoch_timestamp(F.col("time")))
+    return filled
 
 
 def item_text(items: DataFrame) -> DataFrame:

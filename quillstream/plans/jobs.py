@@ -110,7 +110,7 @@ def compose(stages: list, items: DataFrame) -> PipelineModel:
 
 def prepare(raw: DataFrame, text_fill: str = "", keep_ghosts: bool = True) -> DataFrame:
     """Records to id and text: decode, parse, fill, project."""
-    items = records.parse_items(raw)
+    items = records.parse_items(raw, ["id", "text"])
     if not keep_ghosts:
         items = records.drop_ghosts(items)
     return records.item_text(records.normalize_items(items, text_fill))
@@ -128,5 +128,5 @@ def annotate_sentences(raw: DataFrame, fitted: PipelineModel) -> DataFrame:
 
 def count_words(raw: DataFrame) -> DataFrame:
     """Records to normalized items with their word count: the main job without models."""
-    items = records.normalize_items(records.parse_items(raw))
+    items = records.normalize_items(records.parse_items(raw, ["id", "by", "time", "text"]))
     return items.select("key", "id", "by", "time", word_count(F.col("text")).alias("wordCount"))

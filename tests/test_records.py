@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import records as R
 from quillstream.operators import records
+from quillstream.plans import jobs
 from quillstream.schema import RECORD
 
 PRETTY = """{
@@ -99,6 +100,6 @@ def test_encode_leaves_nulls_out(spark):
 
 def test_unused_fields_are_not_parsed(raw):
     """Only id and text reach the parser when only they are wanted."""
-    wanted = records.item_text(records.normalize_items(records.parse_items(raw)))
+    wanted = jobs.prepare(raw)
     plan = wanted._jdf.queryExecution().optimizedPlan().toString()
     assert "StructField(text,StringType,true)" in plan and "StructField(url" not in plan
