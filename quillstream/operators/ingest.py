@@ -52,9 +52,11 @@ def item_lookup(ids: DataFrame, items: DataFrame, sequence: str | None = None) -
     """One row per distinct id with the item's columns; all NULL but the id where there is none.
 
     Both sides are brought to one row per id before they meet, so no id can be heavy in the join.
+    A stream of ids comes from the frontier, which gives every id once.
     """
     landed = latest_rows(items, "id", sequence)
-    return ids.select("id").distinct().join(landed, "id", "left")
+    wanted = ids.select("id")
+    return (wanted if ids.isStreaming else wanted.distinct()).join(landed, "id", "left")
 
 
 def _block(id_column: Column, block: int) -> Column:

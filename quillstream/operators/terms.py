@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from quillstream.functions.arrays import map_runs
 from quillstream.operators.rows import each
 
-# A term table up to this many rows (some tens of MB) is broadcast; its size is known from the fit.
-BROADCAST_TERMS = 500_000
+# A term table of at most this many bytes is broadcast; its size is measured by the fit.
+BROADCAST_BYTES = 128 << 20
+# What a row of a broadcast table takes beside its term and values.
+ROW_OVERHEAD = 64
 SALTS = 64
 
 
@@ -52,6 +54,7 @@ class IdfTable:
     path: str
     n_docs: int
     n_terms: int
+    n_bytes: int
     min_doc_freq: int
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -65,16 +68,22 @@ def fit_idf(items: DataFrame, path: str, min_doc_freq: int = 0) -> IdfTable:
     n_docs = items.count()
     frequencies = document_frequency(items).where(F.col("df") >= min_doc_freq)
     frequencies.withColumn("idf", idf_weight(F.col("df"), n_docs)).write.parquet(path)
-    n_terms = spark.read.parquet(path).count()
-    return IdfTable(path, n_docs, n_terms, min_doc_freq)
+    n_terms, n_bytes = table_size(spark.read.parquet(path), "term", 16)
+    return IdfTable(path, n_docs, n_terms, n_bytes, min_doc_freq)
+
+
+def table_size(table: DataFrame, term: str, value_bytes: int) -> tuple[int, int]:
+    """Rows and bytes of a term table. Terms can be of any length, so rows alone bound nothing."""
+    rows, letters = table.agg(F.count(F.lit(1)), F.sum(F.octet_length(term))).first()
+    return rows, (letters or 0) + rows * (value_bytes + ROW_OVERHEAD)
 
 
 def join_term_table(
     pairs: DataFrame,
     table: DataFrame,
-    n_terms: int,
+    n_bytes: int,
     key: str,
-    broadcast_terms: int = BROADCAST_TERMS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Left join of (key, term) pairs with a one-row-per-term table.
 
@@ -82,7 +91,7 @@ def join_term_table(
     pairs share is spread over SALTS tasks, at the price of SALTS copies of the table, which is
     tiny beside the pairs. The salt is a hash of the key, so a retried task repeats it.
     """
-    if n_terms <= broadcast_terms:
+    if n_bytes <= broadcast_bytes:
         return pairs.join(F.broadcast(table), "term", "left")
     salted_pairs = pairs.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
     copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -95,6 +104,6 @@ def tf_idf(items: DataFrame, fitted: IdfTable, key: str = "id") -> DataFrame:
     unseen = math.log(fitted.n_docs + 1.0) if fitted.min_doc_freq <= 0 else 0.0
     pairs = term_frequency(items, key)
     table = fitted.read(items.sparkSession).select("term", "idf")
-    joined = join_term_table(pairs, table, fitted.n_terms, key)
+    joined = join_term_table(pairs, table, fitted.n_bytes, key)
     weight = F.coalesce(F.col("idf"), F.lit(unseen))
     return joined.select(key, "term", "tf", (F.col("tf") * weight).alias("tf_idf"))

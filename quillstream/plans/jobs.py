@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, Tokenizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstream.functions.records import item_key
 from quillstream.functions.text import word_count
-from quillstream.operators import classify, embed, records
+from quillstream.operators import classify, embed, ingest, records
 from quillstream.operators.stages import (
     DocumentStage,
     EmbeddingStage,
@@ -103,6 +104,22 @@ def sentence_stages(models: Models, threshold: float = classify.DEFAULT_THRESHOL
     ]
 
 
+def produce_records(ids: DataFrame, landed: DataFrame, sequence: str | None = None) -> DataFrame:
+    """New ids to records: the item's JSON, or ``null`` for an id that has no item (yet)."""
+    found = ingest.item_lookup(ids, landed.withColumn("_found", F.lit(True)), sequence)
+    payload = F.to_json(F.struct(*[c for c in found.columns if c != "_found"]))
+    value = F.when(F.col("_found"), payload).otherwise("null")
+    return found.select(item_key(F.col("id")).alias("key"), value.alias("value"))
+
+
+def backfill(
+    spark: SparkSession, highest_id: int, landed: DataFrame, path: str, sequence: str
+) -> None:
+    """All items from the highest id down to 1 into an archive; ids without an item are left out."""
+    found = ingest.item_lookup(ingest.backfill_ids(spark, highest_id), landed, sequence)
+    ingest.write_archive(found.where(F.col(sequence).isNotNull()), path, sequence)
+
+
 def compose(stages: list, items: DataFrame) -> PipelineModel:
     """The stages as one fitted model. Fit it on past items, never on a stream."""
     return Pipeline(stages=stages).fit(items)

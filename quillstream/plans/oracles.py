@@ -142,7 +142,14 @@ ORACLES: dict[str, str] = {
     "archive_scan": f'WITH {ITEMS} SELECT id, type, "by", time, text FROM items',
     "frontier_delta": NEW_IDS,
     "stream_frontier": NEW_IDS,
+    "stream_produce": f"""WITH {ITEMS}, ids AS (
+  SELECT unnest(generate_series(0, (SELECT max(event_id) FROM events))) AS id)
+SELECT CAST(ids.id AS VARCHAR) AS key,
+  CASE WHEN type IS NULL THEN 'null' ELSE CAST({ITEM_JSON} AS VARCHAR) END AS value
+FROM ids LEFT JOIN items USING (id)""",
     "backfill_range": BACKFILL,
+    "backfill_archive": f"""WITH {ITEMS} SELECT id, type, "by", time, text FROM items
+WHERE id BETWEEN 1 AND (SELECT max(event_id) FROM events)""",
     "progress_sample": f"SELECT id FROM ({BACKFILL}) WHERE id % 1000 = 0",
     "item_lookup": f"""WITH {ITEMS}, ids AS (SELECT DISTINCT event_id AS id FROM events)
 SELECT ids.id, type, "by", time, text FROM ids LEFT JOIN items USING (id)""",

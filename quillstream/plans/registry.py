@@ -83,6 +83,26 @@ def item_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.item_lookup(ids, tables.document_items(spark, sf)).select(*ITEM_COLUMNS)
 
 
+def stream_produce(spark: SparkSession, sf: str) -> DataFrame:
+    """All ids up to the newest event, as a stream, to records of the documents."""
+    work = scratch_path(spark, "produce")
+    newest = _max(tables.read_table(spark, sf, "events"), "event_id")
+    poll = spark.range(1).select(F.lit(str(newest)).alias("value"))
+    poll.write.text(f"{work}/newest")
+    ids = frontier.frontier_stream(spark, f"{work}/newest", start_id=-1)
+    made = jobs.produce_records(ids, tables.document_items(spark, sf))
+    io.drain(io.write_files(made, f"{work}/out", f"{work}/checkpoint"))
+    return spark.read.parquet(f"{work}/out")
+
+
+def backfill_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents below the newest event id, fetched id by id into an archive."""
+    path = scratch_path(spark, "backfill")
+    newest = _max(tables.read_table(spark, sf, "events"), "event_id")
+    jobs.backfill(spark, newest, tables.document_items(spark, sf), path, "time")
+    return ingest.read_archive(spark, path).select(*ITEM_COLUMNS)
+
+
 def archive_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "archive")
     archive.write_json_archive(_items(spark, sf), path)
@@ -463,7 +483,9 @@ QUERIES: dict[str, Query] = {
         archive_scan,
         frontier_delta,
         stream_frontier,
+        stream_produce,
         backfill_range,
+        backfill_archive,
         item_lookup,
         stream_json_sink,
         kv_encode,

@@ -109,7 +109,7 @@ def test_salted_join_equals_broadcast(spark):
     )
     table = spark.createDataFrame([("hot", 1.0), ("t1", 2.0)], "term string, w double")
     small = terms.join_term_table(pairs, table, 2, "id")
-    large = terms.join_term_table(pairs, table, 2, "id", broadcast_terms=0)
+    large = terms.join_term_table(pairs, table, 2, "id", broadcast_bytes=0)
     assert "salt" not in small.columns
     left = sorted(map(tuple, small.select("id", "term", "w").collect()), key=str)
     right = sorted(map(tuple, large.select("id", "term", "w").collect()), key=str)
