@@ -81,15 +81,22 @@ def document_stages(models: Models, threshold: float = 0.7) -> list:
     ]
 
 
-def sentence_stages(models: Models, threshold: float = classify.DEFAULT_THRESHOLD) -> list:
-    """An embedding (two, by model) and a sentiment per sentence, and keywords per document. The
-    tokens here come from the sentences, so that no keyword crosses one."""
+def sentence_stages(
+    models: Models,
+    threshold: float = classify.DEFAULT_THRESHOLD,
+    second_vectors: str | None = None,
+) -> list:
+    """Two embeddings and a sentiment per sentence, and keywords per document. The first embedding
+    may have a model of its own. The tokens here come from the sentences, so that no keyword
+    crosses one."""
     return [
         DocumentStage(inputCol="text", outputCol="document"),
         SentenceStage(inputCol="document", outputCol="sentence"),
         TokenStage(inputCol="sentence", outputCol="token"),
         EmbeddingStage(
-            inputCol="sentence", outputCol="bert_sentence_embeddings", modelPath=models.vectors
+            inputCol="sentence",
+            outputCol="bert_sentence_embeddings",
+            modelPath=second_vectors or models.vectors,
         ),
         EmbeddingStage(
             inputCol="sentence", outputCol="sentence_embeddings", modelPath=models.vectors

@@ -11,7 +11,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.functions import text as X
 from quillstream.operators import annotate, classify, embed, ingest, records, terms
 from quillstream.operators.rows import each
 from quillstream.plans import jobs

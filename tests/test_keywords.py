@@ -7,7 +7,6 @@ from collections import Counter, defaultdict
 
 import pytest
 import regex
-from pyspark.sql import functions as F
 
 from quillstream.functions.keywords import ACRONYM, CAPITAL, keywords
 from quillstream.functions.stopwords import ENGLISH

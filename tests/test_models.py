@@ -102,6 +102,17 @@ def test_stage_vectors_equal_the_flat_ones(spark, items, models):
         assert r.annotatorType == "sentence_embeddings"
 
 
+def test_encoder_in_small_batches(spark, items, models):
+    """Results that leave in batches of few vectors still meet their own rows."""
+    units = F.transform(F.array(F.col("text"), F.lit("")), embed.model_words)
+    whole = embed.word2vec_encoder(spark, models.vectors)
+    small = embed.word2vec_encoder(spark, models.vectors, flush_vectors=3)
+    rows = items.select("id", whole(units).alias("a"), small(units).alias("b")).collect()
+    assert len(rows) == 240 and all(r.a == r.b for r in rows)
+    assert rows[0].a[1] == [0.0] * SIZE
+    assert embed.word2vec_encoder(spark, models.vectors) is whole
+
+
 def test_large_vector_table_is_not_broadcast(spark, items, models, monkeypatch):
     rows = annotate.with_tokens(annotate.with_document(items.limit(10)), units="document").cache()
     expected = {(r.id, r.position): r.embedding for r in embed.token_vectors(rows, models.vectors).collect()}

@@ -62,7 +62,8 @@ def test_failed_run_resumes(spark, topic, work):
 
 def test_lasting_failure_is_raised(spark, topic, work):
     def make():
-        bad = io.read_record_files(spark, topic).select(F.raise_error(F.lit("boom")).cast("string").alias("v"))
+        boom = F.raise_error(F.lit("boom")).cast("string").alias("v")
+        bad = io.read_record_files(spark, topic).select(boom)
         return io.write_files(bad, f"{work}/out", f"{work}/checkpoint")
 
     with pytest.raises(Exception, match="boom"):
