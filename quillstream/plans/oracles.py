@@ -63,6 +63,47 @@ IDF = """docs AS (SELECT count(*) AS m FROM documents),
 freq AS (SELECT term, count(DISTINCT id) AS df FROM ws GROUP BY term),
 weights AS (SELECT term, df, ln((m + 1.0) / (df + 1.0)) AS idf FROM freq, docs)"""
 
+def _mix(block: str) -> str:
+    """The mixing step of MurmurHash3 for one 32 bit block, before it meets the hash."""
+    times = f"CAST(({block}) * 3432918353::HUGEINT % 4294967296 AS BIGINT)"
+    turned = f"((({times}) << 15) | (({times}) >> 17)) & 4294967295"
+    return f"CAST(({turned}) * 461845907::HUGEINT % 4294967296 AS BIGINT)"
+
+
+def _hex_byte(at: str) -> str:
+    """The byte at a position of ``h``, a text of hex digits; 0 beyond its end."""
+    return (
+        f"(greatest(instr('0123456789ABCDEF', substr(h, 2 * ({at}) + 1, 1)) - 1, 0) * 16"
+        f" + greatest(instr('0123456789ABCDEF', substr(h, 2 * ({at}) + 2, 1)) - 1, 0))"
+    )
+
+
+def _finish(name: str, shift: int, factor: int) -> str:
+    return f"CAST(xor({name}, {name} >> {shift}) * {factor}::HUGEINT % 4294967296 AS BIGINT)"
+
+
+# MurmurHash3 (x86, 32 bit, seed 42) of every term's bytes, and its place among 2^18 buckets.
+BUCKETS = f"""hexed AS (SELECT term, hex(encode(term)) AS h, strlen(term) AS n
+  FROM (SELECT DISTINCT term FROM ws)),
+blocks AS (
+  SELECT *, list_transform(range(n // 4), lambda i: {_hex_byte("4 * i")}
+    + 256 * {_hex_byte("4 * i + 1")} + 65536 * {_hex_byte("4 * i + 2")}
+    + 16777216::BIGINT * {_hex_byte("4 * i + 3")}) AS ks,
+    CASE WHEN n % 4 > 0 THEN {_hex_byte("n // 4 * 4")} ELSE 0 END
+    + CASE WHEN n % 4 > 1 THEN 256 * {_hex_byte("n // 4 * 4 + 1")} ELSE 0 END
+    + CASE WHEN n % 4 > 2 THEN 65536 * {_hex_byte("n // 4 * 4 + 2")} ELSE 0 END AS rest
+  FROM hexed),
+body AS (
+  SELECT term, n, rest, list_reduce(
+    list_concat([42::BIGINT], list_transform(ks, lambda k: {_mix("k")})),
+    lambda a, k: ((((xor(a, k) << 13) | (xor(a, k) >> 19)) & 4294967295) * 5 + 3864292196)
+      % 4294967296) AS a
+  FROM blocks),
+tailed AS (SELECT term, xor(xor(a, {_mix("rest")}), n) AS a FROM body),
+once AS (SELECT term, {_finish("a", 16, 0x85EBCA6B)} AS a FROM tailed),
+twice AS (SELECT term, {_finish("a", 13, 0xC2B2AE35)} AS a FROM once),
+bucketed AS (SELECT term, xor(a, a >> 16) % 262144 AS bucket FROM twice)"""
+
 LAST_TURN = """SELECT conv_id AS id, max(turn) AS turn, arg_max(role, turn) AS role,
   arg_max(text, turn) AS text
 FROM conversations GROUP BY conv_id"""
@@ -199,6 +240,9 @@ FROM items""",
     "stream_json_sink": f"""SELECT doc_id AS id, source AS "by",
   CAST(len(regexp_extract_all(text, {_text(TOKEN)})) AS INTEGER) AS "wordCount"
 FROM documents""",
+    "hashing_tf": f"""WITH {ITEMS}, {WS_TOKENS}, {BUCKETS}
+SELECT id, CAST(bucket AS INTEGER) AS bucket, CAST(count(*) AS DOUBLE) AS tf
+FROM ws JOIN bucketed USING (term) GROUP BY id, bucket""",
     "term_freq": f"""WITH {ITEMS}, {WS_TOKENS}
 SELECT id, term, count(*) AS tf FROM ws GROUP BY id, term""",
     "idf": f"""WITH {ITEMS}, {WS_TOKENS}, {IDF}
@@ -238,5 +282,16 @@ SELECT items.id, CAST(coalesce(s.n, 0) AS INTEGER) AS sentences,
   CAST(coalesce(t.n, 0) AS BIGINT) AS tf_total,
   CAST(len(regexp_extract_all(text, {_text(TOKEN)})) AS INTEGER) AS "wordCount"
 FROM items LEFT JOIN s USING (id) LEFT JOIN t USING (id)""",
+    "document_job": f"""WITH {ITEMS},
+counted AS (
+  SELECT id, CAST(len(regexp_extract_all(text, {_text(TOKEN)})) AS INTEGER) AS n FROM items)
+SELECT id, n AS "wordCount", n AS token_vectors, CAST(1 AS INTEGER) AS sentiments, true AS labelled
+FROM counted""",
+    "sentence_job": f"""WITH {ITEMS}, {SENTENCES}, {TOKENS}, {KEYWORDS},
+found AS (SELECT id, count(*) AS n FROM ranked WHERE rank <= 10 GROUP BY id)
+SELECT sentence.id, CAST(s AS INTEGER) AS position, CAST(b AS INTEGER) AS "begin",
+  CAST(b + length(result) - 1 AS INTEGER) AS "end", true AS labelled,
+  CAST(coalesce(n, 0) AS INTEGER) AS n_keywords
+FROM sentence LEFT JOIN found USING (id)""",
     "model_roundtrip": "SELECT doc_id AS id, true AS same FROM documents",
 }

@@ -404,13 +404,15 @@ def document_job(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select(
         "v.id",
         "v.wordCount",
-        F.col("v.sentiment")[0]["result"].alias("sentiment"),
         F.size("v.bert_embeddings").alias("token_vectors"),
+        F.size("v.sentiment").alias("sentiments"),
+        F.col("v.sentiment")[0]["result"].isin(*classify.LABELS).alias("labelled"),
     )
 
 
 def sentence_job(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole per-sentence job on a stream; a row per sentence with its label."""
+    """The whole per-sentence job on a stream; a row per sentence. The labels themselves depend on
+    the trained model (see ``sentiment``), so here only their presence is shown."""
     work = scratch_path(spark, "sentence-job")
     models = _models(spark, sf)
     topic = tables.land_topic(_items(spark, sf), "id", f"{work}/topic")
@@ -420,7 +422,12 @@ def sentence_job(spark: SparkSession, sf: str) -> DataFrame:
     annotated = spark.read.parquet(f"{work}/out").withColumn("n_keywords", F.size("keywords"))
     labels = annotate.annotation_rows(annotated, "sentiment", "id", "n_keywords")
     return labels.select(
-        "id", "position", "begin", "end", F.col("result").alias("sentiment"), "n_keywords"
+        "id",
+        "position",
+        "begin",
+        "end",
+        F.col("result").isin(*classify.LABELS).alias("labelled"),
+        "n_keywords",
     )
 
 
