@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,12 +45,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = _local_scratch()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that functions that run in
+    Python there find their modules whatever the working folder is."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="quillstream-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a small scan to all cores.
 
