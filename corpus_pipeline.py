@@ -1,14 +1,20 @@
-"""The corpus pipeline: each stage works on what the one before it kept."""
+"""The corpus pipeline: each stage works on all that the one before it kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstream.llm import exact, simhash
+from quillstream.llm import exact, language, mixing, packing, simhash
+from quillstream.llm.queries import TOKENIZER
 from quillstream.llm.shared import settle
 from quillstream.sources.tables import read_table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known."""
+    return language.keep_identified(docs, language.fit_text_model(docs))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of equal texts."""
     return exact.drop_exact_copies(docs)
@@ -19,12 +25,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.drop_near_copies(docs)
 
 
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the weighted mix of sources takes it."""
+    return mixing.mix_documents(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(docs, TOKENIZER).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
+    ("source_mixing", source_mixing),
+    ("best_fit_packing", best_fit_packing),
 ]
 
-# Fingerprints, models and packing are beyond SQL.
+# Text models, fingerprints and packing are beyond SQL.
 ORACLE_SQL = None
 
 
