@@ -29,12 +29,12 @@ def numbered_sources(sources: DataFrame) -> DataFrame:
         .select("source", F.monotonically_increasing_id().alias("rid")),
         "sources",
     ).withColumns({"part": F.shiftright("rid", 33), "row": F.expr("rid & 8589934591")})
-    sizes = ordered.groupBy("part").agg(F.count("*").alias("n"))
-    earlier = sizes.select(F.col("part").alias("earlier"), F.col("n").alias("before"))
+    # One row per range.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        sizes.join(F.broadcast(earlier), F.col("earlier") < F.col("part"), "left")  # one row per range
-        .groupBy("part")
-        .agg(F.coalesce(F.sum("before"), F.lit(0).cast("long")).alias("start"))
+        ordered.groupBy("part")
+        .agg(F.count("*").alias("n"))
+        .select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("start"))
     )
     return ordered.join(starts, "part").select("source", (F.col("row") + F.col("start")).alias("place"))
 
