@@ -22,7 +22,7 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 # Pieces that are packed together, on average.
 GROUP_PIECES = 4096
-# Ids of word parts that a Python worker remembers; beyond it begins anew.
+# Word parts of which a Python worker remembers the ids: the latest ones, from this many to twice as many.
 REMEMBERED = 600_000
 
 PLAIN = regex.compile(r"\p{L}+|[^\p{White_Space}\p{L}\p{N}'<|]+")
@@ -40,14 +40,17 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def words(self, words: list[str]) -> list[bytes]:
         if len(self.known) >= REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         parts = [self._runs(w) for w in words]
-        new = list({p for run in parts for p in run if p not in known})
+        missing = {p for run in parts for p in run if p not in known}
+        known.update({p: older[p] for p in missing if p in older})
+        new = [p for p in missing if p not in older]
         for start in range(0, len(new), 4096):
             some = new[start : start + 4096]
             for part, encoding in zip(
