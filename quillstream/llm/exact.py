@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.shared import settle, unpacked, whole_text
+from quillstream.llm.shared import packed, settle, whole_text, without
 
 BLOCK_CHARS = 4096
 
@@ -18,7 +18,6 @@ def exact_groups(
     text_col: str = "text",
     normalise: Column | None = None,
     block_chars: int = BLOCK_CHARS,
-    carry: bool = False,
 ) -> DataFrame:
     """Groups of equal texts; one row stays of each.
 
@@ -27,9 +26,9 @@ def exact_groups(
     pair gets a name, until one name is left: its level and name stand for the whole text, and two
     texts share them only if they are equal, character by character.
 
-    normalise: what is compared instead of the text. carry: also return the input row, as struct.
+    normalise: what is compared instead of the text.
 
-    Returns one row per input row: rid, id, keep_id, group_size, kept, text_sha256 (and row). Of
+    Returns one row per input row: rid, id, keep_id, group_size, kept, text_sha256. Of
     equal texts the row with the largest id stays, of equal ids an arbitrary single one. A null text
     counts as empty; a null id is less than any other; an empty table gives an empty result. Texts
     of any length are compared whole; other columns are never looked at.
@@ -40,21 +39,20 @@ def exact_groups(
     are split by adaptive execution.
     """
     text = whole_text(text_col) if normalise is None else F.coalesce(normalise, F.lit(""))
-    names, seed = _block_names(
-        docs.select(text.alias("value")).select(F.explode(_cut("value", block_chars)).alias("block"))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), text.alias("value")
     )
+    return _groups(rows, block_chars)
 
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
-        F.col(id_col).alias("id"),
-        text.alias("value"),
-        *([F.struct("*").alias("row")] if carry else []),
-    ).select(
+
+def _groups(texts: DataFrame, block_chars: int) -> DataFrame:
+    """From rid, id and value, the text without nulls."""
+    names, seed = _block_names(texts.select(F.explode(_cut("value", block_chars)).alias("block")))
+    rows = texts.select(
         "rid",
         "id",
         F.sha2("value", 256).alias("text_sha256"),
         F.transform(_cut("value", block_chars), lambda b: _bits(b, seed)).alias("blocks"),
-        *(["row"] if carry else []),
     )
     rows = settle(rows, "exact-rows")
 
@@ -91,13 +89,17 @@ def exact_groups(
         (F.col("rid") == F.col("last.rid")).alias("kept"),
     )
     return rows.join(verdicts, "rid").select(
-        "rid", "id", "keep_id", "group_size", "kept", "text_sha256", *(["row"] if carry else [])
+        "rid", "id", "keep_id", "group_size", "kept", "text_sha256"
     )
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows without all but one of equal texts, columns as they were."""
-    return unpacked(exact_groups(docs, id_col, text_col, carry=True).filter("kept"))
+    rows = packed(docs)
+    row = F.col("row")
+    value = F.coalesce(row.getField(text_col).cast("string"), F.lit(""))
+    texts = rows.select("rid", row.getField(id_col).alias("id"), value.alias("value"))
+    return without(rows, _groups(texts, BLOCK_CHARS).filter("NOT kept"))
 
 
 def _cut(column: str, block_chars: int) -> Column:

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.shared import packed, settle, unpacked
+from quillstream.llm.shared import packed, settle, without
 from quillstream.llm.words import chunks
 from quillstream.session import ship_package
 
@@ -269,7 +269,7 @@ def keep_identified(
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
     """The input rows, columns as they were, without those that identification rejects."""
-    rows = settle(packed(docs), "language-rows")
+    rows = packed(docs)
     row = F.col("row")
     others = {"declared": declared_col, "suffix": None, "domain": None, "host": host_col}
     texts = rows.select(
@@ -278,8 +278,7 @@ def keep_identified(
         row.getField(text_col).cast("string").alias("text"),
         *[row.getField(c).cast("string").alias(k) for k, c in others.items() if c],
     )
-    kept = _verdicts(texts, model, others, PRIOR_WEIGHT, min_confidence, None).filter("kept")
-    return unpacked(rows.join(kept.select("rid"), "rid"))
+    return without(rows, _verdicts(texts, model, others, PRIOR_WEIGHT, min_confidence, None).filter("NOT kept"))
 
 
 def markup_language(html: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstream.llm.shared import WORD, packed, settle, unpacked
+from quillstream.llm.shared import WORD, packed, settle
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -213,43 +213,49 @@ def mixed(
         F.col(source_col).cast("string").alias("source"),
         F.col(text_col).cast("string").alias("text"),
     )
-    return _mixed(rows, weights, most)
+    rows = settle(_measured(rows), "mix-rows")
+    return _decided(rows, _plan(rows, weights, most), most).select(
+        "rid", "id", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
+    )
 
 
-def _mixed(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
-    # Rows without an id are told apart by their number.
+def _measured(rows: DataFrame) -> DataFrame:
+    """rid, id, source, size and draw (from 0 to 1) instead of the text; other columns stay."""
+    # Rows without an id are told apart by their number. 53 bits of a hash of a hash are the draw.
     mark = F.xxhash64("id", "text", F.when(F.col("id").isNull(), F.col("rid")))
-    rows = settle(
-        rows.select("rid", "id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark")),
-        "mix-rows",
-    )
-    histogram = settle(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-sizes")
-    sizes = histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
-    tilts = dual_solution(histogram, source_targets(sizes, weights, most), most)
+    draw = F.shiftrightunsigned(F.xxhash64(mark), 11) / F.lit(float(1 << 53))
+    return rows.withColumns({"size": word_count(F.col("text")), "draw": draw}).drop("text")
+
+
+def _rated(rows: DataFrame, tilts: DataFrame, most: int) -> DataFrame:
+    """Rows with the plan's columns of their source, the rate, its whole part and fraction, and turn."""
     tilted = F.least(F.lit(float(most)), F.exp(F.least(F.lit(700.0), F.col("tilt") * F.col("size"))))
     rate = F.when(F.col("size") == 0, F.lit(1.0)).when(F.col("all"), F.lit(float(most))).otherwise(tilted)
-    joined = (
+    return (
         rows.join(_of(tilts, "source"), F.col("source").eqNullSafe(F.col("of")))
         .withColumn("rate", rate)
         .withColumn("whole", F.floor("rate"))
         .withColumn("fraction", F.col("rate") - F.col("whole"))
-        # 53 bits of a hash, from 0 to 1.
-        .withColumn("draw", F.shiftrightunsigned(F.xxhash64("mark"), 11) / F.lit(float(1 << 53)))
         .withColumn("turn", F.col("draw") - F.col("fraction"))
         .drop("of")
     )
-    rules = _rules(joined.select("source", "size", "whole", "fraction", "turn"), tilts)
+
+
+def _plan(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """What decides a source's copies, one row per source: source_size, target, tilt, all, rules."""
+    histogram = settle(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-sizes")
+    sizes = histogram.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
+    tilts = settle(dual_solution(histogram, source_targets(sizes, weights, most), most), "mix-tilts")
+    rules = _rules(_rated(rows, tilts, most).select("source", "size", "whole", "fraction", "turn"), tilts)
+    same = F.col("source").eqNullSafe(F.col("of"))
+    return settle(tilts.join(_of(rules, "source"), same).drop("of"), "mix-plan")
+
+
+def _decided(rows: DataFrame, plan: DataFrame, most: int) -> DataFrame:
     more = (F.col("fraction") > 0) & F.exists(
         "rules", lambda r: (F.col("turn") < r["shift"]) & (F.col("size") <= r["limit"])
     )
-    return (
-        joined.join(_of(rules, "source"), F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("copies", (F.col("whole") + more.cast("long")).cast("int"))
-        .select(
-            "rid", "id", "size", "source_size", "target", "rate", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
-        )
-    )
+    return _rated(rows, plan, most).withColumn("copies", (F.col("whole") + more.cast("long")).cast("int"))
 
 
 def mix_documents(
@@ -260,18 +266,19 @@ def mix_documents(
     weights: tuple[int, ...] = WEIGHTS,
     most: int = MAX_COPIES,
 ) -> DataFrame:
-    """The mix itself: every input row as often as it is taken, columns as they were."""
-    rows = settle(packed(docs), "mix-input")
+    """The mix itself: every input row as often as it is taken, columns as they were.
+
+    The table is read twice, to plan and to decide; a row needs only its source's plan, so no text is
+    shuffled where the plans of all sources are small enough for Spark to send them to the scan.
+    """
+    rows = packed(docs)
     row = F.col("row")
-    taken = _mixed(
+    measured = _measured(
         rows.select(
             "rid", row.getField(id_col).alias("id"), row.getField(source_col).cast("string").alias("source"),
-            row.getField(text_col).cast("string").alias("text"),
-        ),
-        weights,
-        most,
-    ).filter("copies > 0")
-    copied = rows.join(taken.select("rid", "copies"), "rid").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("copies")))
-    )
-    return unpacked(copied.select("row"))
+            row.getField(text_col).cast("string").alias("text"), "row",
+        )
+    )
+    plan = _plan(settle(measured.drop("row", "rid", "id"), "mix-rows"), weights, most)
+    decided = _decided(measured.select("source", "size", "draw", "row"), plan, most).filter("copies > 0")
+    return decided.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -23,7 +23,7 @@ END_ID = 1
 # Pieces that are packed together, on average.
 GROUP_PIECES = 4096
 # Word parts of which a Python worker remembers the ids: the latest ones, from this many to twice as many.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 PLAIN = regex.compile(r"\p{L}+|[^\p{White_Space}\p{L}\p{N}'<|]+")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +26,42 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """Number the rows and pack all columns into one, so that no name can clash: rid, row."""
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row"))
+    """rid, row: all columns in one struct, so that no name can clash, and a key that any later scan
+    finds again.
 
-
-def unpacked(rows: DataFrame) -> DataFrame:
-    return rows.select("row.*")
+    A row of a Parquet table is named by its file and place there, so that text need not be copied.
+    Any other table is written first.
+    """
+    if not _plain_scan(docs):
+        docs = settle(docs.select(F.struct("*").alias("row")), "rows")
+        row = F.col("row")
+    else:
+        row = F.struct("*").alias("row")
+    place = docs.metadataColumn("_metadata")
+    return docs.select(F.struct(place["file_path"].alias("file"), place["row_index"].alias("at")).alias("rid"), row)
+
+
+def _plain_scan(docs: DataFrame) -> bool:
+    """Whether each row is one of a Parquet table, at most with columns and rows left out."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"]).schema  # noqa: B018
+    except AnalysisException:
+        return False
+    return True
+
+
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The packed rows, unpacked, but those whose rid is in the other table.
+
+    That is settled first: its size is then known, and Spark sends it to the tasks of the scan if it is
+    small, rather than shuffle all texts.
+    """
+    return rows.join(settle(dropped.select("rid"), "dropped"), "rid", "left_anti").select("row.*")
 
 
 def whole_text(column: str) -> F.Column:

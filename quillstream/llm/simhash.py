@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.components import components
-from quillstream.llm.shared import packed, pieces, settle, unpacked
+from quillstream.llm.shared import packed, pieces, settle, without
 from quillstream.session import ship_package
 
 SHINGLE_WORDS = 3
@@ -260,10 +260,9 @@ def drop_near_copies(
     tree_nodes: int = TREE_NODES,
 ) -> DataFrame:
     """The input rows, columns as they were, one of each component."""
-    rows = settle(packed(docs), "simhash-rows")
+    rows = packed(docs)
     row = F.col("row")
     texts = rows.select(
         "rid", row.getField(id_col).alias("id"), row.getField(text_col).cast("string").alias("text")
     )
-    kept = _groups(texts, shingle_words, radius, tree_nodes).filter("kept").select("rid")
-    return unpacked(rows.join(kept, "rid"))
+    return without(rows, _groups(texts, shingle_words, radius, tree_nodes).filter("NOT kept"))
