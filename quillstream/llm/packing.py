@@ -61,11 +61,11 @@ class WordIds:
 
     @staticmethod
     def _runs(word: str) -> list[str]:
-        """What the library may encode apart: the whole word, if in doubt. Composed letters only, and
-        none that is lowered to a letter and a mark."""
+        """What the library may encode apart: the whole word, if in doubt. Composed letters only, none
+        that is lowered to a letter and a mark, and none of a block that Unicode still adds to."""
         if word.isascii():
             word = word.lower()
-        elif "\u0130" in word or not unicodedata.is_normalized("NFC", word):
+        elif "\u0130" in word or max(word) >= "\u0500" or not unicodedata.is_normalized("NFC", word):
             return [word]
         if word.isalpha():
             return [word]

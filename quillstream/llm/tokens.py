@@ -48,6 +48,22 @@ class MergeCounter:
         special = [regex.escape(t["content"]) for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(special)) if special else None
         self.known: dict[str, int] = {"": 0}
+        self.path, self.library = path, None
+        self.byte_of = {letter: byte for byte, letter in enumerate(letters)}
+
+    def _split(self, word: str) -> list[str]:
+        """The parts of a word. Beyond the alphabets that Unicode no longer adds to, what is a letter
+        depends on its version: the library, which may have another than this Python, splits these."""
+        if max(word) >= "\u0500":
+            if self.library is None:
+                from tokenizers import Tokenizer
+
+                self.library = Tokenizer.from_file(self.path)
+            word = self.library.normalizer.normalize_str(word)
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(word)
+            return [bytes(self.byte_of[c] for c in piece).decode("utf-8", "surrogatepass") for piece, _ in pieces]
+        # Each character for itself: a sigma at the end of a word stays an ordinary one.
+        return self.parts(unicodedata.normalize("NFC", word).replace("Σ", "σ").lower())
 
     def word(self, word: str) -> int:
         """Tokens of a text without ASCII white space."""
@@ -59,11 +75,9 @@ class MergeCounter:
         if self.special and self.special.search(word):
             between = self.special.split(word)
             return len(between) - 1 + sum(self.word(w) for w in between)
-        # Each character for itself: a sigma at the end of a word stays an ordinary one.
-        word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
         known = self.known.get
         total = 0
-        for part in self.parts(word):
+        for part in self._split(word):
             count = known(part)
             total += self._remember(part) if count is None else count
         return total
