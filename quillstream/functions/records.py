@@ -26,14 +26,15 @@ def parse_item(value: Column, schema: T.StructType = ITEM) -> Column:
 
 def json_text_field(value: Column, field: str) -> Column:
     """One field of a JSON object as text; NULL if it is absent or the text is not JSON."""
-    return F.get_json_object(value, f"$.{field}")
+    return F.get_json_object(value, f"$['{field}']")
 
 
 def compact_json(value: Column) -> Column:
-    """JSON without layout, unknown fields kept, keys in sorted order. Malformed text gives NULL,
-    and so does every payload that is not an object."""
+    """JSON without layout. Fields no schema knows, the order of keys, repeated keys and numbers stay as
+    they are written. Malformed text gives NULL, and so does every payload that is not an object."""
     is_object = F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
-    return F.when(is_object, F.to_json(F.try_parse_json(value)))
+    valid = F.get_json_object(value, "$").isNotNull()
+    return F.when(is_object & valid, F.regexp_replace(value, r'("(?:[^"\\]|\\.)*+")|\s+', "$1"))
 
 
 def epoch_timestamp(seconds: Column) -> Column:

@@ -15,9 +15,10 @@ SPACE = r"[ \t\n\x0B\f\r]"
 # The same characters as an SQL string.
 BLANKS = r"' \t\n\u000B\u000C\r'"
 # A sentence ends with a run of . ! ? that whitespace follows; the rest of the text is the last one.
-SENTENCE = rf"(?s).*?[.!?]+{SPACE}+|.+"
+SENTENCE = rf"(?s).*?[.!?]{SPACE}+|.+"
 # Words may hold inner apostrophes and hyphens; any other visible character is a token of its own.
-TOKEN = r"[\p{L}\p{N}_]+(?:['-][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
+# Possessive: nothing is tried twice, and a word of any number of parts needs no deep recursion.
+TOKEN = r"[\p{L}\p{N}_]++(?:['-][\p{L}\p{N}_]++)*+|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
 WORD = r"^[\p{L}\p{N}_]"
 
 
@@ -89,7 +90,9 @@ def tokens(units: str) -> Column:
     )
     spans = f"transform(pieces, (piece, i) -> {one})"
     lengths = prefix_sums("transform(pieces, p -> length(p))")
-    cut = f"regexp_extract_all(unit.result, {pattern(f'{SPACE}*(?:{TOKEN})')}, 0)"
+    # Without blanks at the end, each of which would be looked through up to the last.
+    trimmed = f"trim(TRAILING {BLANKS} FROM unit.result)"
+    cut = f"regexp_extract_all({trimmed}, {pattern(f'{SPACE}*+(?:{TOKEN})')}, 0)"
     split = let("pieces", cut, let("ends", lengths, spans))
     return F.expr(f"flatten(transform({units}, unit -> {split}))")
 

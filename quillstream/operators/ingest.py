@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK = 1_000_000
-# Beyond this many touched blocks a list of them costs more than reading the whole archive.
-MAX_LISTED_BLOCKS = 10_000
 
 
 def frontier_delta(spark: SparkSession, last_id: int | None, newest_id: int) -> DataFrame:
@@ -92,12 +90,10 @@ def upsert_archive(updates: DataFrame, path: str, sequence: str, block: int = BL
     rewritten; running the same updates again changes nothing."""
     spark = updates.sparkSession
     block_of_id = _block(F.col("id"), block)
-    # At most (id range / block size) numbers, and the limit stops even that.
-    touched = updates.select(block_of_id.alias("block")).distinct().limit(MAX_LISTED_BLOCKS + 1)
-    blocks = [row.block for row in touched.collect()]
+    touched = updates.select(block_of_id.alias("touched")).distinct()
+    # Items without an id have the block NULL, which is touched like any other.
     existing = spark.read.parquet(path)
-    if len(blocks) <= MAX_LISTED_BLOCKS:
-        existing = existing.where(F.col("block").isin(blocks))
+    existing = existing.join(touched, F.col("block").eqNullSafe(F.col("touched")), "left_semi")
     # unionByName needs both column sets equal; the stored one decides the order.
     merged = existing.drop("block").unionByName(updates)
     write_archive(merged, path, sequence, block)

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from quillstream.functions.keywords import ACRONYM, CAPITAL, LETTER, SCORE_UNIT
 from quillstream.functions.stopwords import ENGLISH
-from quillstream.functions.text import SPACE, TOKEN, WORD
 from quillstream.sources.tables import FIRST_EPOCH
 
 
+# Stated here once more, in the syntax of RE2 and apart from the implementation's patterns.
+SPACE = r"[ \t\n\x0B\f\r]"
+TOKEN = r"[\p{L}\p{N}_]+(?:['-][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_ \t\n\x0B\f\r]"
+WORD = r"^[\p{L}\p{N}_]"
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 

@@ -115,7 +115,7 @@ def archive_upsert(spark: SparkSession, sf: str) -> DataFrame:
     )
     path = scratch_path(spark, "archive")
     ingest.write_archive(turns.where("role = 'user'"), path, "turn", block=256)
-    ingest.upsert_archive(turns.where("role <> 'user'"), path, "turn", block=256)
+    ingest.upsert_archive(turns.where("NOT (role <=> 'user')"), path, "turn", block=256)
     return ingest.read_archive(spark, path)
 
 
@@ -239,11 +239,7 @@ def keywords(spark: SparkSession, sf: str) -> DataFrame:
 def hashing_tf(spark: SparkSession, sf: str) -> DataFrame:
     """The sparse vectors as rows of item, bucket and count."""
     rows = terms.hashed_term_frequency(_whitespace_tokens(spark, sf))
-    parts = F.from_json(
-        F.get_json_object(F.to_json(F.struct("raw_tf")), "$.raw_tf"),
-        "indices array<int>, values array<double>",
-    )
-    parsed = rows.select("id", parts.alias("v"))
+    parsed = rows.select("id", F.unwrap_udt("raw_tf").alias("v"))
     pairs = each(parsed, F.arrays_zip("v.indices", "v.values"), "p", "id")
     return pairs.select("id", F.col("p.indices").alias("bucket"), F.col("p.values").alias("tf"))
 
@@ -325,9 +321,7 @@ def annotate_items(spark: SparkSession, sf: str) -> DataFrame:
 
 def _vector_total(vector: str):
     """Sum of a sparse vector without making it dense."""
-    values = F.from_json(
-        F.get_json_object(F.to_json(F.struct(vector)), f"$.{vector}.values"), "array<double>"
-    )
+    values = F.unwrap_udt(vector).getField("values")
     return F.aggregate(values, F.lit(0.0), lambda total, v: total + v).cast("long")
 
 
@@ -469,7 +463,7 @@ def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     events later, and a third run finds nothing new."""
     work = scratch_path(spark, "restart")
     events = _event_rows(spark, sf)
-    arrivals = [events.where("event_type = 'view'"), events.where("event_type <> 'view'"), None]
+    arrivals = [events.where("event_type = 'view'"), events.where("NOT (event_type <=> 'view')"), None]
     for number, arrival in enumerate(arrivals):
         if arrival is not None:
             tables.land_topic(arrival, "event_id", f"{work}/topic/run={number}")

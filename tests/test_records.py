@@ -91,6 +91,13 @@ def test_json_field_and_compact(raw):
     assert [compact[k] for k in "2368"] == [None] * 4
 
 
+def test_compact_keeps_order_numbers_and_repeated_keys(spark):
+    written = ['{ "b" : 1.50, "a" : 1e3,\n "b": "x  \\" y", "c.d": [1, 2] }', '[1]', '{"a": ', '{"a": "\\\\" }']
+    rows = spark.createDataFrame([(str(k), v) for k, v in enumerate(written)], "key string, value string")
+    compact = {r.key: r.value for r in records.compact_json(rows).collect()}
+    assert compact == {"0": '{"b":1.50,"a":1e3,"b":"x  \\" y","c.d":[1,2]}', "1": None, "2": None, "3": '{"a":"\\\\"}'}
+
+
 def test_encode_leaves_nulls_out(spark):
     rows = spark.createDataFrame([(1, None, [2, None])], "id bigint, text string, kids array<bigint>")
     encoded = records.encode_records(rows).first()

@@ -154,3 +154,17 @@ def test_explode_does_not_repeat_the_annotation(spark):
     flat = annotate.annotation_rows(sentence, "sentence", "id")
     plan = flat._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
+
+
+def test_hostile_texts_take_no_deep_recursion_and_no_quadratic_time(spark):
+    """A chain of 200,000 linked parts, a million dots, a million blanks at the end; not constant, so
+    that tasks do the work."""
+    rows = spark.range(3).selectExpr(
+        "id",
+        "CASE id WHEN 0 THEN concat(repeat('a-', 200000), 'a') WHEN 1 THEN concat(repeat('.', 1000000), 'x') "
+        "ELSE concat('word', repeat(' ', 1000000)) END AS text",
+    )
+    counted = rows.select(X.word_count(F.col("text")).alias("n")).collect()
+    assert [r.n for r in counted] == [1, 1_000_001, 1]
+    cut = rows.select(F.size(F.regexp_extract_all("text", F.lit(X.SENTENCE), F.lit(0))).alias("n")).collect()
+    assert [r.n for r in cut] == [1, 1, 1]
