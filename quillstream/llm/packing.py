@@ -23,7 +23,7 @@ END_ID = 1
 # Pieces that are packed together, on average.
 GROUP_PIECES = 4096
 # Word parts of which a Python worker remembers the ids: the latest ones, from this many to twice as many.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 PLAIN = regex.compile(r"\p{L}+|[^\p{White_Space}\p{L}\p{N}'<|]+")
 
@@ -101,6 +101,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int
                 start.append(at)
                 length.append(len(cut))
                 crc.append(zlib.crc32(cut.tobytes()))
+        pa.default_memory_pool().release_unused()
         yield pa.RecordBatch.from_arrays(
             [
                 chunk.column("id").take(pa.array(rows, pa.int64())),

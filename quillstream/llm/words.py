@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at a time, or one text where it is longer.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
