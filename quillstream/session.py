@@ -51,13 +51,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+ARROW_ROWS = 2000
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that functions that run in
-    Python there find their modules whatever the working folder is."""
+    Python there find their modules whatever the working folder is.
+
+    Where the session leaves the rows of an Arrow batch at Spark's default, they become fewer: ten
+    thousand texts at a time, in the executor and again in its Python worker, are much memory.
+    """
     context = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows, "10000") == "10000":
+        spark.conf.set(rows, str(ARROW_ROWS))
     if context.applicationId in _SHIPPED:
         return
     package = Path(__file__).parent
