@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK = 1_000_000
+# The column by which an archive tells the versions of an item apart.
+VERSION = "_version"
 
 
 def frontier_delta(spark: SparkSession, last_id: int | None, newest_id: int) -> DataFrame:
@@ -39,11 +41,18 @@ def latest_rows(rows: DataFrame, key: str, sequence: str | None = None) -> DataF
     shuffle as one row per task. Equal sequences are settled by a content hash: a retried task
     picks the same row.
     """
+    return _newest(rows, key, _version(rows, sequence), rows.columns)
+
+
+def _version(rows: DataFrame, sequence: str | None) -> Column:
     content = F.xxhash64(*[F.col(c) for c in rows.columns])
-    order = F.struct(F.col(sequence), content) if sequence else content
-    newest = rows.groupBy(key).agg(F.max_by(F.struct("*"), order).alias("_row"))
+    return F.struct(F.col(sequence), content.alias("content")) if sequence else content
+
+
+def _newest(rows: DataFrame, key: str, order: Column, columns: list[str]) -> DataFrame:
+    newest = rows.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("_row"))
     # The key comes from the grouping, so a join on it reuses the grouping's partitions.
-    return newest.select(*[F.col(c if c == key else f"_row.{c}") for c in rows.columns])
+    return newest.select(*[F.col(c if c == key else f"_row.{c}") for c in columns])
 
 
 def item_lookup(ids: DataFrame, items: DataFrame, sequence: str | None = None) -> DataFrame:
@@ -62,38 +71,44 @@ def _block(id_column: Column, block: int) -> Column:
 
 
 def write_archive(rows: DataFrame, path: str, sequence: str, block: int = BLOCK) -> None:
-    """Write the latest version of every item, partitioned by id block. Blocks of the given rows
-    replace those on disk; other blocks stay as they are.
+    """Add the latest version of every given item to an archive, partitioned by id block. Files that
+    are there are neither read nor changed; a reader takes each item's highest version.
 
-    Range partitioning keeps a block in few files and splits a large one over tasks; within files
-    the rows are sorted, so an id lookup reads few row groups.
+    So a write that breaks off loses nothing, whatever part of its files became visible, and running
+    it again changes no result. Range partitioning keeps a block in few files and splits a large one
+    over tasks; within files the rows are sorted, so an id lookup reads few row groups.
     """
+    latest = latest_rows(rows, "id", sequence)
     (
-        latest_rows(rows, "id", sequence)
+        latest.withColumn(VERSION, _version(latest, sequence))
         .withColumn("block", _block(F.col("id"), block))
         .repartitionByRange("block", "id")
         .sortWithinPartitions("block", "id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("append")
         .partitionBy("block")
         .parquet(path)
     )
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The archive without its partition column."""
-    return spark.read.parquet(path).drop("block")
+    """The latest version of every item of an archive; items without an id count as one."""
+    stored = spark.read.parquet(path)
+    columns = [c for c in stored.columns if c not in ("block", VERSION)]
+    return _newest(stored, "id", F.col(VERSION), columns)
 
 
 def upsert_archive(updates: DataFrame, path: str, sequence: str, block: int = BLOCK) -> None:
-    """Merge new versions into the archive. Only the blocks that the updates touch are read and
-    rewritten; running the same updates again changes nothing."""
-    spark = updates.sparkSession
-    block_of_id = _block(F.col("id"), block)
-    touched = updates.select(block_of_id.alias("touched")).distinct()
-    # Items without an id have the block NULL, which is touched like any other.
-    existing = spark.read.parquet(path)
-    existing = existing.join(touched, F.col("block").eqNullSafe(F.col("touched")), "left_semi")
-    # unionByName needs both column sets equal; the stored one decides the order.
-    merged = existing.drop("block").unionByName(updates)
-    write_archive(merged, path, sequence, block)
+    """Merge new versions into an archive. What is stored is not read: the updates are added, and the
+    highest sequence wins when the archive is read. Running the same updates again changes nothing."""
+    columns = updates.sparkSession.read.parquet(path).drop("block", VERSION).columns
+    if set(columns) != set(updates.columns):
+        raise ValueError(f"the archive has the columns {columns}, the updates {updates.columns}")
+    # Versions of equal sequence are settled by their content, in the stored order of columns.
+    write_archive(updates.select(*columns), path, sequence, block)
+
+
+def compact_archive(
+    spark: SparkSession, path: str, target: str, sequence: str, block: int = BLOCK
+) -> None:
+    """Write the latest versions alone to a new folder, which readers turn to when it is complete."""
+    write_archive(read_archive(spark, path), target, sequence, block)

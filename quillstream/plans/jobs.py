@@ -6,12 +6,14 @@ narrow projection that runs on a stream without state and without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from quillstream.functions.records import item_key
 from quillstream.functions.text import word_count
@@ -119,6 +121,29 @@ def produce_records(ids: DataFrame, landed: DataFrame, sequence: str | None = No
     return found.select(item_key(F.col("id")).alias("key"), value.alias("value"))
 
 
+def write_produced(
+    ids: DataFrame,
+    landed: Callable[[], DataFrame],
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    sequence: str | None = None,
+) -> DataStreamWriter:
+    """Produce records of a stream of ids, batch by batch. ``landed`` opens the items anew for every
+    batch, so an item that landed after the stream was started is found; only the items of the
+    batch's ids go into the lookup. ``write`` gets the records and the number of the batch, which
+    stays the same when a batch runs again after a failure."""
+
+    def produce(batch: DataFrame, number: int) -> None:
+        items = landed().join(batch.select("id"), "id", "left_semi")
+        write(produce_records(batch, items, sequence), number)
+
+    return (
+        ids.writeStream.outputMode("append")
+        .foreachBatch(produce)
+        .option("checkpointLocation", checkpoint)
+    )
+
+
 def backfill(
     spark: SparkSession, highest_id: int, landed: DataFrame, path: str, sequence: str
 ) -> None:

@@ -298,5 +298,12 @@ SELECT sentence.id, CAST(s AS INTEGER) AS position, CAST(b AS INTEGER) AS "begin
   CAST(b + length(result) - 1 AS INTEGER) AS "end", true AS labelled,
   CAST(coalesce(n, 0) AS INTEGER) AS n_keywords
 FROM sentence LEFT JOIN found USING (id)""",
-    "model_roundtrip": "SELECT doc_id AS id, true AS same FROM documents",
+    "model_roundtrip": f"""WITH {ITEMS}, {WS_TOKENS}, {BUCKETS},
+counts AS (
+  SELECT id, bucket, count(*) AS tf FROM ws JOIN bucketed USING (term) GROUP BY id, bucket),
+docs AS (SELECT count(*) AS m FROM documents),
+weights AS (
+  SELECT bucket, ln((m + 1.0) / (count(*) + 1.0)) AS idf FROM counts, docs GROUP BY bucket, m)
+SELECT id, CAST(bucket AS INTEGER) AS bucket, round(tf * idf, 6) AS tf_idf
+FROM counts JOIN weights USING (bucket)""",
 }

@@ -105,6 +105,37 @@ def test_upsert_touches_only_its_blocks(spark):
     assert kept <= set(after) and all(after[f] == before[f] for f in kept)
 
 
+def test_upsert_that_breaks_off_loses_nothing(spark):
+    path = scratch_path(spark, "archive")
+    schema = "id bigint, seq int, text string"
+    first = spark.createDataFrame([(i, 1, f"v1-{i}") for i in range(20)], schema)
+    ingest.write_archive(first, path, "seq", block=10)
+    updates = spark.createDataFrame([(i, 2, f"v2-{i}") for i in range(20)], schema)
+    text = F.when(F.col("id") == 17, F.raise_error(F.lit("boom"))).otherwise(F.col("text"))
+    with pytest.raises(Exception, match="boom"):
+        ingest.upsert_archive(updates.withColumn("text", text), path, "seq", block=10)
+    # As if the driver had died when it had published one block of two.
+    ingest.upsert_archive(updates.filter("id < 10"), path, "seq", block=10)
+    half = {i: f"v{1 + (i < 10)}-{i}" for i in range(20)}
+    assert {r.id: r.text for r in ingest.read_archive(spark, path).collect()} == half
+    ingest.upsert_archive(updates, path, "seq", block=10)
+    done = {i: f"v2-{i}" for i in range(20)}
+    assert {r.id: r.text for r in ingest.read_archive(spark, path).collect()} == done
+    compact = scratch_path(spark, "archive")
+    ingest.compact_archive(spark, path, compact, "seq", block=10)
+    assert {r.id: r.text for r in ingest.read_archive(spark, compact).collect()} == done
+    assert spark.read.parquet(compact).count() == 20
+
+
+def test_upsert_without_an_id_keeps_the_higher_sequence(spark):
+    path = scratch_path(spark, "archive")
+    schema = "id bigint, seq int, text string"
+    ingest.write_archive(spark.createDataFrame([(None, 9, "new"), (1, 1, "a")], schema), path, "seq")
+    ingest.upsert_archive(spark.createDataFrame([(None, 1, "old")], schema), path, "seq")
+    got = {r.id: (r.seq, r.text) for r in ingest.read_archive(spark, path).collect()}
+    assert got == {None: (9, "new"), 1: (1, "a")}
+
+
 def test_json_archive(spark):
     path = scratch_path(spark, "json")
     items = spark.createDataFrame([(1, "a\n<p>b", None), (2, None, 3)], "id bigint, text string, score int")

@@ -108,6 +108,33 @@ def test_archive_upserts(spark, work):
     assert got == {1: "a", 2: "b5", 3: "c"}
 
 
+def test_produce_finds_items_that_land_while_it_runs(spark, work):
+    def land(i):
+        spark.createDataFrame([(i, f"t{i}")], "id bigint, text string").write.parquet(f"{work}/landed/i={i}")
+
+    def announce(i):
+        spark.createDataFrame([(i,)], "id bigint").write.mode("append").parquet(f"{work}/ids")
+
+    def write(batch, number):
+        batch.write.mode("overwrite").parquet(f"{work}/out/batch={number}")
+
+    land(1)
+    announce(1)
+    announce(2)
+    ids = spark.readStream.schema("id bigint").parquet(f"{work}/ids")
+    landed = lambda: spark.read.parquet(f"{work}/landed").drop("i")
+    query = io.start_paced(jobs.write_produced(ids, landed, write, f"{work}/checkpoint"), 0)
+    try:
+        query.processAllAvailable()
+        land(3)
+        announce(3)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = {r.key: r.value for r in spark.read.parquet(f"{work}/out").collect()}
+    assert got == {"1": '{"id":1,"text":"t1"}', "2": "null", "3": '{"id":3,"text":"t3"}'}
+
+
 def publish(path, number):
     with open(path, "w") as file:
         file.write(f"{number}\n")
