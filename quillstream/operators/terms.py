@@ -16,7 +16,10 @@ from quillstream.operators.rows import each
 BROADCAST_BYTES = 128 << 20
 # What a row of a broadcast table takes beside its term and values.
 ROW_OVERHEAD = 64
-SALTS = 64
+# A term with more than this share of all pairs is hot; there are at most HOT_TERMS of them.
+HOT_TERMS = 4096
+# A longer term is never broadcast as a hot one, which bounds these in bytes.
+HOT_BYTES = 16 << 10
 
 
 def hashed_term_frequency(items: DataFrame, buckets: int = 1 << 18) -> DataFrame:
@@ -49,12 +52,14 @@ def idf_weight(df: Column, n_docs: int) -> Column:
 
 @dataclass(frozen=True)
 class IdfTable:
-    """A fitted IDF table: term, df and idf at a path, and the sizes that decide how to join it."""
+    """A fitted IDF table: term, df and idf at a path, and the sizes that decide how to join it.
+    n_pairs counts the pairs of item and distinct term: the sum of df."""
 
     path: str
     n_docs: int
     n_terms: int
     n_bytes: int
+    n_pairs: int
     min_doc_freq: int
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -68,34 +73,44 @@ def fit_idf(items: DataFrame, path: str, min_doc_freq: int = 0) -> IdfTable:
     n_docs = items.count()
     frequencies = document_frequency(items).where(F.col("df") >= min_doc_freq)
     frequencies.withColumn("idf", idf_weight(F.col("df"), n_docs)).write.parquet(path)
-    n_terms, n_bytes = table_size(spark.read.parquet(path), "term", 16)
-    return IdfTable(path, n_docs, n_terms, n_bytes, min_doc_freq)
-
-
-def table_size(table: DataFrame, term: str, value_bytes: int) -> tuple[int, int]:
-    """Rows and bytes of a term table. Terms can be of any length, so rows alone bound nothing."""
-    rows, letters = table.agg(F.count(F.lit(1)), F.sum(F.octet_length(term))).first()
-    return rows, (letters or 0) + rows * (value_bytes + ROW_OVERHEAD)
+    # Terms can be of any length, so their number alone bounds no bytes.
+    n_terms, letters, n_pairs = (
+        spark.read.parquet(path)
+        .agg(F.count(F.lit(1)), F.sum(F.octet_length("term")), F.sum("df"))
+        .first()
+    )
+    n_bytes = (letters or 0) + n_terms * (16 + ROW_OVERHEAD)
+    return IdfTable(path, n_docs, n_terms, n_bytes, n_pairs or 0, min_doc_freq)
 
 
 def join_term_table(
-    pairs: DataFrame,
-    table: DataFrame,
-    n_bytes: int,
-    key: str,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    pairs: DataFrame, table: DataFrame, key: str, broadcast: bool, n_pairs: int = 0
 ) -> DataFrame:
-    """Left join of (key, term) pairs with a one-row-per-term table.
+    """Left join of (key, term) pairs with a one-row-per-term table, which also tells in ``n`` how
+    many of ``n_pairs`` pairs held the term when it was made.
 
-    A small table is broadcast. A large one is shuffled with a salt: a term that a third of all
-    pairs share is spread over SALTS tasks, at the price of SALTS copies of the table, which is
-    tiny beside the pairs. The salt is a hash of the key, so a retried task repeats it.
+    A small table is broadcast. Of a large one only the hot terms are: at most HOT_TERMS, however
+    large the table. Pairs that met theirs pass the shuffle under a key that no row of the table has, a
+    hash of their own key, which spreads them evenly; a retried task repeats it.
     """
-    if n_bytes <= broadcast_bytes:
-        return pairs.join(F.broadcast(table), "term", "left")
-    salted_pairs = pairs.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted_pairs.join(copies, ["term", "salt"], "left").drop("salt")
+    values = [c for c in table.columns if c not in ("term", "n")]
+    if broadcast:
+        return pairs.join(F.broadcast(table.select("term", *values)), "term", "left")
+    length = F.octet_length(F.col("term").cast("string"))
+    hot = table.where((F.col("n") * HOT_TERMS >= n_pairs) & (length <= HOT_BYTES))
+    known = F.struct(*values)
+    met = F.col("hot_values").isNotNull()
+    left = pairs.join(
+        F.broadcast(hot.select("term", known.alias("hot_values"))), "term", "left"
+    ).withColumns(
+        {"wanted": F.when(~met, F.col("term")), "spread": F.when(met, F.xxhash64(key)).otherwise(F.lit(0))}
+    )
+    rest = table.select(
+        F.col("term").alias("wanted"), F.lit(0).cast("long").alias("spread"), known.alias("cold_values")
+    )
+    joined = left.join(rest, ["wanted", "spread"], "left")
+    found = F.coalesce("hot_values", "cold_values").alias("found")
+    return joined.select(*pairs.columns, found).select(*pairs.columns, "found.*")
 
 
 def tf_idf(items: DataFrame, fitted: IdfTable, key: str = "id") -> DataFrame:
@@ -103,7 +118,7 @@ def tf_idf(items: DataFrame, fitted: IdfTable, key: str = "id") -> DataFrame:
     unless rare terms were cut off: then it counts as rare and gets 0."""
     unseen = math.log(fitted.n_docs + 1.0) if fitted.min_doc_freq <= 0 else 0.0
     pairs = term_frequency(items, key)
-    table = fitted.read(items.sparkSession).select("term", "idf")
-    joined = join_term_table(pairs, table, fitted.n_bytes, key)
+    table = fitted.read(items.sparkSession).select("term", F.col("df").alias("n"), "idf")
+    joined = join_term_table(pairs, table, key, fitted.n_bytes <= BROADCAST_BYTES, fitted.n_pairs)
     weight = F.coalesce(F.col("idf"), F.lit(unseen))
     return joined.select(key, "term", "tf", (F.col("tf") * weight).alias("tf_idf"))

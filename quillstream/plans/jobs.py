@@ -31,21 +31,30 @@ from quillstream.operators.stages import (
 
 @dataclass(frozen=True)
 class Models:
-    """Paths of the trained models."""
+    """Paths of the trained models: word vectors, a classifier on them, and word vectors of another
+    kind for the second embedding of sentences."""
 
     vectors: str
     classifier: str
+    second: str
 
 
 def train_models(
-    items: DataFrame, labels: DataFrame, folder: str, size: int = 128, **options
+    items: DataFrame,
+    labels: DataFrame,
+    folder: str,
+    size: int = 128,
+    window: int = 2,
+    second_window: int = 1,
 ) -> Models:
-    """Train word vectors on the item texts and a classifier on the items that have a label.
-    ``labels`` holds id and label (0 or 1); options go to ``embed.fit_vectors``."""
-    vectors = embed.fit_vectors(items, f"{folder}/vectors", size=size, **options)
-    rows = embed.mean_vectors(items.select("id", "text"), vectors).drop("text")
+    """Train both kinds of word vectors on the item texts, from wider and narrower windows, and a
+    classifier on the items that have a label. ``labels`` holds id and label (0 or 1)."""
+    vectors = embed.fit_vectors(items, f"{folder}/vectors", size, window)
+    second = embed.fit_vectors(items, f"{folder}/second", size, second_window)
+    labelled = items.select("id", "text").join(labels.select("id").distinct(), "id", "left_semi")
+    rows = embed.mean_vectors(labelled, vectors).drop("text")
     classifier = classify.fit_classifier(rows, labels, f"{folder}/classifier")
-    return Models(vectors, classifier)
+    return Models(vectors, classifier, second)
 
 
 def text_stages() -> list:
@@ -86,19 +95,18 @@ def document_stages(models: Models, threshold: float = 0.7) -> list:
 def sentence_stages(
     models: Models,
     threshold: float = classify.DEFAULT_THRESHOLD,
-    second_vectors: str | None = None,
+    token_units: str = "sentence",
 ) -> list:
-    """Two embeddings and a sentiment per sentence, and keywords per document. The first embedding
-    may have a model of its own. The tokens here come from the sentences, so that no keyword
-    crosses one."""
+    """Two embeddings and a sentiment per sentence, and keywords per document. The tokens come from
+    the sentences, so that no keyword crosses one, or from the whole document."""
     return [
         DocumentStage(inputCol="text", outputCol="document"),
         SentenceStage(inputCol="document", outputCol="sentence"),
-        TokenStage(inputCol="sentence", outputCol="token"),
+        TokenStage(inputCol=token_units, outputCol="token"),
         EmbeddingStage(
             inputCol="sentence",
             outputCol="bert_sentence_embeddings",
-            modelPath=second_vectors or models.vectors,
+            modelPath=models.second,
         ),
         EmbeddingStage(
             inputCol="sentence", outputCol="sentence_embeddings", modelPath=models.vectors
@@ -165,14 +173,18 @@ def prepare(raw: DataFrame, text_fill: str = "", keep_ghosts: bool = True) -> Da
     return records.item_text(records.normalize_items(items, text_fill))
 
 
-def annotate_documents(raw: DataFrame, fitted: PipelineModel) -> DataFrame:
+def annotate_documents(
+    raw: DataFrame, fitted: PipelineModel, text_fill: str = "", keep_ghosts: bool = True
+) -> DataFrame:
     """Records to JSON values of fully annotated items."""
-    return records.json_envelope(fitted.transform(prepare(raw, text_fill="")))
+    return records.json_envelope(fitted.transform(prepare(raw, text_fill, keep_ghosts)))
 
 
-def annotate_sentences(raw: DataFrame, fitted: PipelineModel) -> DataFrame:
+def annotate_sentences(
+    raw: DataFrame, fitted: PipelineModel, text_fill: str = ".", keep_ghosts: bool = True
+) -> DataFrame:
     """Records to rows annotated per sentence, with keywords."""
-    return fitted.transform(prepare(raw, text_fill="."))
+    return fitted.transform(prepare(raw, text_fill, keep_ghosts))
 
 
 def count_words(raw: DataFrame) -> DataFrame:

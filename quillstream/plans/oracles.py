@@ -179,6 +179,100 @@ ranked AS (
   FROM keyword WHERE score <= 0.6)"""
 
 
+# The vectors' size in the registered queries, and the label thresholds of the two jobs.
+SIZE = 16
+DOCUMENT_THRESHOLD, SENTENCE_THRESHOLD = 0.7, 0.6
+
+SAID = f"""word_list AS (
+  SELECT id, regexp_extract_all(lower(text), {_text(TOKEN)}, 0) AS list FROM items),
+spoken AS (
+  SELECT id, unnest(list) AS w, generate_subscripts(list, 1) AS n FROM word_list),
+said AS (
+  SELECT id, n, w, ('0x' || substr(md5(w), 1, 13))::BIGINT AS x FROM spoken)"""
+
+
+def _vectors(name: str, window: int) -> str:
+    """Whole numbers q of every bucket's vector, in units of 2^-15."""
+    near = ", ".join(
+        [f"lag(x, {o}) OVER o" for o in range(1, window + 1)]
+        + ["x"]
+        + [f"lead(x, {o}) OVER o" for o in range(1, window + 1)]
+    )
+    return f"""{name}_near AS (
+  SELECT x, [{near}] AS list FROM said WINDOW o AS (PARTITION BY id ORDER BY n)),
+{name}_pair AS (SELECT x, unnest(list) AS y FROM {name}_near),
+{name}_cell AS (
+  SELECT x % 262144 AS bucket, ((y // 262144) % 8589934592) % {SIZE} AS dim,
+    sum(CASE WHEN y >= 2251799813685248 THEN 1 ELSE -1 END) AS n
+  FROM {name}_pair WHERE y IS NOT NULL GROUP BY ALL),
+{name}_log AS (
+  SELECT bucket, dim, sign(n) * ln(1.0::DOUBLE + abs(n)::DOUBLE) AS t FROM {name}_cell),
+{name}_norm AS (SELECT bucket, sqrt(sum(t * t)) AS norm FROM {name}_log GROUP BY bucket),
+{name} AS (
+  SELECT bucket, dim, CAST(CASE WHEN norm > 0 THEN floor(32768::DOUBLE * t / norm + 0.5::DOUBLE)
+    ELSE 0 END AS BIGINT) AS q
+  FROM {name}_log JOIN {name}_norm USING (bucket))"""
+
+
+def _means(name: str, vectors: str, units: str, keys: str) -> str:
+    """keys, dim, v: mean vectors of units, from rows of keys and x (null where a unit has no word);
+    and their numbers in millionths as text."""
+    return f"""{name}_sum AS (
+  SELECT {keys}, dim, sum(q) AS total FROM {units} JOIN {vectors} ON x % 262144 = bucket
+  GROUP BY {keys}, dim),
+{name}_unit AS (SELECT {keys}, count(x) AS n FROM {units} GROUP BY {keys}),
+{name} AS (
+  SELECT {keys}, dim,
+    CAST(coalesce(total, 0)::DOUBLE / 32768::DOUBLE / greatest(n, 1)::DOUBLE AS FLOAT) AS v
+  FROM {name}_unit CROSS JOIN (SELECT unnest(range({SIZE})) AS dim) LEFT JOIN {name}_sum
+  USING ({keys}, dim)),
+{name}_text AS (
+  SELECT {keys}, string_agg(
+    CAST(CAST(floor(v::DOUBLE * 1000000::DOUBLE) AS BIGINT) AS VARCHAR), ',' ORDER BY dim) AS embedding
+  FROM {name} GROUP BY {keys})"""
+
+
+DOCUMENT_WORDS = "doc_word AS (SELECT items.id, x FROM items LEFT JOIN said USING (id))"
+
+SENTENCE_WORDS = f"""sentence_list AS (
+  SELECT id, s, regexp_extract_all(lower(result), {_text(TOKEN)}, 0) AS list FROM sentence),
+sentence_token AS (SELECT id, s, unnest(list) AS w FROM sentence_list),
+sentence_word AS (
+  SELECT sentence.id, sentence.s, ('0x' || substr(md5(w), 1, 13))::BIGINT AS x
+  FROM sentence LEFT JOIN sentence_token USING (id, s))"""
+
+# Two classes with means of their own and a common variance of every number.
+CLASSIFIER = """labelled AS (
+  SELECT doc_id AS id, quality AS label, count(*)::DOUBLE AS w FROM labels
+  WHERE quality IN (0, 1) GROUP BY ALL),
+class AS (
+  SELECT dim, label, sum(w) AS n, sum(w * v::DOUBLE) AS s, sum(w * v::DOUBLE * v::DOUBLE) AS ss
+  FROM doc JOIN labelled USING (id) GROUP BY dim, label),
+split AS (
+  SELECT dim, b.n AS n1, a.n AS n0, b.s / b.n AS m1, a.s / a.n AS m0,
+    (a.ss + b.ss - a.s * a.s / a.n - b.s * b.s / b.n) / (a.n + b.n) + 0.000001::DOUBLE AS variance
+  FROM (SELECT * FROM class WHERE label = 0) a JOIN (SELECT * FROM class WHERE label = 1) b
+  USING (dim)),
+line AS (SELECT dim, (m1 - m0) / variance AS c FROM split),
+base AS (
+  SELECT max(ln((1 + n1) / (1 + n0))) - sum((m1 * m1 - m0 * m0) / (2 * variance)) AS c0 FROM split)"""
+
+
+def _labels(name: str, vectors: str, keys: str, threshold: float) -> str:
+    return f"""{name}_odds AS (
+  SELECT {keys}, greatest(-30, least(30, any_value(c0) + sum(v::DOUBLE * c))) AS odds
+  FROM {vectors} JOIN line USING (dim) CROSS JOIN base GROUP BY {keys}),
+{name}_share AS (SELECT {keys}, 1::DOUBLE / (1::DOUBLE + exp(-odds)) AS positive FROM {name}_odds),
+{name} AS (
+  SELECT {keys}, positive, CASE WHEN greatest(positive, 1 - positive) < {threshold} THEN 'neutral'
+    WHEN positive >= 0.5 THEN 'positive' ELSE 'negative' END AS sentiment
+  FROM {name}_share)"""
+
+
+DOCUMENT_VECTORS = f"""{ITEMS}, {SAID}, {_vectors("vec", 2)}, {DOCUMENT_WORDS},
+{_means("doc", "vec", "doc_word", "id")}"""
+
+
 ORACLES: dict[str, str] = {
     "stream_source": f"SELECT CAST(event_id AS VARCHAR) AS key, {EVENT_JSON} AS value FROM events",
     "stream_tail": f"""SELECT event_id AS "offset", CAST(event_id AS VARCHAR) AS key,
@@ -287,17 +381,43 @@ SELECT items.id, CAST(coalesce(s.n, 0) AS INTEGER) AS sentences,
   CAST(coalesce(t.n, 0) AS BIGINT) AS tf_total,
   CAST(len(regexp_extract_all(text, {_text(TOKEN)})) AS INTEGER) AS "wordCount"
 FROM items LEFT JOIN s USING (id) LEFT JOIN t USING (id)""",
-    "document_job": f"""WITH {ITEMS},
+    "token_embeddings": f"""WITH {ITEMS}, {SENTENCES}, {TOKENS}, {SAID}, {_vectors("vec", 2)},
+dense AS (
+  SELECT bucket, string_agg(CAST(CAST(floor(CAST(coalesce(q, 0)::DOUBLE / 32768::DOUBLE AS FLOAT)::DOUBLE
+    * 1000000::DOUBLE) AS BIGINT) AS VARCHAR), ',' ORDER BY dim) AS embedding
+  FROM (SELECT DISTINCT bucket FROM vec) CROSS JOIN (SELECT unnest(range({SIZE})) AS dim)
+    LEFT JOIN vec USING (bucket, dim)
+  GROUP BY bucket)
+SELECT id, CAST(pos AS INTEGER) AS position, tok AS token,
+  coalesce(embedding, repeat('0,', {SIZE - 1}) || '0') AS embedding
+FROM token LEFT JOIN dense ON ('0x' || substr(md5(lower(tok)), 1, 13))::BIGINT % 262144 = bucket""",
+    "doc_embeddings": f"WITH {DOCUMENT_VECTORS} SELECT id, embedding FROM doc_text",
+    "sentence_embeddings": f"""WITH {ITEMS}, {SENTENCES}, {SAID}, {_vectors("vec", 2)},
+{SENTENCE_WORDS}, {_means("sent", "vec", "sentence_word", "id, s")}
+SELECT id, CAST(s AS INTEGER) AS position, embedding FROM sent_text""",
+    "sentiment": f"""WITH {DOCUMENT_VECTORS}, {CLASSIFIER},
+{_labels("judged", "doc", "id", DOCUMENT_THRESHOLD)}
+SELECT id, round(positive, 6) AS positive, sentiment FROM judged""",
+    "document_job": f"""WITH {DOCUMENT_VECTORS}, {CLASSIFIER},
+{_labels("judged", "doc", "id", DOCUMENT_THRESHOLD)},
+bucket_total AS (SELECT bucket, sum(q) AS q FROM vec GROUP BY bucket),
 counted AS (
-  SELECT id, CAST(len(regexp_extract_all(text, {_text(TOKEN)})) AS INTEGER) AS n FROM items)
-SELECT id, n AS "wordCount", n AS token_vectors, CAST(1 AS INTEGER) AS sentiments, true AS labelled
-FROM counted""",
-    "sentence_job": f"""WITH {ITEMS}, {SENTENCES}, {TOKENS}, {KEYWORDS},
+  SELECT id, count(*) AS n, sum(q) AS total FROM said JOIN bucket_total ON x % 262144 = bucket
+  GROUP BY id)
+SELECT items.id, CAST(coalesce(n, 0) AS INTEGER) AS "wordCount",
+  CAST(coalesce(n, 0) AS INTEGER) AS token_vectors, CAST(coalesce(total, 0) AS BIGINT) AS token_total,
+  sentiment, embedding
+FROM items JOIN judged USING (id) JOIN doc_text USING (id) LEFT JOIN counted USING (id)""",
+    "sentence_job": f"""WITH {DOCUMENT_VECTORS}, {CLASSIFIER}, {SENTENCES}, {TOKENS}, {KEYWORDS},
+{SENTENCE_WORDS}, {_means("sent", "vec", "sentence_word", "id, s")},
+{_vectors("vec2", 1)}, {_means("sent2", "vec2", "sentence_word", "id, s")},
+{_labels("judged", "sent", "id, s", SENTENCE_THRESHOLD)},
 found AS (SELECT id, count(*) AS n FROM ranked WHERE rank <= 10 GROUP BY id)
-SELECT sentence.id, CAST(s AS INTEGER) AS position, CAST(b AS INTEGER) AS "begin",
-  CAST(b + length(result) - 1 AS INTEGER) AS "end", true AS labelled,
-  CAST(coalesce(n, 0) AS INTEGER) AS n_keywords
-FROM sentence LEFT JOIN found USING (id)""",
+SELECT id, CAST(s AS INTEGER) AS position, CAST(b AS INTEGER) AS "begin",
+  CAST(b + length(result) - 1 AS INTEGER) AS "end", sentiment, sent_text.embedding AS embedding,
+  sent2_text.embedding AS second, CAST(coalesce(n, 0) AS INTEGER) AS n_keywords
+FROM sentence JOIN judged USING (id, s) JOIN sent_text USING (id, s) JOIN sent2_text USING (id, s)
+  LEFT JOIN found USING (id)""",
     "model_roundtrip": f"""WITH {ITEMS}, {WS_TOKENS}, {BUCKETS},
 counts AS (
   SELECT id, bucket, count(*) AS tf FROM ws JOIN bucketed USING (term) GROUP BY id, bucket),

@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 PLACES = 6
 # Small vectors keep the results of the embedding queries readable; the default is 128.
-VECTOR_SIZE = 32
+VECTOR_SIZE = 16
 ITEM_COLUMNS = ["id", "type", "by", "time", "text"]
 
 
@@ -269,7 +268,7 @@ def tf_idf(spark: SparkSession, sf: str) -> DataFrame:
 _MODELS: dict[tuple[str, str], jobs.Models] = {}
 
 
-def _models(spark: SparkSession, sf: str) -> jobs.Models:
+def trained_models(spark: SparkSession, sf: str) -> jobs.Models:
     """Models trained on the documents; once per application and table folder."""
     known = (spark.sparkContext.applicationId, os.path.abspath(sf))
     if known not in _MODELS:
@@ -283,28 +282,32 @@ def _models(spark: SparkSession, sf: str) -> jobs.Models:
     return _MODELS[known]
 
 
-def token_embeddings(spark: SparkSession, sf: str) -> DataFrame:
-    tokens = annotate.with_tokens(_annotated(spark, sf))
-    return embed.token_vectors(tokens, _models(spark, sf).vectors)
+def _digits(vector: str):
+    """A vector as text: its numbers in millionths, rounded down."""
+    millionths = F.transform(vector, lambda x: F.floor(x.cast("double") * 1e6).cast("string"))
+    return F.array_join(millionths, ",")
 
 
-def _embedding_rows(rows: DataFrame, *keep: str) -> DataFrame:
-    return rows.select(*keep, vector_to_array("embedding", "float32").alias("embedding"))
+def token_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = annotate.with_tokens(_annotated(spark, sf))
+    rows = embed.token_vectors(tokens, trained_models(spark, sf).vectors)
+    return rows.withColumn("embedding", _digits("embedding"))
 
 
 def doc_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     items = _items(spark, sf).select("id", "text")
-    return _embedding_rows(embed.mean_vectors(items, _models(spark, sf).vectors), "id")
+    rows = embed.mean_vectors(items, trained_models(spark, sf).vectors)
+    return rows.select("id", _digits("embedding").alias("embedding"))
 
 
 def sentence_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     rows = annotate.annotation_rows(_annotated(spark, sf), "sentence", "id")
-    vectors = embed.mean_vectors(rows, _models(spark, sf).vectors, text="result")
-    return _embedding_rows(vectors, "id", "position")
+    vectors = embed.mean_vectors(rows, trained_models(spark, sf).vectors, text="result")
+    return vectors.select("id", "position", _digits("embedding").alias("embedding"))
 
 
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    models = _models(spark, sf)
+    models = trained_models(spark, sf)
     vectors = embed.mean_vectors(_items(spark, sf).select("id", "text"), models.vectors)
     labelled = classify.classify(vectors, models.classifier, threshold=0.7)
     return labelled.select("id", F.round("positive", PLACES).alias("positive"), "sentiment")
@@ -355,7 +358,7 @@ def fit_apply(spark: SparkSession, sf: str) -> DataFrame:
     turns = tables.read_table(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"), "text"
     )
-    turns.repartition(4, "id").write.parquet(f"{work}/turns")
+    turns.write.option("maxRecordsPerFile", 5000).parquet(f"{work}/turns")
     stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 2)
     weights = terms.tf_idf(
         annotate.with_whitespace_tokens(stream.parquet(f"{work}/turns")), fitted
@@ -386,7 +389,7 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def document_job(spark: SparkSession, sf: str) -> DataFrame:
     """The whole per-document job on a stream, to JSON values in a file sink, and back."""
     work = scratch_path(spark, "document-job")
-    models = _models(spark, sf)
+    models = trained_models(spark, sf)
     topic = tables.land_topic(_items(spark, sf), "id", f"{work}/topic")
     fitted = jobs.compose(
         jobs.document_stages(models, threshold=0.7), _items(spark, sf).select("id", "text")
@@ -394,36 +397,44 @@ def document_job(spark: SparkSession, sf: str) -> DataFrame:
     values = jobs.annotate_documents(io.read_record_files(spark, topic), fitted)
     io.drain(io.write_files(values, f"{work}/out", f"{work}/checkpoint"))
     schema = (
-        "id bigint, wordCount int, sentiment array<struct<result string>>, "
-        "bert_embeddings array<struct<result string>>"
+        "id bigint, wordCount int, sentiment array<struct<result string>>, sentence_embeddings "
+        "array<struct<embeddings array<float>>>, bert_embeddings array<struct<embeddings array<float>>>"
     )
     parsed = spark.read.parquet(f"{work}/out").select(F.from_json("value", schema).alias("v"))
+    units = F.aggregate(
+        F.flatten("v.bert_embeddings.embeddings"),
+        F.lit(0).cast("long"),
+        lambda total, x: total + F.round(x.cast("double") * embed.SCALE).cast("long"),
+    )
     return parsed.select(
         "v.id",
         "v.wordCount",
         F.size("v.bert_embeddings").alias("token_vectors"),
-        F.size("v.sentiment").alias("sentiments"),
-        F.col("v.sentiment")[0]["result"].isin(*classify.LABELS).alias("labelled"),
+        units.alias("token_total"),
+        F.array_join("v.sentiment.result", ",").alias("sentiment"),
+        _digits(F.col("v.sentence_embeddings")[0]["embeddings"]).alias("embedding"),
     )
 
 
 def sentence_job(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole per-sentence job on a stream; a row per sentence. The labels themselves depend on
-    the trained model (see ``sentiment``), so here only their presence is shown."""
+    """The whole per-sentence job on a stream; a row per sentence."""
     work = scratch_path(spark, "sentence-job")
-    models = _models(spark, sf)
+    models = trained_models(spark, sf)
     topic = tables.land_topic(_items(spark, sf), "id", f"{work}/topic")
     fitted = jobs.compose(jobs.sentence_stages(models), _items(spark, sf).select("id", "text"))
     rows = jobs.annotate_sentences(io.read_record_files(spark, topic), fitted)
     io.drain(io.write_files(rows, f"{work}/out", f"{work}/checkpoint"))
     annotated = spark.read.parquet(f"{work}/out").withColumn("n_keywords", F.size("keywords"))
-    labels = annotate.annotation_rows(annotated, "sentiment", "id", "n_keywords")
-    return labels.select(
+    each_one = F.arrays_zip("sentiment", "sentence_embeddings", "bert_sentence_embeddings")
+    sentences_ = each(annotated, each_one, "s", "id", "n_keywords")
+    return sentences_.select(
         "id",
         "position",
-        "begin",
-        "end",
-        F.col("result").isin(*classify.LABELS).alias("labelled"),
+        "s.sentiment.begin",
+        "s.sentiment.end",
+        F.col("s.sentiment.result").alias("sentiment"),
+        _digits("s.sentence_embeddings.embeddings").alias("embedding"),
+        _digits("s.bert_sentence_embeddings.embeddings").alias("second"),
         "n_keywords",
     )
 

@@ -1,11 +1,15 @@
 """Embeddings, classification, composed stages and the two jobs."""
 
+import hashlib
+import json
+import math
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import functions as F
 
 from quillstream.functions import text as X
@@ -16,7 +20,7 @@ from quillstream.session import scratch_path
 from quillstream.sources import tables
 from quillstream.streaming import io
 
-SIZE = 8
+SIZE = 16
 
 
 @pytest.fixture(scope="module")
@@ -40,41 +44,73 @@ def models(spark, items):
         train.select("id", "label"),
         scratch_path(spark, "models"),
         size=SIZE,
-        min_count=1,
-        iterations=10,
-        partitions=1,
     )
 
 
-@pytest.fixture(scope="module")
-def words(models):
-    return {r.word: r.vector.toArray() for r in Word2VecModel.load(models.vectors).getVectors().collect()}
+def code(word):
+    return int(hashlib.md5(word.encode()).hexdigest()[:13], 16)
+
+
+def words_of(text):
+    return regex.findall(X.TOKEN, text.lower())
+
 
+def counted_vectors(texts, size, window, buckets):
+    """Brute force: one unit for every word near a word."""
+    counts = defaultdict(lambda: [0] * size)
+    for text in texts:
+        codes = [code(w) for w in words_of(text)]
+        for i, c in enumerate(codes):
+            for n in codes[max(0, i - window) : i + window + 1]:
+                counts[c % buckets][(n >> 18) % (1 << 33) % size] += 1 if n >> 51 else -1
+    vectors = {}
+    for bucket, row in counts.items():
+        logs = [math.copysign(math.log1p(abs(n)), n) for n in row]
+        norm = math.sqrt(sum(t * t for t in logs)) or 1.0
+        vectors[bucket] = [math.floor(t / norm * embed.SCALE + 0.5) / embed.SCALE for t in logs]
+    return vectors
 
-def test_bounded_min_count(spark):
-    words = [f"w{i}" for i in range(1, 41) for _ in range(i)]
-    rows = spark.createDataFrame([(words,)], "words array<string>")
-    assert embed.bounded_min_count(rows, 100, 5) == 5
-    # 36 words occur 5 times or more, 31 at least 10, 21 at least 20, one at least 40.
-    assert embed.bounded_min_count(rows, 35, 5) == 10
-    assert embed.bounded_min_count(rows, 21, 5) == 20
-    assert embed.bounded_min_count(rows, 20, 5) == 40
+
+@pytest.fixture(scope="module")
+def words(items):
+    """The vectors that the models should hold, by bucket."""
+    texts = [r.text for r in items.where("id < 160").collect()]
+    return counted_vectors(texts, SIZE, 2, embed.BUCKETS)
+
+
+@pytest.mark.parametrize("window, buckets", [(1, embed.BUCKETS), (2, 7), (3, 1)])
+def test_vectors_by_brute_force(spark, window, buckets):
+    """Few buckets, so words share them; one text holds a word a third of the time."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["hot", "a", "b", "c-d", "e"], [4, 2, 2, 2, 2], k=n)) for n in (0, 1, 2, 3, 400)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "text string").repartition(3)
+    path = embed.fit_vectors(rows, scratch_path(spark, "v"), size=5, window=window, buckets=buckets)
+    model = embed.load_vectors(spark, path)
+    found = {r.bucket: r for r in model.table.collect()}
+    assert {b: r.vector for b, r in found.items()} == counted_vectors(texts, 5, window, buckets)
+    assert sum(r.n for r in found.values()) == sum(len(words_of(t)) for t in texts)
+    assert (model.size, model.buckets, model.n_bytes) == (5, buckets, 20 * buckets)
+    with pytest.raises(Exception, match="already exists"):
+        embed.fit_vectors(rows, path)
+
+
+def test_vectors_of_an_empty_table(spark):
+    path = embed.fit_vectors(spark.createDataFrame([], "text string"), scratch_path(spark, "v"), size=3)
+    rows = spark.createDataFrame([("a b",), (None,)], "text string")
+    assert [r.embedding for r in embed.mean_vectors(rows, path).collect()] == [[0.0] * 3] * 2
 
 
 def test_document_vectors_are_means(items, models, words):
     rows = embed.mean_vectors(items.select("id", "text"), models.vectors).limit(5).collect()
-    import regex
-
     for r in rows:
-        tokens = regex.findall(X.TOKEN, r.text.lower())
-        expected = np.mean([words[t] for t in tokens], axis=0)
-        assert r.embedding.toArray() == pytest.approx(expected, abs=1e-5)
+        expected = np.mean([words[code(t) % embed.BUCKETS] for t in words_of(r.text)], axis=0)
+        assert r.embedding == pytest.approx(expected, abs=1e-6)
 
 
 def test_unknown_words_give_zeros(spark, models):
-    rows = spark.createDataFrame([(1, "zzz qqq"), (2, "")], "id bigint, text string")
+    rows = spark.createDataFrame([(1, "zzz qqq"), (2, ""), (3, None)], "id bigint, text string")
     for r in embed.mean_vectors(rows, models.vectors).collect():
-        assert r.embedding.toArray().tolist() == [0.0] * SIZE
+        assert r.embedding == [0.0] * SIZE
     token = annotate.with_tokens(annotate.with_document(rows), units="document")
     vectors = embed.token_vectors(token, models.vectors).collect()
     assert [(v.token, v.embedding) for v in vectors] == [("zzz", [0.0] * SIZE), ("qqq", [0.0] * SIZE)]
@@ -98,27 +134,35 @@ def test_stage_vectors_equal_the_flat_ones(spark, items, models):
     pairs = got.join(flat.select("id", "position", F.col("embedding").alias("x")), ["id", "position"])
     assert pairs.count() == 40
     for r in pairs.collect():
-        assert r.embeddings == pytest.approx(r.x.toArray().tolist(), abs=1e-5)
+        assert r.embeddings == pytest.approx(r.x, abs=1e-5)
         assert r.annotatorType == "sentence_embeddings"
 
 
 def test_encoder_in_small_batches(spark, items, models):
     """Results that leave in batches of few vectors still meet their own rows."""
     units = F.transform(F.array(F.col("text"), F.lit("")), embed.model_words)
-    whole = embed.word2vec_encoder(spark, models.vectors)
-    small = embed.word2vec_encoder(spark, models.vectors, flush_vectors=3)
+    units = F.when(F.col("id") != 7, units)
+    whole = embed.vector_encoder(spark, models.vectors)
+    small = embed.vector_encoder(spark, models.vectors, flush_vectors=3)
     rows = items.select("id", whole(units).alias("a"), small(units).alias("b")).collect()
     assert len(rows) == 240 and all(r.a == r.b for r in rows)
+    assert [r.id for r in rows if r.a is None] == [7]
     assert rows[0].a[1] == [0.0] * SIZE
-    assert embed.word2vec_encoder(spark, models.vectors) is whole
+    assert embed.vector_encoder(spark, models.vectors) is whole
+
+
+def test_vectors_beyond_the_broadcast_limit(spark, models, monkeypatch):
+    monkeypatch.setattr(embed, "BROADCAST_BYTES", 0)
+    with pytest.raises(ValueError, match="too many to broadcast"):
+        embed.vector_encoder(spark, models.vectors, flush_vectors=11)
 
 
 def test_large_vector_table_is_not_broadcast(spark, items, models, monkeypatch):
     rows = annotate.with_tokens(annotate.with_document(items.limit(10)), units="document").cache()
     expected = {(r.id, r.position): r.embedding for r in embed.token_vectors(rows, models.vectors).collect()}
     monkeypatch.setattr(embed, "BROADCAST_BYTES", 0)
-    salted = embed.token_vectors(rows, models.vectors).collect()
-    assert {(r.id, r.position): r.embedding for r in salted} == expected
+    shuffled = embed.token_vectors(rows, models.vectors).collect()
+    assert {(r.id, r.position): r.embedding for r in shuffled} == expected
 
 
 def test_classifier_learns(items, models):
@@ -147,11 +191,34 @@ def test_repeated_labels_are_weights(spark, items, models):
     vectors = embed.mean_vectors(items.select("id", "text"), models.vectors).drop("text")
     once = items.select("id", "label")
     often = once.union(spark.range(1000).select(F.lit(1).cast("bigint").alias("id"), F.lit(1).alias("label")))
-    path = classify.fit_classifier(vectors, often, scratch_path(spark, "lr"))
+    path = classify.fit_classifier(vectors, often, scratch_path(spark, "classifier"))
     assert classify.classify(vectors, path).count() == 240
 
 
-def test_sentiment_stage_equals_mllib(items, models):
+def test_classifier_by_brute_force(spark):
+    rows = [(1, [0.0, 1.0], 0), (2, [2.0, 1.0], 0), (3, [3.0, 1.0], 1), (4, [5.0, 1.0], 1), (4, [5.0, 1.0], 1)]
+    vectors = spark.createDataFrame([r[:2] for r in rows[:4]] + [(9, [7.0, 7.0])], "id int, embedding array<float>")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows] + [(1, None), (2, 5)], "id int, label int")
+    path = classify.fit_classifier(vectors, labels, scratch_path(spark, "classifier"))
+    # Class means 1 and 13/3; squares within the classes 2 and 8/3; the second number tells nothing.
+    variance = (2 + 8 / 3) / 5 + classify.LEAST_VARIANCE
+    coefficient = (13 / 3 - 1) / variance
+    middle = ((13 / 3) ** 2 - 1) / (2 * variance)
+    for r in classify.classify(vectors, path).collect():
+        logit = math.log(4 / 3) + coefficient * r.embedding[0] - middle
+        assert r.positive == pytest.approx(1 / (1 + math.exp(-min(30, max(-30, logit)))))
+
+
+@pytest.mark.parametrize("labels, positive", [([], 0.5), ([(1, 1)], 2 / 3), ([(1, 0), (2, 0)], 0.25)])
+def test_classifier_without_both_classes(spark, labels, positive):
+    vectors = spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 4.0])], "id int, embedding array<float>")
+    labels = spark.createDataFrame(labels, "id int, label int")
+    path = classify.fit_classifier(vectors, labels, scratch_path(spark, "classifier"))
+    for r in classify.classify(vectors, path).collect():
+        assert r.positive == pytest.approx(positive)
+
+
+def test_sentiment_stage_equals_the_flat_one(items, models):
     rows = annotate.with_document(items)
     rows = EmbeddingStage(inputCol="document", outputCol="e", modelPath=models.vectors).transform(rows)
     stage = SentimentStage(inputCol="e", outputCol="s", modelPath=models.classifier, threshold=0.7)
@@ -164,7 +231,8 @@ def test_sentiment_stage_equals_mllib(items, models):
 
 def test_composed_stages_survive_saving(spark, items, models):
     text = items.select("id", "text")
-    for stages in (jobs.document_stages(models), jobs.sentence_stages(models)):
+    per_document = jobs.sentence_stages(models, token_units="document")
+    for stages in (jobs.document_stages(models), jobs.sentence_stages(models), per_document):
         fitted = jobs.compose(stages, text)
         path = scratch_path(spark, "saved")
         fitted.write().overwrite().save(path)
@@ -181,7 +249,7 @@ def test_composed_stages_survive_saving(spark, items, models):
 @pytest.mark.parametrize("kind", ["document", "sentence"])
 def test_jobs_on_a_stream_equal_batch(spark, items, models, kind):
     work = scratch_path(spark, kind)
-    topic = tables.land_topic(items.select("id", "text"), "id", f"{work}/topic", files=3)
+    topic = tables.land_topic(items.select("id", "text"), "id", f"{work}/topic", rows_per_file=80)
     text = items.select("id", "text")
     if kind == "document":
         job, fitted = jobs.annotate_documents, jobs.compose(jobs.document_stages(models), text)
@@ -203,14 +271,14 @@ def test_jobs_on_a_stream_equal_batch(spark, items, models, kind):
     got = sorted(r.v for r in spark.read.parquet(f"{work}/out").select(as_json).collect())
     assert got == sorted(r.v for r in batch.select(as_json).collect()) and len(got) == 240
     if kind == "document":
-        import json
-
         one = json.loads(json.loads(got[0])["value"])
         assert set(one) == columns
         assert len(one["bert_embeddings"]) == one["wordCount"]
         assert len(one["bert_embeddings"][0]["embeddings"]) == SIZE
     else:
         assert set(batch.columns) == columns
+        one = json.loads(got[0])
+        assert one["bert_sentence_embeddings"][0]["embeddings"] != one["sentence_embeddings"][0]["embeddings"]
 
 
 def test_ghosts(spark, items):

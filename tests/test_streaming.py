@@ -23,7 +23,7 @@ def work(spark):
 
 @pytest.fixture
 def topic(spark, small, work):
-    return tables.land_topic(tables.document_items(spark, small), "id", f"{work}/topic", files=6)
+    return tables.land_topic(tables.document_items(spark, small), "id", f"{work}/topic", rows_per_file=35)
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, topic, work):

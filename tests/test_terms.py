@@ -102,18 +102,27 @@ def test_unseen_term(spark, items):
     assert got["never"] == pytest.approx(2 * math.log(fitted.n_docs + 1))
 
 
-def test_salted_join_equals_broadcast(spark):
-    """A term in a third of all pairs, joined both ways."""
+def test_joins_of_large_tables_equal_broadcast(spark):
+    """A term in a third of all pairs, one that the table doesn't know, null terms, clashing ids."""
+    kind = F.col("id") % 3
     pairs = spark.range(3000).select(
-        F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), "id")).alias("term")
+        (F.col("id") % 1000).alias("id"),
+        F.when(kind == 0, "hot").when(kind == 1, F.concat(F.lit("t"), "id")).alias("term"),
     )
-    table = spark.createDataFrame([("hot", 1.0), ("t1", 2.0)], "term string, w double")
-    small = terms.join_term_table(pairs, table, 2, "id")
-    large = terms.join_term_table(pairs, table, 2, "id", broadcast_bytes=0)
-    assert "salt" not in small.columns
-    left = sorted(map(tuple, small.select("id", "term", "w").collect()), key=str)
-    right = sorted(map(tuple, large.select("id", "term", "w").collect()), key=str)
-    assert left == right and len(left) == 3000
-    # The hot term meets the table in many partitions, not in one.
-    salted = large.where("term = 'hot'").select(F.pmod(F.xxhash64("id"), F.lit(terms.SALTS)).alias("s"))
-    assert salted.distinct().count() > terms.SALTS // 2
+    rows = [("hot", 1000, 1.0, None), ("t1", 1, 2.0, "x"), ("t4", 1, None, "y")]
+    table = spark.createDataFrame(rows, "term string, n bigint, w double, v string")
+    # By the share of pairs all three are hot, or the first one is.
+    small = terms.join_term_table(pairs, table, "id", broadcast=True)
+    for n_pairs in (3000, 100 * terms.HOT_TERMS):
+        large = terms.join_term_table(pairs, table, "id", broadcast=False, n_pairs=n_pairs)
+        assert large.columns == ["id", "term", "w", "v"]
+        left, right = (sorted(map(tuple, x.select("id", "term", "w", "v").collect()), key=str) for x in (small, large))
+        assert left == right and len(left) == 3000
+
+
+def test_tf_idf_by_a_shuffle(spark, items, monkeypatch):
+    fitted = terms.fit_idf(items, scratch_path(spark, "idf"))
+    expected = sorted(map(tuple, terms.tf_idf(items, fitted).collect()))
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, terms.tf_idf(items, fitted).collect())) == expected
+    assert fitted.n_pairs == len(expected)
