@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,8 @@ GROUP_PIECES = 4096
 REMEMBERED = 250_000
 
 PLAIN = regex.compile(r"\p{L}+|[^\p{White_Space}\p{L}\p{N}'<|]+")
+# The same for lower-cased ASCII.
+PLAIN_ASCII = re.compile(r"[a-z]+|[^\x20\x09-\x0Da-z0-9'<|]+")
 
 
 class WordIds:
@@ -47,30 +51,37 @@ class WordIds:
         if len(self.known) >= REMEMBERED:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        parts = [self._runs(w) for w in words]
-        missing = {p for run in parts for p in run if p not in known}
+        # A word of one run stands for itself: no list is made for it.
+        parts = [w.lower() if w.isalpha() and w.isascii() else self._runs(w) for w in words]
+        wanted = {p for p in parts if type(p) is str}
+        wanted.update(chain.from_iterable(p for p in parts if type(p) is not str))
+        missing = wanted - known.keys()
         known.update({p: older[p] for p in missing if p in older})
         new = [p for p in missing if p not in older]
         for start in range(0, len(new), 4096):
             some = new[start : start + 4096]
-            for part, encoding in zip(
-                some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True
-            ):
-                known[part] = np.array(encoding.ids, dtype="<u4").tobytes()
-        return [known[run[0]] if len(run) == 1 else b"".join([known[p] for p in run]) for run in parts]
+            ids = [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
+            data = np.array(list(chain.from_iterable(ids)), dtype="<u4").tobytes()
+            end = 0
+            for part, own in zip(some, ids, strict=True):
+                begin, end = end, end + 4 * len(own)
+                known[part] = data[begin:end]
+        return [known[p] if type(p) is str else b"".join([known[q] for q in p]) for p in parts]
 
     @staticmethod
-    def _runs(word: str) -> list[str]:
-        """What the library may encode apart: the whole word, if in doubt. Composed letters only, none
-        that is lowered to a letter and a mark, and none of a block that Unicode still adds to."""
+    def _runs(word: str) -> str | list[str]:
+        """What the library may encode apart: the runs, or the whole word if there is one or in doubt.
+        Composed letters only, none that is lowered to a letter and a mark, and none of a block that
+        Unicode still adds to."""
+        plain = PLAIN
         if word.isascii():
-            word = word.lower()
+            word, plain = word.lower(), PLAIN_ASCII
         elif "\u0130" in word or max(word) >= "\u0500" or not unicodedata.is_normalized("NFC", word):
-            return [word]
+            return word
         if word.isalpha():
-            return [word]
-        runs = PLAIN.findall(word)
-        return runs if sum(map(len, runs)) == len(word) > 0 else [word]
+            return word
+        runs = plain.findall(word)
+        return runs if len(runs) > 1 and sum(map(len, runs)) == len(word) else word
 
 
 @functools.lru_cache(maxsize=2)
