@@ -16,9 +16,10 @@ HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "markov")
 MIN_LENGTH = {"assign": 6, "access": 20, "hex": 24}
 
-# What the models judge: a whole run of these characters that has a digit and is 16 long at least.
+# What the models judge: a whole run of these characters, with or without digits, of this length at least.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
+MIN_RUN = 8
+RUN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_RUN},}}+"
 HINT = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
 # Documents whose words the model of ordinary identifiers is fitted on, about.
 SAMPLE_DOCUMENTS = 2_000
@@ -114,17 +115,57 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", sample_documents:
 def ratio(value: Column, table: list[float]) -> Column:
     """Mean log-likelihood ratio per pair of characters."""
     size = len(ALPHABET)
-    numbers = ",".join(f"{x:.6f}" for x in table)
+    # By the codes of both characters, all of them ASCII: a place is then a sum and no search.
+    by_code = [0.0] * (128 * 128)
+    for i, a in enumerate(ALPHABET):
+        for j, b in enumerate(ALPHABET):
+            by_code[128 * ord(a) + ord(b)] = table[i * size + j]
+    numbers = ",".join(f"{x:.6f}" for x in by_code)
     ratios = F.from_json(F.lit(f"[{numbers}]"), "array<double>")
-    characters = F.regexp_extract_all(value, F.lit("."), F.lit(0))
-    place = F.transform(characters, lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    pairs = F.zip_with(
-        F.slice(place, 1, F.size(place) - 1), F.slice(place, 2, F.size(place) - 1), lambda a, b: a * size + b
-    )
-    total = F.aggregate(pairs, F.lit(0.0), lambda sum_, k: sum_ + F.get(ratios, k))
+    start = F.struct(F.lit(0).alias("row"), F.lit(0.0).alias("sum"))
+
+    def step(state: Column, character: Column) -> Column:
+        code = F.ascii(character)
+        # Row 0 is that of no character before.
+        total = state["sum"] + F.coalesce(F.get(ratios, state["row"] + code), F.lit(0.0))
+        return F.struct((code * 128).alias("row"), total.alias("sum"))
+
+    total = F.aggregate(F.split(value, ""), start, step, lambda state: state["sum"])
     return total / (F.length(value) - 1)
 
 
+def suspected(text: Column, table: list[float], min_ratio: float) -> Column:
+    """Spans, of kind markov, of the runs that the models take for random strings.
+
+    Most texts have none, and so nothing is placed in them. In the others only what is kept grows the
+    state, so that a text costs its length."""
+    hits = F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
+    judged = F.transform(hits, lambda hit: F.struct(hit.alias("hit"), (ratio(hit, table) >= min_ratio).alias("random")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
+
+    def step(state: Column, pair: Column) -> Column:
+        begin = state["at"] + F.length(pair["gap"])
+        end = begin + F.length(pair["hit"])
+        span = F.struct(
+            F.lit("markov").alias("kind"), begin.alias("start"), end.alias("end"), pair["hit"].alias("value")
+        )
+        spans = F.when(pair["random"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
+        return F.struct(end.alias("at"), spans.alias("spans"))
+
+    def placed(runs: Column) -> Column:
+        gaps = F.transform(F.split(text, RUN, -1), lambda gap: F.struct(gap.alias("gap")))
+        pairs = F.zip_with(
+            F.slice(gaps, 1, F.size(runs)),
+            runs,
+            lambda gap, run: F.struct(gap["gap"].alias("gap"), run["hit"].alias("hit"), run["random"].alias("random")),
+        )
+        found = F.aggregate(pairs, start, step, lambda state: state["spans"])
+        return F.when(F.exists(runs, lambda run: run["random"]), found).otherwise(F.array().cast(_SPANS))
+
+    # A lambda's variable is worked out once, however often it is used.
+    return F.transform(F.array(judged), placed)[0]
+
+
 def find_secrets(
     docs: DataFrame,
     table: list[float],
@@ -134,9 +175,9 @@ def find_secrets(
 ) -> DataFrame:
     """id and spans (kind, start, end, value) of every row, by start and then in the order of KINDS.
 
-    Base spans come from the patterns. A run of at least 16 characters with a digit that no base span
-    touches is added, as kind markov, if the model of random strings explains it better than the model
-    of identifiers by min_ratio for each pair of characters. A null or empty text has no spans, null
+    Base spans come from the patterns. A run of at least MIN_RUN characters that no base span touches is
+    added, as kind markov, if the model of random strings explains it better than the model of
+    identifiers by min_ratio for each pair of characters; no other gate comes before the models. A null or empty text has no spans, null
     ids stay null, repeated rows have the same spans, an empty table gives an empty result; other columns are
     never looked at.
 
@@ -144,17 +185,14 @@ def find_secrets(
     """
     text = F.col("text")
     rows = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-    # Most texts have no run at all: one search, and no place is worked out for them.
-    worth = text.rlike(f"{HINT}|{RUN}")
+    # Patterns first: most texts have nothing that they could find.
     empty = F.array().cast(_SPANS)
-    rows = rows.withColumn("worth", worth)
-    rows = rows.withColumn("base", F.when(F.col("worth"), base_spans(text)).otherwise(empty))
-    runs = F.filter(
-        located(text, RUN, "markov"),
-        lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-        & (ratio(r["value"], table) >= min_ratio),
+    rows = rows.withColumn("base", F.when(text.rlike(HINT), base_spans(text)).otherwise(empty))
+    rows = rows.withColumn("random", suspected(text, table, min_ratio))
+    added = F.filter(
+        "random", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
     )
-    rows = rows.withColumn("added", F.when(F.col("worth"), runs).otherwise(empty))
+    rows = rows.withColumn("added", added)
     return rows.select("id", _ordered("base").alias("base"), _ordered(F.concat("base", "added")).alias("spans"))
 
 

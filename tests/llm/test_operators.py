@@ -206,6 +206,17 @@ def test_random_strings_beat_identifiers(spark):
     assert all((r["ratio"] > 0) == r["secret"] for r in judged.collect())
 
 
+def test_the_models_judge_runs_without_digits_and_short_ones(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    table = secrets.trained_table(docs)
+    random_ = ["xkjqwpzlmnvbtryucghd", "XkQjWpZlMnVbTrYuCgHd", "xQ7kZp2W", "kXqZvWpJrT"]
+    texts = [(k, f"é a 😀 {value} and ordinary, {value}") for k, value in enumerate(random_)]
+    found = rows(secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string"), table))
+    for r in found:
+        assert [s["value"] for s in r["spans"]] == [random_[r["id"]]] * 2
+        assert all(texts[r["id"]][1][s["start"] : s["end"]] == s["value"] for s in r["spans"])
+
+
 def test_languages(spark, small, odd, none):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = language.fit_text_model(docs)
