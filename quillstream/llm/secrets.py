@@ -7,7 +7,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.shared import settle, whole_text
+from quillstream.llm.shared import whole_text
 
 # Kind, pattern, length that a hit must have at least (assign: of group 2). Java and RE2 read them alike.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))"""
@@ -21,8 +21,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 MIN_RUN = 8
 RUN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_RUN},}}+"
 HINT = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
-# Documents whose words the model of ordinary identifiers is fitted on, about.
-SAMPLE_DOCUMENTS = 2_000
+# Two neighbours in a run; nothing is used up, so that pairs overlap.
+PAIR = r"(?=([A-Za-z0-9+/_=-]{2}))"
 # Log-likelihood ratio, in nats per pair of characters, from which a run is a secret.
 MIN_RATIO = 1.0
 SMOOTHING = 0.5
@@ -66,6 +66,15 @@ def base_spans(text: Column) -> Column:
     return F.concat(assigned, *longer)
 
 
+def pair_counts(samples: DataFrame) -> DataFrame:
+    """secret, pair, n: how often a character of ALPHABET follows another in the values of each kind.
+
+    Counts are combined before the shuffle, which thus sees two numbers for each pair and task, however
+    many values or however long ones there are."""
+    pairs = F.explode(F.regexp_extract_all("value", F.lit(PAIR), F.lit(1)))
+    return samples.select("secret", pairs.alias("pair")).groupBy("secret", "pair").agg(F.count("*").alias("n"))
+
+
 def bigram_table(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios by pair of characters, from labelled samples (value, secret).
 
@@ -73,15 +82,8 @@ def bigram_table(samples: DataFrame) -> list[float]:
     alike. The table has one row and one column for each character of ALPHABET.
     """
     size = len(ALPHABET)
-    at = F.sequence(F.lit(1), F.length("value") - 1)
-    pairs = (
-        samples.filter(F.length("value") > 1)
-        .select("secret", F.explode(F.transform(at, lambda i: F.substring(F.col("value"), i, F.lit(2)))).alias("pair"))
-        .groupBy("secret", "pair")
-        .agg(F.count("*").alias("n"))
-    )
     counts: dict[bool, dict[str, int]] = {True: {}, False: {}}
-    for row in pairs.collect():  # at most two numbers for each pair of characters
+    for row in pair_counts(samples).collect():  # at most two numbers for each pair of characters
         counts[row["secret"]][row["pair"]] = row["n"]
     ratios = []
     for a in ALPHABET:
@@ -91,11 +93,10 @@ def bigram_table(samples: DataFrame) -> list[float]:
     return ratios
 
 
-def labelled_samples(docs: DataFrame, text_col: str = "text", sample_documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """value, secret: all values that the patterns found, and the words of about sample_documents
-    documents, chosen by a hash of the text, that have nothing of the kind."""
+def labelled_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """value, secret: all values that the patterns found, and the whole of every text that has nothing
+    of the kind. Digits and signs of ALPHABET are ordinary in it as letters are."""
     texts = docs.select(whole_text(text_col).alias("text"))
-    share = min(1.0, sample_documents / max(texts.count(), 1))
     hinted = F.col("text").rlike(HINT)
     span = F.explode(base_spans(F.col("text"))).alias("span")
     value = F.when(F.col("span.kind") == "assign", F.regexp_extract("span.value", ASSIGN, 2)).otherwise(
@@ -104,12 +105,7 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", sample_documents:
     secrets = texts.filter(hinted).select(span).select(
         F.regexp_replace(value, r"[^A-Za-z0-9+/_=-]", "").alias("value"), F.lit(True).alias("secret")
     )
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20))
-    words = texts.filter(drawn & ~hinted).select(
-        F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z_-]{4,}"), F.lit(0))).alias("value"),
-        F.lit(False).alias("secret"),
-    )
-    return secrets.union(words)
+    return secrets.union(texts.filter(~hinted).select(F.col("text").alias("value"), F.lit(False).alias("secret")))
 
 
 def ratio(value: Column, table: list[float]) -> Column:
@@ -217,4 +213,4 @@ def written(spans: Column | str) -> Column:
 
 
 def trained_table(docs: DataFrame, text_col: str = "text") -> list[float]:
-    return bigram_table(settle(labelled_samples(docs, text_col), "secret-samples"))
+    return bigram_table(labelled_samples(docs, text_col))

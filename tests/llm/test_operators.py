@@ -217,6 +217,28 @@ def test_the_models_judge_runs_without_digits_and_short_ones(spark, small):
         assert all(texts[r["id"]][1][s["start"] : s["end"]] == s["value"] for s in r["spans"])
 
 
+def test_ordinary_pairs_are_counted_in_all_documents(spark):
+    texts = ["ab12 a+b=", "ab1234 é ab", None, "password: hunter22 zz"] + [f"q{k}q" for k in range(3000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = secrets.pair_counts(secrets.labelled_samples(docs))
+    want = Counter()
+    for text in [t for t in texts if t and "password" not in t]:
+        for run in re.findall(r"[A-Za-z0-9+/_=-]+", text):
+            want.update(run[i : i + 2] for i in range(len(run) - 1))
+    assert {r["pair"]: r["n"] for r in rows(found) if not r["secret"]} == want
+    assert {r["pair"] for r in rows(found) if r["secret"]} == {"hunter22"[i : i + 2] for i in range(7)}
+
+
+def test_long_numbers_are_no_secrets(spark):
+    docs = spark.createDataFrame(
+        [(k, f"card {random.Random(k).randrange(10**15, 10**16)} here, {'some ordinary words ' * 20}") for k in range(200)]
+        + [(1000 + k, f"token: {random.Random(k).randbytes(20).hex()}") for k in range(100)],
+        "doc_id long, text string",
+    )
+    found = secrets.find_secrets(docs, secrets.trained_table(docs))
+    assert not [r for r in rows(found) if r["id"] < 1000 and r["spans"]]
+
+
 def test_languages(spark, small, odd, none):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = language.fit_text_model(docs)
