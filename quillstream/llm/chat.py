@@ -100,14 +100,21 @@ def render_incrementally(turns: list[Turn], render: Render = marked_turns, view:
 
     So that a long conversation doesn't cost the square of its length, turns leave the template's view
     once there are twice `view` of them, if the last ones come out just the same without those before;
-    if not, all stay and the next try is made at twice the length.
+    if not, all stay and the next try is made at twice the length. Where turns have left, the joined pieces
+    are compared with the rendering of all turns at the end; if these differ, the template looks further
+    back than it was shown, and all prefixes are rendered in full. A rewriting that is wholly undone by the
+    last turn isn't seen by that: text and spans are right then as well.
     """
     seen: list[Turn] = []
     before = render([], None)
     pieces, spans = [before], []
     length, limit = len(before), 2 * view
+    narrowed = False
     for number, turn in enumerate(turns):
         found = _piece(render, seen, before, turn)
+        if found is None and narrowed:
+            # What the template does in the narrowed view says nothing about full prefixes.
+            return render_incrementally(turns, render, len(turns))
         if found is None:
             return Rendered(render(list(turns), None), None, number)
         piece, start, end = found
@@ -121,9 +128,13 @@ def render_incrementally(turns: list[Turn], render: Render = marked_turns, view:
             short = render(seen[-view:], None)
             if short == head + "".join(pieces[-view:]):
                 seen, before = seen[-view:], short
+                narrowed = True
             else:
                 limit *= 2
-    return Rendered("".join(pieces), spans)
+    text = "".join(pieces)
+    if narrowed and text != render(list(turns), None):
+        return render_incrementally(turns, render, len(turns))
+    return Rendered(text, spans)
 
 
 def _hex(parts: list[str]) -> str:

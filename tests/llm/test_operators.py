@@ -156,6 +156,25 @@ def test_templates_that_rewrite_history_are_found():
     assert found.spans is None and found.rewritten_at == 0 and found.text.startswith("[2]")
 
 
+def test_templates_that_look_back_further_than_the_view_are_found():
+    def last_hundred(turns, opened=None):
+        return chat.marked_turns(turns[-100:], opened)
+
+    def within_budget(turns, opened=None):
+        kept, turns = [], list(turns)
+        while turns and sum(len(text) for _, text in [*kept, turns[-1]]) <= 300:
+            kept.insert(0, turns.pop())
+        return chat.marked_turns(kept, opened)
+
+    turns = [(("user", "assistant")[k % 2], f"t{k:03}") for k in range(160)]
+    for render, first in ((last_hundred, 100), (within_budget, 75)):
+        found = chat.render_incrementally(turns, render)
+        assert found.text == render(turns) and found.spans is None and found.rewritten_at == first
+        assert chat.render_incrementally(turns[:first], render).spans is not None
+    plain = chat.render_incrementally(turns)
+    assert plain.text == chat.marked_turns(turns) and len(plain.spans) == 160
+
+
 def test_chats(spark):
     data = [(1, 2, "assistant", "y"), (1, 1, "user", None), (None, 1, None, "z"), (None, 1, None, "z"), (2, None, "assistant", "<")]
     schema = "conv_id long, turn long, role string, text string"
