@@ -31,7 +31,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents, token ids included, and their places in sequences."""
     return packing.pack(docs, TOKENIZER).withColumnRenamed("id", "doc_id")
 
 

@@ -22,8 +22,10 @@ from quillstream.session import ship_package
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
-# Pieces that are packed together, on average.
-GROUP_PIECES = 4096
+# Full sequences' worth of tokens that are packed together, on average: each group leaves a sequence or so not filled.
+GROUP_SEQUENCES = 512
+# Bytes of ids, about, in a batch that leaves the tokenizer.
+BATCH_BYTES = 32 << 20
 # Word parts of which a Python worker remembers the ids: the latest ones, from this many to twice as many.
 REMEMBERED = 250_000
 
@@ -98,7 +100,21 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         flat = np.frombuffer(b"".join(parts), dtype="<u4")
         begins = np.cumsum(lengths) - lengths
-        rows, piece, start, length, crc = [], [], [], [], []
+
+        def batch(rows: list, piece: list, start: list, cuts: list, chunk: pa.RecordBatch = chunk) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [
+                    chunk.column("id").take(pa.array(rows, pa.int64())),
+                    pa.array(piece, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array([len(c) // 4 for c in cuts], pa.int64()),
+                    pa.array(cuts, pa.binary()),
+                ],
+                ["id", "piece", "start", "length", "ids"],
+            )
+
+        rows, piece, start, cuts = [], [], [], []
+        held = 0
         for row in range(chunk.num_rows):
             own = codes[offsets[row] : offsets[row + 1]]
             counts = lengths[own]
@@ -110,19 +126,14 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int
                 rows.append(row)
                 piece.append(number)
                 start.append(at)
-                length.append(len(cut))
-                crc.append(zlib.crc32(cut.tobytes()))
+                cuts.append(cut.tobytes())
+                held += 4 * len(cut)
+                if held >= BATCH_BYTES:
+                    yield batch(rows, piece, start, cuts)
+                    rows, piece, start, cuts = [], [], [], []
+                    held = 0
         pa.default_memory_pool().release_unused()
-        yield pa.RecordBatch.from_arrays(
-            [
-                chunk.column("id").take(pa.array(rows, pa.int64())),
-                pa.array(piece, pa.int32()),
-                pa.array(start, pa.int64()),
-                pa.array(length, pa.int64()),
-                pa.array(crc, pa.int64()),
-            ],
-            ["id", "piece", "start", "length", "ids_crc32"],
-        )
+        yield batch(rows, piece, start, cuts)
 
 
 def tokenized_pieces(
@@ -133,15 +144,15 @@ def tokenized_pieces(
     sequence_tokens: int = SEQUENCE_TOKENS,
     end_id: int = END_ID,
 ) -> DataFrame:
-    """id, piece, start, length, ids_crc32: documents as ids with end_id behind, those longer than a
-    sequence cut into pieces of sequence_tokens."""
+    """id, piece, start, length, ids: documents as ids with end_id behind, those longer than a sequence
+    cut into pieces of sequence_tokens. The ids of a piece are little-endian 32-bit numbers in a row."""
     ship_package(docs.sparkSession)
     texts = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
     long = F.lit(0).cast("long")
     schema = texts.select(
-        "id", F.lit(0).alias("piece"), long.alias("start"), long.alias("length"), long.alias("ids_crc32")
+        "id", F.lit(0).alias("piece"), long.alias("start"), long.alias("length"), F.lit(b"").alias("ids")
     ).schema
     return texts.mapInArrow(lambda batches: _pieces(batches, tokenizer, sequence_tokens, end_id), schema)
 
@@ -210,7 +221,18 @@ def _place(group: pa.Table, capacity: tuple, weights: tuple, rule: str) -> pa.Ta
     offset = np.empty(len(sizes), dtype=np.int64)
     offset[order] = before - np.repeat(before[first], np.diff(np.r_[np.flatnonzero(first), len(sizes)]))
     sequence = (group.column("bin_group").to_numpy() << 32) + bins
-    return group.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+    data = group.column("ids").to_pylist()
+    ends = pa.array(np.cumsum([0, *sizes]), pa.int32())
+    ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(data), dtype="<i4"), pa.int32()))
+    return pa.table(
+        {
+            **{c: group.column(c) for c in ("id", "piece", "start", "length")},
+            "ids_crc32": pa.array(list(map(zlib.crc32, data)), pa.int64()),
+            "sequence_id": pa.array(sequence),
+            "offset": pa.array(offset),
+            "ids": ids,
+        }
+    )
 
 
 def pack(
@@ -224,19 +246,22 @@ def pack(
     weights: tuple[float, float, float] = (1.0, 1.0, 1.0),
     rule: str = "norm",
     end_id: int = END_ID,
-    group_pieces: int = GROUP_PIECES,
+    group_pieces: int | None = None,
+    group_sequences: int = GROUP_SEQUENCES,
 ) -> DataFrame:
     """All documents packed into sequences of at most sequence_tokens tokens, max_documents pieces and
     max_cost attention cost (the sum of squared piece lengths). The defaults of the last two never
     bind: as many pieces as tokens, and the square of the tokens.
 
-    Returns one row per piece: id, piece, start, length, ids_crc32, sequence_id, offset; offsets have no
-    gaps. A null or empty text is a piece of end_id alone; null ids stay null; each of several equal rows
+    Returns one row per piece: id, piece, start, length, ids_crc32, sequence_id, offset, ids. The ids of a
+    piece are those of its sequence from offset on, and ids_crc32 is that of these ids as little-endian 32-bit
+    numbers; offsets have no gaps. A null or empty text is a piece of end_id alone; null ids stay null; each of several equal rows
     is packed; an empty table gives an empty result. Only documents longer than a sequence are cut.
 
-    Text never leaves the task that reads it. Its pieces, a few numbers each, are dealt at random into
-    groups of about group_pieces, which are packed apart; each leaves a sequence or so not filled, a
-    share that doesn't change with the input.
+    Text never leaves the task that reads it. Pieces are dealt at random into groups of about
+    group_sequences full sequences' tokens, or of about group_pieces pieces if that is given, which are packed
+    apart, ids included; each leaves a sequence or so not filled, a share that doesn't change with the input
+    nor with the length of its documents.
     """
     capacity = (
         float(sequence_tokens),
@@ -247,10 +272,13 @@ def pack(
     longest = min(sequence_tokens, int(capacity[2] ** 0.5))
     cut = tokenized_pieces(docs, tokenizer, id_col, text_col, longest, end_id)
     cut = settle(cut.select("*", F.monotonically_increasing_id().alias("rid")), "pieces")
-    groups = -(-cut.count() // group_pieces) or 1
+    whole = cut.agg(F.count("*").alias("pieces"), F.sum("length").alias("tokens")).first()
+    held, most = (whole["pieces"], group_pieces) if group_pieces else (whole["tokens"] or 0, group_sequences * sequence_tokens)
+    groups = -(-held // most) or 1
     dealt = cut.withColumn("bin_group", F.pmod(F.xxhash64("rid"), F.lit(groups)))
+    long = F.lit(0).cast("long")
     schema = dealt.select(
-        "*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    ).schema
-    packed = dealt.groupBy("bin_group").applyInArrow(lambda g: _place(g, capacity, weights, rule), schema)
-    return packed.drop("rid", "bin_group")
+        "id", "piece", "start", "length", long.alias("ids_crc32"), long.alias("sequence_id"), long.alias("offset"),
+        F.lit(None).cast("array<int>").alias("ids"),
+    ).schema
+    return dealt.groupBy("bin_group").applyInArrow(lambda g: _place(g, capacity, weights, rule), schema)

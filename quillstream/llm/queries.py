@@ -104,7 +104,10 @@ def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     """All documents packed into sequences."""
-    return packing.pack(_documents(spark, sf), TOKENIZER).withColumnRenamed("id", "doc_id")
+    packed = packing.pack(_documents(spark, sf), TOKENIZER)
+    return packed.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
 
 
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -349,6 +349,31 @@ def test_packing(odd, none):
     assert packing.pack(none, PATH).count() == 0
 
 
+def test_packed_sequences_hold_the_ids(odd):
+    sequences = defaultdict(list)
+    texts = defaultdict(list)
+    for r in rows(packing.pack(odd.filter("doc_id < 8"), PATH, sequence_tokens=64)):
+        assert len(r["ids"]) == r["length"]
+        assert zlib.crc32(np.array(r["ids"], dtype="<u4").tobytes()) == r["ids_crc32"]
+        sequences[r["sequence_id"]].append((r["offset"], r["ids"]))
+        texts[r["id"]].append((r["piece"], r["ids"]))
+    for pieces in sequences.values():
+        joined = []
+        for offset, ids in sorted(pieces):
+            assert offset == len(joined)
+            joined += ids
+        assert len(joined) <= 64
+    six = [i for _, ids in sorted(texts[6]) for i in ids]
+    assert six == library_ids(odd.filter("doc_id = 6").first()["text"]) + [1]
+
+
+def test_groups_are_sized_by_tokens(spark):
+    docs = spark.createDataFrame([(k, f"word {k}") for k in range(12_000)], "doc_id long, text string")
+    found = rows(packing.pack(docs, PATH))
+    tokens_ = sum(r["length"] for r in found)
+    assert len({r["sequence_id"] for r in found}) <= -(-tokens_ // 4096) + 1
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_holds_every_constraint(rule):
     sizes = np.array([random.Random(4).randrange(1, 100) for _ in range(5)] * 60)
