@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.shared import settle
+from quillstream.llm.shared import packed, settle
 from quillstream.llm.words import chunks, coded_words, row_sums
 from quillstream.session import ship_package
 
@@ -27,7 +27,7 @@ MIN_KEPT_SHARE = 0.5
 
 SYMBOLS = r"[#*$%&|<>]"
 FACTS = (
-    "rid long, id {id}, host {host}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "rid {rid}, id {id}, host {host}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, content long, lines array<struct<hash:long,words:long,times:long>>"
 )
 
@@ -108,7 +108,30 @@ def _facts(batches: Iterator[pa.RecordBatch], window: int, schema: pa.Schema) ->
         )
 
 
-def line_rules(
+def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without the lines whose hashes are in gone, and the words that are left."""
+    for chunk in chunks(batches):
+        texts, words = [], []
+        for text, gone in zip(chunk.column("text").to_pylist(), chunk.column("gone").to_pylist(), strict=True):
+            data = text.encode("utf-8", "surrogatepass")
+            if gone:
+                gone = set(gone)
+                left = []
+                for line in data.split(b"\n"):
+                    own = line.lower().split()
+                    if not own or _hash(b" ".join(own)) not in gone:
+                        left.append(line)
+                data = b"\n".join(left)
+                text = data.decode("utf-8", "surrogatepass")
+            texts.append(text)
+            words.append(len(data.split()))
+        yield pa.RecordBatch.from_arrays(
+            [chunk.column("rid"), chunk.column("id"), pa.array(texts, pa.string()), pa.array(words, pa.int64())],
+            ["rid", "id", "text", "kept_words"],
+        )
+
+
+def clean_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -116,36 +139,38 @@ def line_rules(
     max_share: float = MAX_SHARE,
     min_documents: int = MIN_DOCUMENTS,
     min_kept_share: float = MIN_KEPT_SHARE,
-) -> DataFrame:
-    """Rules within a document, and lines that too many documents of a host share.
+) -> tuple[DataFrame, DataFrame]:
+    """The texts without the lines that too many documents of their host share, and the rules' verdicts.
 
     A line is normalised (A-Z in lower case, single blanks) and hashed; the distinct documents of its
     host that have it are counted, copies of a text as one. Lines in more than max_share of the
     host's distinct documents and in more than min_documents are removed; a document that keeps less
     than min_kept_share of its words is depleted.
 
-    Returns one row per input row: rid, id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed (fewer than 50 words, or more than half of them in repeated windows of
-    three), removed_words, kept (neither base_failed nor depleted). A null or empty text has no words
-    and fails; rows without a host are one host together; repeated rows count as copies; an empty
-    table gives an empty result. Other columns are never looked at.
+    Returns two tables with one row per input row each. The first: rid, id, text without its frequent lines
+    (all others as they were, blank ones too), kept_words. The second, as line_rules describes it, has the
+    same rid and counts as removed what the first table's text lacks.
 
-    Text stays in the task that reads it; hashes go on. A document counts a line once, counts are
-    combined before the shuffle, and the table of frequent lines has at most 1 / max_share times the
-    mean number of lines for each host.
+    Texts stay in the tasks that read them, and are read again to be cleaned; only the hashes of the lines
+    that a text loses go to it, never more than it has lines. These are sent to the scan if small, and else
+    joined by row, so that no host is one task. A document counts a line once, counts are combined before the
+    shuffle, and the table of frequent lines has at most 1 / max_share times the mean number of lines for
+    each host.
     """
     ship_package(docs.sparkSession)
-    texts = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
-        F.col(id_col).alias("id"),
-        F.col(host_col).alias("host"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+    row = F.col("row")
+    texts = packed(docs).select(
+        "rid",
+        row.getField(id_col).alias("id"),
+        row.getField(host_col).alias("host"),
+        F.coalesce(row.getField(text_col).cast("string"), F.lit("")).alias("text"),
     )
     kinds = dict(texts.dtypes)
     line = pa.list_(pa.struct([("hash", pa.int64()), ("words", pa.int64()), ("times", pa.int64())]))
     facts = settle(
         texts.mapInArrow(
-            lambda batches: _facts(batches, WINDOW, line), FACTS.format(id=kinds["id"], host=kinds["host"])
+            lambda batches: _facts(batches, WINDOW, line),
+            FACTS.format(rid=kinds["rid"], id=kinds["id"], host=kinds["host"]),
         ),
         "line-facts",
     )
@@ -166,20 +191,46 @@ def line_rules(
         .select(F.col("host").alias("of"), F.col("hash").alias("which"))
     )
     frequent = settle(frequent, "frequent-lines")
-    removed = (
+    gone = (
         each.join(frequent, F.col("host").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("which")))
         .groupBy("rid")
-        .agg(F.sum(F.col("words") * F.col("times")).alias("removed"))
+        .agg(F.collect_list("hash").alias("gone"))
+    )
+    cleaned = (
+        texts.join(settle(gone, "removed-lines"), "rid", "left")
+        .select("rid", "id", "text", "gone")
+        .mapInArrow(_cleaned, f"rid {kinds['rid']}, id {kinds['id']}, text string, kept_words long")
     )
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     depleted = (F.col("n_words") - F.col("removed_words")) < min_kept_share * F.col("n_words")
-    return (
+    verdicts = (
         facts.drop("host", "content", "lines")
-        .join(settle(removed, "removed-words"), "rid", "left")
-        .withColumn("removed_words", F.coalesce("removed", F.lit(0).cast("long")))
-        .drop("removed")
+        .join(settle(cleaned.select("rid", "kept_words"), "kept-words"), "rid")
+        .withColumn("removed_words", F.col("n_words") - F.col("kept_words"))
+        .drop("kept_words")
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
     )
+    return cleaned, verdicts
+
+
+def line_rules(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    max_share: float = MAX_SHARE,
+    min_documents: int = MIN_DOCUMENTS,
+    min_kept_share: float = MIN_KEPT_SHARE,
+) -> DataFrame:
+    """Rules within a document, and lines that too many documents of a host share.
+
+    Returns one row per input row: rid, id, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed (fewer than 50 words, or more than half of them in repeated windows of
+    three), removed_words (those that clean_lines takes out of the text), kept (neither base_failed nor
+    depleted). A null or empty text has no words and fails; rows without a host are one host together;
+    repeated rows count as copies; an empty table gives an empty result. Other columns are never looked at.
+    """
+    return clean_lines(docs, id_col, text_col, host_col, max_share, min_documents, min_kept_share)[1]

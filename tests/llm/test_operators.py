@@ -139,6 +139,20 @@ def test_frequent_lines_deplete(spark):
     assert found[200]["removed_words"] == 120 and not found[200]["kept"]
 
 
+def test_frequent_lines_are_taken_out_of_the_texts(spark):
+    line = "Shared  LINE here"
+    data = [(k, f"own {k} é\n\n{line}\nshared line\there\n  end 😀 {k}", "h") for k in range(30)]
+    data += [(100, f"{line}\nother host", "g"), (101, None, "h"), (102, line, "h"), (0, data[0][1], "h")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    cleaned, verdicts = lines.clean_lines(docs)
+    found = rows(cleaned)
+    want = [(k, f"own {k} é\n\n  end 😀 {k}") for k in [*range(30), 0]] + [(100, data[30][1]), (101, ""), (102, "")]
+    assert Counter((r["id"], r["text"]) for r in found) == Counter(want)
+    ruled = {r["id"]: r for r in rows(verdicts)}
+    assert all(ruled[r["id"]]["n_words"] - ruled[r["id"]]["removed_words"] == r["kept_words"] for r in found)
+    assert ruled[0]["removed_words"] == 6 and ruled[100]["removed_words"] == 0 and ruled[102]["removed_words"] == 3
+
+
 @given(st.lists(st.tuples(st.text(max_size=6), st.text(alphabet="a\\#<:/turn> \n"))))
 @settings(max_examples=80, deadline=None)
 def test_chat_round_trip(turns):
