@@ -16,9 +16,10 @@ from quillstream.llm.words import chunks
 from quillstream.session import ship_package
 
 BUCKETS = 1 << 14
-# Labelled documents of each language that the text model is fitted on, about, and languages at most.
+# Labelled documents of each language that the text model is fitted on, about.
 ROWS_PER_LANGUAGE = 500
-MAX_LANGUAGES = 64
+# Languages from which their sums are taken by exploding, as columns of an aggregate get too many.
+MANY_LANGUAGES = 64
 # Three letters in a row overlap with their neighbours: each counts as a third of a fact.
 TEMPER = 1 / 3
 # Documents that a prior of the level above is worth.
@@ -45,8 +46,8 @@ def _trigrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log-likelihoods of trigram buckets by language. The last one is UNKNOWN, where all buckets
-    are equally likely: text that is unlike every known language falls to it."""
+    """Log-likelihoods of trigram buckets by language, one row each for every label there is. The last one
+    is UNKNOWN, where all buckets are equally likely: text that is unlike every known language falls to it."""
 
     languages: tuple[str, ...]
     table: np.ndarray
@@ -69,34 +70,44 @@ def fit_text_model(
     rows_per_language: int = ROWS_PER_LANGUAGE,
     smoothing: float = 0.5,
 ) -> TextModel:
-    """Count trigrams of a sample of about rows_per_language labelled documents for each of the
-    MAX_LANGUAGES most frequent labels, chosen by a hash of the text. No label at all leaves UNKNOWN."""
+    """Count trigrams of a sample of about rows_per_language labelled documents for every label, chosen by
+    a hash of the text. No label at all leaves UNKNOWN."""
     ship_package(docs.sparkSession)
     texts = docs.select(
         F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label")
     ).filter("text IS NOT NULL AND label IS NOT NULL")
-    common = texts.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(MAX_LANGUAGES)
-    shares = {r["label"]: min(1.0, rows_per_language / r["n"]) for r in common.collect()}
+    labels = texts.groupBy("label").agg(F.count("*").alias("n")).collect()
+    shares = {r["label"]: min(1.0, rows_per_language / r["n"]) for r in labels}
     languages = tuple(sorted(shares))
     table = np.full((len(languages) + 1, BUCKETS), -np.log(BUCKETS))
     if languages:
-        place = F.create_map(*[F.lit(x) for k in languages for x in (k, languages.index(k))])
-        share = F.create_map(*[F.lit(x) for k in languages for x in (k, shares[k])])
-        drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share[F.col("label")] * (1 << 20)
-        sample = texts.filter(F.col("label").isin(*languages)).filter(drawn)
+        listed = docs.sparkSession.createDataFrame(
+            [(k, place, shares[k]) for place, k in enumerate(languages)], "of string, place long, share double"
+        )
+        drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
+        sample = texts.join(F.broadcast(listed), F.col("label") == F.col("of")).filter(drawn)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = np.zeros((len(languages), BUCKETS), dtype=np.int64)
+            # Only buckets that are met are held, and handed on before they become many.
+            def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
+                key, n = np.unique(np.concatenate(keys), return_counts=True)
+                arrays = [pa.array(x.astype(np.int64)) for x in (key // BUCKETS, key % BUCKETS, n)]
+                return pa.RecordBatch.from_arrays(arrays, ["at", "bucket", "n"])
+
             for chunk in chunks(batches):
                 of = chunk.column("place").to_pylist()
+                keys, held = [], 0
                 for buckets, number in _trigrams(chunk.column("text").to_pylist()):
-                    counts[of[number]] += np.bincount(buckets, minlength=BUCKETS)
-            at, bucket = np.nonzero(counts)
-            arrays = [pa.array(x.astype(np.int64)) for x in (at, bucket, counts[at, bucket])]
-            yield pa.RecordBatch.from_arrays(arrays, ["at", "bucket", "n"])
+                    keys.append(of[number] * BUCKETS + buckets.astype(np.int64))
+                    held += len(buckets)
+                    if held >= 4 * TRIGRAM_BYTES:
+                        yield counted(keys)
+                        keys, held = [], 0
+                if keys:
+                    yield counted(keys)
 
         found = (
-            sample.select(place[F.col("label")].alias("place"), "text")
+            sample.select("place", "text")
             .mapInArrow(run, "at long, bucket long, n long")
             .groupBy("at", "bucket")
             .agg(F.sum("n").alias("n"))
@@ -114,7 +125,7 @@ def _text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
     others = [c for c in rows.columns if c != "text"]
     spark = rows.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)  # at most MAX_LANGUAGES + 1 rows of BUCKETS
+    shared = spark.sparkContext.broadcast(model)  # a row of BUCKETS for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
@@ -145,6 +156,19 @@ def _added(one: Column, other: Column) -> Column:
 
 def _sums(rows: DataFrame, by: list[str], size: int) -> DataFrame:
     """Expected documents of each language, n and the sums as array, by group."""
+    if size > MANY_LANGUAGES:
+        # Posteriors of nothing add nothing, and are most of them.
+        each = rows.select(*by, F.posexplode("posterior").alias("k", "p")).filter("p > 0").groupBy(*by, "k")
+        pairs = F.collect_list(F.struct("k", "p"))
+        entries = each.agg(F.sum("p").alias("p")).groupBy(*by).agg(F.map_from_entries(pairs).alias("by_k"))
+        filled = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: F.coalesce(F.col("by_k")[k], F.lit(0.0)))
+        grouped = rows.groupBy(*by).agg(F.count("*").alias("n"))
+        right = entries.select(*[F.col(k).alias(f"with_{k}") for k in by], filled.alias("sums"))
+        same = F.lit(True)
+        for k in by:
+            same &= F.col(k).eqNullSafe(F.col(f"with_{k}"))
+        flat = F.array_repeat(F.lit(0.0), size)
+        return grouped.join(right, same, "left").select(*by, "n", F.coalesce("sums", flat).alias("sums"))
     sums = [F.sum(F.col("posterior")[k]).alias(f"s{k}") for k in range(size)]
     grouped = rows.groupBy(*by).agg(F.count("*").alias("n"), *sums)
     return grouped.select(*by, "n", F.array(*[F.col(f"s{k}") for k in range(size)]).alias("sums"))
@@ -234,7 +258,8 @@ def identify_languages(
 
     Returns one row per input row: rid, id, language, confidence, kept. Rejected: UNKNOWN (no letters,
     a null or empty text, or text unlike every language), confidence below min_confidence, or a
-    language that is not accepted. Null ids stay null, repeated rows get equal results, an empty table
+    language that is not accepted. If the model knows no language at all, the declared one is taken without
+    confidence, and whatever has letters is kept unless its declared language is not accepted. Null ids stay null, repeated rows get equal results, an empty table
     gives an empty result; other columns are never looked at.
 
     The table is read once; what follows works on a few numbers per row. Groups are combined before the
@@ -253,6 +278,8 @@ def identify_languages(
 def _verdicts(rows, model, others, prior_weight, min_confidence, accepted) -> DataFrame:
     evidence = [k for k in ("declared", "suffix") if others[k]]
     levels = [k for k in ("domain", "host") if others[k]]
+    if model.languages == (UNKNOWN,):
+        return _declared_alone(rows, model, "declared" in evidence, accepted)
     found = _identify(rows, model, evidence, levels, prior_weight)
     kept = (F.col("language") != UNKNOWN) & (F.col("confidence") >= min_confidence)
     if accepted is not None:
@@ -260,6 +287,20 @@ def _verdicts(rows, model, others, prior_weight, min_confidence, accepted) -> Da
     return found.withColumn("kept", kept)
 
 
+def _declared_alone(rows: DataFrame, model: TextModel, declared: bool, accepted: tuple[str, ...] | None) -> DataFrame:
+    """Verdicts where no text model could be fitted: the declared language if there is one, and every text
+    with letters passes, as nothing speaks against it."""
+    scored = _text_evidence(rows, model)
+    spoken = F.col("trigrams") > 0
+    named = F.coalesce("declared", F.lit(UNKNOWN)) if declared else F.lit(UNKNOWN)
+    language = F.when(spoken, named).otherwise(UNKNOWN)
+    kept = spoken
+    if accepted is not None:
+        kept &= (F.col("language") == UNKNOWN) | F.col("language").isin(*accepted)
+    found = scored.select("rid", "id", "trigrams", language.alias("language"), F.lit(0.0).alias("confidence"))
+    return found.withColumn("kept", kept).drop("trigrams")
+
+
 def keep_identified(
     docs: DataFrame,
     model: TextModel,

@@ -284,6 +284,37 @@ def test_languages(spark, small, odd, none):
     assert language.keep_identified(odd, model).columns == odd.columns
 
 
+def test_every_label_is_fitted(spark):
+    draw = random.Random(5)
+    data = []
+    for k in range(70):
+        words = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(25)]
+        data += [(100 * k + j, " ".join(draw.choices(words, k=60)), f"l{k:02}", f"h{k % 5}") for j in range(3 if k else 2)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    model = language.fit_text_model(docs)
+    assert len(model.languages) == 71
+    found = {r["id"]: r for r in rows(language.identify_languages(docs, model))}
+    assert all(found[d]["language"] == lang and found[d]["kept"] for d, _, lang, _ in data)
+    assert language.keep_identified(docs, model).count() == len(data)
+
+
+def test_sums_of_many_languages_are_those_of_few(spark, monkeypatch):
+    data = [("a", [0.25, 0.75, 0.0]), ("a", [1.0, 0.0, 0.0]), (None, [0.0, 0.5, 0.5])]
+    posteriors = spark.createDataFrame(data, "host string, posterior array<double>")
+    few = [rows(language._sums(posteriors, by, 3)) for by in ([], ["host"])]
+    monkeypatch.setattr(language, "MANY_LANGUAGES", 2)
+    many = [rows(language._sums(posteriors, by, 3)) for by in ([], ["host"])]
+    assert [sorted(map(str, x)) for x in few] == [sorted(map(str, x)) for x in many]
+
+
+def test_documents_pass_where_no_label_is_known(odd):
+    docs = odd.withColumn("lang", language.F.lit(None).cast("string"))
+    model = language.fit_text_model(docs)
+    assert model.languages == ("und",)
+    assert language.keep_identified(docs, model).count() == 8
+    assert {r["language"] for r in rows(language.identify_languages(odd, model))} == {"en", "de", "und"}
+
+
 def test_declared_language_and_host_decide_short_texts(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     model = language.fit_text_model(docs)
