@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import chat, exact, language, lines, mixing, packing, quality, secrets, simhash, tokens
+from quillstream.llm import (
+    chat,
+    collocations,
+    divergence,
+    exact,
+    language,
+    licenses,
+    lines,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    tokens,
+)
 from quillstream.llm.oracles import LLM_ORACLES  # noqa: F401
 from quillstream.sources.tables import read_table
 
@@ -115,6 +129,21 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.token_counts(_documents(spark, sf), TOKENIZER).withColumnRenamed("id", "doc_id")
 
 
+def op11_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Licences that every document names or copies the notice of."""
+    return licenses.scan_licenses(_documents(spark, sf)).drop("notices").withColumnRenamed("id", "doc_id")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The phrases of every language whose words go together most."""
+    return collocations.collocations(_documents(spark, sf))
+
+
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    """How far every source departs from the others of its language, and in which terms."""
+    return divergence.source_divergence(_documents(spark, sf))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -127,4 +156,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_license_scan": op11_license_scan,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_source_divergence": op13_source_divergence,
 }
