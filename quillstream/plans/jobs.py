@@ -155,9 +155,11 @@ def write_produced(
 def backfill(
     spark: SparkSession, highest_id: int, landed: DataFrame, path: str, sequence: str
 ) -> None:
-    """All items from the highest id down to 1 into an archive; ids without an item are left out."""
-    found = ingest.item_lookup(ingest.backfill_ids(spark, highest_id), landed, sequence)
-    ingest.write_archive(found.where(F.col(sequence).isNotNull()), path, sequence)
+    """All items from the highest id down to 1 into an archive; ids without an item are left out. An item
+    without a sequence is an item too, older than any other version of it."""
+    known = landed.withColumn("_found", F.lit(True))
+    found = ingest.item_lookup(ingest.backfill_ids(spark, highest_id), known, sequence)
+    ingest.write_archive(found.where("_found").drop("_found"), path, sequence)
 
 
 def compose(stages: list, items: DataFrame) -> PipelineModel:

@@ -125,6 +125,31 @@ def archive_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.read_archive(spark, path)
 
 
+def archive_compact(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations turn by turn into an archive, whose blocks with deltas are compacted twice on the way."""
+    turns = tables.read_table(spark, sf, "conversations").select(
+        F.col("conv_id").alias("id"), "turn", "role", "text"
+    )
+    path = scratch_path(spark, "archive")
+    part = F.pmod("turn", F.lit(4))
+    ingest.write_archive(turns.where(part == 0), path, "turn", block=256)
+    for k in (1, 2, 3):
+        ingest.upsert_archive(turns.where(part == k), path, "turn")
+        if k > 1:
+            ingest.compact_blocks(spark, path)
+    return ingest.read_archive(spark, path)
+
+
+def archive_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event id looked up in an archive of the documents, half of which came as an update."""
+    items = tables.document_items(spark, sf).select(*ITEM_COLUMNS)
+    path = scratch_path(spark, "archive")
+    ingest.write_archive(items.where("id % 2 = 0"), path, "time", block=4096)
+    ingest.upsert_archive(items.where("id % 2 <> 0"), path, "time")
+    ids = tables.read_table(spark, sf, "events").select(F.col("event_id").alias("id"))
+    return ingest.archive_lookup(ids, path)
+
+
 # Records
 
 
@@ -504,6 +529,8 @@ QUERIES: dict[str, Query] = {
         stream_json_sink,
         kv_encode,
         archive_upsert,
+        archive_compact,
+        archive_lookup,
         kv_decode,
         item_parse,
         item_text,

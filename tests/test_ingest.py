@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillstream.operators import ingest
+from quillstream.plans import jobs
 from quillstream.session import scratch_path
-from quillstream.sources import archive, frontier, tables
+from quillstream.sources import archive, frontier, snapshots, tables
 
 
 def ids(df):
@@ -149,3 +150,117 @@ def test_table_items_have_the_item_schema(spark, small):
 
     rows = tables.to_item_schema(tables.document_items(spark, small))
     assert [f.dataType for f in rows.schema] == [f.dataType for f in ITEM]
+
+
+ROW = "id bigint, seq int, text string"
+
+
+def contents(spark, path):
+    return {r.id: r.text for r in ingest.read_archive(spark, path).collect()}
+
+
+@pytest.fixture
+def archived(spark):
+    """An archive of ids 0 to 39, of which 3 (twice) and 15 have newer versions in deltas."""
+    path = scratch_path(spark, "archive")
+    ingest.write_archive(spark.createDataFrame([(i, 1, f"v1-{i}") for i in range(40)], ROW), path, "seq", block=10)
+    for seq in (3, 2):
+        ingest.upsert_archive(spark.createDataFrame([(i, seq, f"v{seq}-{i}") for i in (3, 15)], ROW), path, "seq")
+    return path
+
+
+NEWER = {i: f"v1-{i}" for i in range(40)} | {3: "v3-3", 15: "v3-15"}
+
+
+def test_compaction_of_touched_blocks(spark, archived):
+    before = snapshots.Store(spark, archived).current()
+    assert set(before.deltas) == {"0", "1"} and contents(spark, archived) == NEWER
+    assert ingest.compact_blocks(spark, archived, min_deltas=3) == []
+    assert sorted(ingest.compact_blocks(spark, archived)) == ["0", "1"]
+    after = snapshots.Store(spark, archived).current()
+    assert not after.deltas and all(after.base[b] == before.base[b] for b in ("2", "3"))
+    assert contents(spark, archived) == NEWER
+    plan = ingest.read_archive(spark, archived)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_only_blocks_with_deltas_are_reconciled_and_without_text(spark, archived):
+    plan = ingest.read_archive(spark, archived)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "Broadcast" in exchanges[0] and "text" not in exchanges[0]
+
+
+def test_a_write_that_breaks_off_is_not_seen(spark, archived, monkeypatch):
+    def die(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        broken.setattr(snapshots.Store, "publish", die)
+        with pytest.raises(KeyboardInterrupt):
+            ingest.upsert_archive(spark.createDataFrame([(i, 9, "lost") for i in range(40)], ROW), archived, "seq")
+        with pytest.raises(KeyboardInterrupt):
+            ingest.compact_blocks(spark, archived)
+    assert contents(spark, archived) == NEWER
+    assert len(ingest.expire_archive(spark, archived, keep=1, older_than=0)) == 2
+    assert contents(spark, archived) == NEWER
+    assert ingest.expire_archive(spark, archived, keep=1) == []
+
+
+def test_writers_at_the_same_time(spark, archived, monkeypatch):
+    """While a compaction is at work, an update lands: both are kept. Two compactions: the second gives up."""
+    publish = snapshots.Store.publish
+    calls = []
+
+    def late(store, manifest):
+        if not calls:
+            calls.append(1)
+            ingest.upsert_archive(spark.createDataFrame([(3, 7, "v7-3"), (70, 1, "new")], ROW), archived, "seq")
+        publish(store, manifest)
+
+    monkeypatch.setattr(snapshots.Store, "publish", late)
+    ingest.compact_blocks(spark, archived)
+    assert contents(spark, archived) == NEWER | {3: "v7-3", 70: "new"}
+    store, now = snapshots.open_store(spark, archived)
+    assert set(now.deltas) == {"0"} and len(now.deltas["0"]) == 1
+    merged = {"0": [now.base["0"], *now.deltas["0"]]}
+    store.commit(lambda m: m.compacted("f1", merged))
+    with pytest.raises(snapshots.Conflict):
+        store.commit(lambda m: m.compacted("f2", merged))
+
+
+def test_archive_lookup(spark, archived):
+    ids = spark.createDataFrame([(3,), (3,), (15,), (22,), (99,), (None,)], "id bigint")
+    for pushed in (1000, 1):
+        found = ingest.archive_lookup(ids, archived, pushed)
+        assert sorted((r.id or -1, r.text) for r in found.collect()) == [
+            (-1, None), (3, "v3-3"), (15, "v3-15"), (22, "v1-22"), (99, None),
+        ]
+    assert found.columns == ["id", "seq", "text"]
+
+
+def test_archive_lookup_reads_only_what_it_needs(spark):
+    path = scratch_path(spark, "archive")
+    rows = spark.range(200_000).select("id", F.lit(1).alias("seq"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    ingest.write_archive(rows, path, "seq", block=50_000)
+    ids = spark.createDataFrame([(7,), (60_001,), (60_002,), (99_999,), (10**9,)], "id bigint")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = ingest.archive_lookup(ids, path)
+        executed = found._jdf.queryExecution()
+        assert executed.executedPlan().executeCollect()
+        leaves = executed.executedPlan().collectLeaves()
+        scans = [leaves.apply(k) for k in range(leaves.size()) if "parquet" in leaves.apply(k).nodeName()]
+        assert "In(id" in scans[0].toString()
+        # Of four blocks two are opened, and of these the pages that one of the ids can be in.
+        assert {f.split("block=")[1].split("/")[0] for f in found.inputFiles()} == {"0", "1"}
+        assert scans[0].metrics().apply("numOutputRows").value() <= 60_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert {r.id for r in found.collect() if r.text} == {7, 60_001, 60_002, 99_999}
+
+
+def test_backfill_keeps_items_without_a_time(spark):
+    landed = spark.createDataFrame([(1, "a", None), (2, "b", None), (2, "older", 5), (3, "c", 7)], "id bigint, text string, time bigint")
+    path = scratch_path(spark, "archive")
+    jobs.backfill(spark, 4, landed, path, "time")
+    assert contents(spark, path) == {1: "a", 2: "older", 3: "c"}
