@@ -57,12 +57,10 @@ token AS (
 
 WS_TOKENS = f"""split AS (
   SELECT id, text, string_split_regex(lower(text), '{SPACE}') AS list FROM items),
-listed AS (
-  SELECT id, text, unnest(list) AS term, generate_subscripts(list, 1) AS n FROM split),
-lasts AS (
-  SELECT *, coalesce(max(n) FILTER (WHERE term <> '') OVER (PARTITION BY id), 0) AS last_n
-  FROM listed),
-ws AS (SELECT id, n, term FROM lasts WHERE n <= last_n OR text = '')"""
+listed AS MATERIALIZED (
+  SELECT id, text = '' AS bare, unnest(list) AS term, generate_subscripts(list, 1) AS n FROM split),
+lasts AS (SELECT id, max(n) FILTER (WHERE term <> '') AS last_n FROM listed GROUP BY id),
+ws AS (SELECT id, n, term FROM listed JOIN lasts USING (id) WHERE n <= coalesce(last_n, 0) OR bare)"""
 
 IDF = """docs AS (SELECT count(*) AS m FROM documents),
 freq AS (SELECT term, count(DISTINCT id) AS df FROM ws GROUP BY term),
@@ -88,7 +86,7 @@ def _finish(name: str, shift: int, factor: int) -> str:
 
 
 # MurmurHash3 (x86, 32 bit, seed 42) of every term's bytes, and its place among 2^18 buckets.
-BUCKETS = f"""hexed AS (SELECT term, hex(encode(term)) AS h, strlen(term) AS n
+BUCKETS = f"""hexed AS MATERIALIZED (SELECT term, hex(encode(term)) AS h, strlen(term) AS n
   FROM (SELECT DISTINCT term FROM ws)),
 blocks AS (
   SELECT *, list_transform(range(n // 4), lambda i: {_hex_byte("4 * i")}
@@ -107,12 +105,15 @@ body AS (
 tailed AS (SELECT term, xor(xor(a, {_mix("rest")}), n) AS a FROM body),
 once AS (SELECT term, {_finish("a", 16, 0x85EBCA6B)} AS a FROM tailed),
 twice AS (SELECT term, {_finish("a", 13, 0xC2B2AE35)} AS a FROM once),
-bucketed AS (SELECT term, xor(a, a >> 16) % 262144 AS bucket FROM twice)"""
+bucketed AS MATERIALIZED (SELECT term, xor(a, a >> 16) % 262144 AS bucket FROM twice)"""
 
 LAST_TURN = """SELECT conv_id AS id, max(turn) AS turn, arg_max(role, turn) AS role,
   arg_max(text, turn) AS text
 FROM conversations GROUP BY conv_id"""
 
+LOOKUP = f"""WITH {ITEMS}, ids AS (SELECT DISTINCT event_id AS id FROM events)
+SELECT ids.id, type, "by", time, text FROM ids LEFT JOIN items USING (id)"""
+
 NEW_IDS = """SELECT unnest(generate_series(
   (SELECT max(doc_id) FROM documents) + 1, (SELECT max(event_id) FROM events))) AS id"""
 
@@ -291,11 +292,12 @@ FROM ids LEFT JOIN items USING (id)""",
     "backfill_archive": f"""WITH {ITEMS} SELECT id, type, "by", time, text FROM items
 WHERE id BETWEEN 1 AND (SELECT max(event_id) FROM events)""",
     "progress_sample": f"SELECT id FROM ({BACKFILL}) WHERE id % 1000 = 0",
-    "item_lookup": f"""WITH {ITEMS}, ids AS (SELECT DISTINCT event_id AS id FROM events)
-SELECT ids.id, type, "by", time, text FROM ids LEFT JOIN items USING (id)""",
+    "item_lookup": LOOKUP,
     "kv_encode": f"""WITH {ITEMS}
 SELECT CAST(id AS VARCHAR) AS key, CAST({ITEM_JSON} AS VARCHAR) AS value FROM items""",
     "archive_upsert": LAST_TURN,
+    "archive_compact": LAST_TURN,
+    "archive_lookup": LOOKUP,
     "item_parse": f"""WITH {ITEMS}
 SELECT CAST(id AS VARCHAR) AS key, id, CAST(NULL AS BOOLEAN) AS deleted, type, "by", time,
   CAST(NULL AS BOOLEAN) AS dead, text, CAST(NULL AS VARCHAR) AS url,
@@ -419,7 +421,7 @@ SELECT id, CAST(s AS INTEGER) AS position, CAST(b AS INTEGER) AS "begin",
 FROM sentence JOIN judged USING (id, s) JOIN sent_text USING (id, s) JOIN sent2_text USING (id, s)
   LEFT JOIN found USING (id)""",
     "model_roundtrip": f"""WITH {ITEMS}, {WS_TOKENS}, {BUCKETS},
-counts AS (
+counts AS MATERIALIZED (
   SELECT id, bucket, count(*) AS tf FROM ws JOIN bucketed USING (term) GROUP BY id, bucket),
 docs AS (SELECT count(*) AS m FROM documents),
 weights AS (
