@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import functools
-import re
+import atexit
+import contextlib
 import tempfile
 import uuid
 import zipfile
@@ -32,23 +32,28 @@ def build_session(app: str = "quillstream", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="quillstream-")
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that every executor can see.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local session, where driver
-    and executors are one process, may fall back to a temporary folder.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is not set, the warehouse serves, which
+    all executors share too. The tables of an application are deleted when it ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = _local_scratch()
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    folder = f"{root.rstrip('/')}/quillstream-{spark.sparkContext.applicationId}"
+    if folder not in _SCRATCH:
+        _SCRATCH.add(folder)
+        atexit.register(_delete, spark._jvm, spark._jsc.hadoopConfiguration(), folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+_SCRATCH: set[str] = set()
+
+
+def _delete(jvm, conf, folder: str) -> None:  # noqa: ANN001
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    # The JVM may have gone before.
+    with contextlib.suppress(Exception):
+        path.getFileSystem(conf).delete(path, True)
 
 
 ARROW_ROWS = 2000
