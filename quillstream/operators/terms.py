@@ -69,9 +69,13 @@ class IdfTable:
 def fit_idf(items: DataFrame, path: str, min_doc_freq: int = 0) -> IdfTable:
     """Compute IDF over a corpus once and write it as a table. Terms in fewer than ``min_doc_freq``
     items get weight 0 and are not stored."""
-    spark = items.sparkSession
-    n_docs = items.count()
-    frequencies = document_frequency(items).where(F.col("df") >= min_doc_freq)
+    return idf_table(document_frequency(items), items.count(), path, min_doc_freq)
+
+
+def idf_table(frequencies: DataFrame, n_docs: int, path: str, min_doc_freq: int = 0) -> IdfTable:
+    """The table from document frequencies that are known, and its sizes."""
+    spark = frequencies.sparkSession
+    frequencies = frequencies.where(F.col("df") >= min_doc_freq)
     frequencies.withColumn("idf", idf_weight(F.col("df"), n_docs)).write.parquet(path)
     # Terms can be of any length, so their number alone bounds no bytes.
     n_terms, letters, n_pairs = (

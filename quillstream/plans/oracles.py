@@ -347,6 +347,8 @@ FROM ws JOIN bucketed USING (term) GROUP BY id, bucket""",
     "term_freq": f"""WITH {ITEMS}, {WS_TOKENS}
 SELECT id, term, count(*) AS tf FROM ws GROUP BY id, term""",
     "idf": f"""WITH {ITEMS}, {WS_TOKENS}, {IDF}
+SELECT term, df, round(idf, 6) AS idf FROM weights""",
+    "stream_fit": f"""WITH {ITEMS}, {WS_TOKENS}, {IDF}
 SELECT term, df, round(idf, 6) AS idf FROM weights""",
     "tf_idf": f"""WITH {ITEMS}, {WS_TOKENS}, {IDF},
 counts AS (SELECT id, term, count(*) AS tf FROM ws GROUP BY id, term)

@@ -10,7 +10,7 @@ from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.operators import annotate, classify, embed, ingest, records, terms
+from quillstream.operators import annotate, classify, embed, incremental, ingest, records, terms
 from quillstream.operators.rows import each
 from quillstream.plans import jobs
 from quillstream.session import scratch_path, spread
@@ -392,6 +392,19 @@ def fit_apply(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{work}/out").withColumn("tf_idf", F.round("tf_idf", PLACES))
 
 
+def stream_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """IDF that grows with a stream of the documents, batch by batch."""
+    work = scratch_path(spark, "stream-fit")
+    texts = _items(spark, sf).select("id", "text")
+    texts.write.option("maxRecordsPerFile", 2000).parquet(f"{work}/items")
+    stream = spark.readStream.schema(texts.schema).option("maxFilesPerTrigger", 3).parquet(f"{work}/items")
+    model = incremental.GrowingIdf(spark, f"{work}/state")
+    items = annotate.with_whitespace_tokens(stream)
+    io.drain(incremental.grow(items, model, f"{work}/checkpoint", fold_every=4))
+    fitted = model.save(f"{work}/idf").read(spark)
+    return fitted.select("term", "df", F.round("idf", PLACES).alias("idf"))
+
+
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The hashed TF-IDF of a fitted model that was saved and loaded, as rows of item and bucket."""
     items = _items(spark, sf).select("id", "text")
@@ -557,6 +570,7 @@ QUERIES: dict[str, Query] = {
         keywords,
         annotate_items,
         fit_apply,
+        stream_fit,
         annotate_stream,
         model_roundtrip,
         document_job,
