@@ -33,31 +33,24 @@ def exact_groups(
     counts as empty; a null id is less than any other; an empty table gives an empty result. Texts
     of any length are compared whole; other columns are never looked at.
 
-    How it moves data: texts are shuffled once, to find distinct blocks, and copies are combined
-    before that. Blocks then travel as 128 bits, which is exact because no two distinct blocks share
-    them: this is checked, and other bits are taken if two ever do. Joins at names of many copies
-    are split by adaptive execution.
+    How it moves data: texts stay where they are read. Blocks travel as their length and 128 bits, which is
+    exact because no two distinct blocks share both: bits that more than one block has are
+    checked, by shuffling the blocks of the texts that have such bits, copies combined before that, and other bits
+    are taken if two distinct blocks ever share theirs. Joins at names of many copies are split by adaptive
+    execution.
     """
     text = whole_text(text_col) if normalise is None else F.coalesce(normalise, F.lit(""))
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), text.alias("value")
-    )
-    return _groups(rows, block_chars)
+    rows = packed(docs.select(F.col(id_col).alias("id"), text.alias("value")))
+    return _groups(rows.select("rid", "row.id", "row.value"), block_chars)
 
 
 def _groups(texts: DataFrame, block_chars: int) -> DataFrame:
     """From rid, id and value, the text without nulls."""
-    names, seed = _block_names(texts.select(F.explode(_cut("value", block_chars)).alias("block")))
-    rows = texts.select(
-        "rid",
-        "id",
-        F.sha2("value", 256).alias("text_sha256"),
-        F.transform(_cut("value", block_chars), lambda b: _bits(b, seed)).alias("blocks"),
-    )
-    rows = settle(rows, "exact-rows")
+    rows = _unmistakable(texts, block_chars)
+    names = _block_names(rows)
 
     named = rows.select(
-        "rid", "id", F.size("blocks").alias("n"), F.posexplode("blocks").alias("pos", "bits")
+        F.col("no").alias("rid"), "id", F.size("blocks").alias("n"), F.posexplode("blocks").alias("pos", "bits")
     )
     named = settle(
         named.join(names, F.col("bits") == names["block_bits"]).select(
@@ -83,12 +76,12 @@ def _groups(texts: DataFrame, block_chars: int) -> DataFrame:
         "exact-groups",
     )
     verdicts = identity.join(groups, ["level", "name"]).select(
-        "rid",
+        F.col("rid").alias("no"),
         F.col("last.id").alias("keep_id"),
         "group_size",
         (F.col("rid") == F.col("last.rid")).alias("kept"),
     )
-    return rows.join(verdicts, "rid").select(
+    return rows.join(verdicts, "no").select(
         "rid", "id", "keep_id", "group_size", "kept", "text_sha256"
     )
 
@@ -110,26 +103,47 @@ def _cut(column: str, block_chars: int) -> Column:
 
 def _bits(block: Column, seed: int) -> Column:
     return F.struct(
+        F.length(block).alias("length"),
         F.xxhash64(F.lit(2 * seed), block).alias("hi"),
         F.xxhash64(F.lit(2 * seed + 1), block).alias("lo"),
     )
 
 
-def _block_names(blocks: DataFrame) -> tuple[DataFrame, int]:
-    """The name of every distinct block, found by 128 bits that no other block has."""
+def _unmistakable(texts: DataFrame, block_chars: int) -> DataFrame:
+    """rid, no (a number for rid), id, text_sha256 and blocks, the length and bits of each block, which no
+    other block shares."""
     for seed in itertools.count():
-        distinct = blocks.select(_bits(F.col("block"), seed).alias("block_bits"), "block").distinct()
-        names = settle(
-            distinct.sortWithinPartitions("block").select(
-                "block_bits", F.monotonically_increasing_id().alias("name")
+        rows = settle(
+            texts.select(
+                "rid",
+                F.monotonically_increasing_id().alias("no"),
+                "id",
+                F.sha2("value", 256).alias("text_sha256"),
+                F.transform(_cut("value", block_chars), lambda b, s=seed: _bits(b, s)).alias("blocks"),
             ),
-            "exact-names",
+            "exact-rows",
         )
-        if names.groupBy("block_bits").count().filter("count > 1").isEmpty():
-            return names, seed
+        each = rows.select("rid", F.explode("blocks").alias("bits"))
+        shared = settle(each.groupBy("bits").count().filter("count > 1").select("bits"), "exact-shared")
+        holders = settle(each.join(shared, "bits").select("rid").distinct(), "exact-holders")
+        blocks = texts.join(holders, "rid", "left_semi").select(F.explode(_cut("value", block_chars)).alias("block"))
+        distinct = blocks.select(_bits(F.col("block"), seed).alias("bits"), "block").distinct()
+        if distinct.groupBy("bits").count().filter("count > 1").isEmpty():
+            return rows
     raise AssertionError
 
 
+def _block_names(rows: DataFrame) -> DataFrame:
+    """The name of every distinct block: its place among the sorted ones."""
+    distinct = rows.select(F.explode("blocks").alias("block_bits")).distinct()
+    return settle(
+        distinct.sortWithinPartitions("block_bits").select(
+            "block_bits", F.monotonically_increasing_id().alias("name")
+        ),
+        "exact-names",
+    )
+
+
 def _pair_up(named: DataFrame, level: int) -> DataFrame:
     """One level up: half as many names for every document that has more than one."""
     odd = F.col("pos") % 2 == 1
