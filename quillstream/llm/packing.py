@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.shared import settle
-from quillstream.llm.words import chunks, coded_words
+from quillstream.llm.spans import LOWER, byte_table, coded_lengths, mapped, text_bytes
+from quillstream.llm.words import chunks
 from quillstream.session import ship_package
 
 SEQUENCE_TOKENS = 4096
@@ -33,12 +34,61 @@ PLAIN = regex.compile(r"\p{L}+|[^\p{White_Space}\p{L}\p{N}'<|]+")
 # The same for lower-cased ASCII.
 PLAIN_ASCII = re.compile(r"[a-z]+|[^\x20\x09-\x0Da-z0-9'<|]+")
 
+# Kinds of bytes: white space; letters and signs, whose runs may be encoded apart; all others.
+SPACE, LETTER, SIGN, OTHER = range(4)
+KIND = np.full(256, SIGN, dtype=np.uint8)
+KIND[byte_table((9, 13), (32, 32))] = SPACE
+KIND[byte_table((65, 90), (97, 122))] = LETTER
+KIND[byte_table((48, 57), (128, 255))] = OTHER
+KIND[list(b"'<|")] = OTHER
+
+
+def coded_parts(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct parts of the texts, whether each is a whole word that has other bytes than plain ones,
+    a code for every part in order, and for each text where its parts begin and the last one's end.
+
+    A word of plain bytes falls into runs of letters, in lower case, and of signs; another one stays as it is.
+    """
+    data, offsets = text_bytes(texts)
+    kind = mapped(data, KIND).copy()
+    # Letters of Latin-1 beyond ASCII take two bytes, all after 0xC3 but two signs.
+    lead = np.flatnonzero(data == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    kind[lead] = kind[lead + 1] = LETTER
+    # Segments of one kind; none goes on from one text to the next.
+    text = np.zeros(len(data) + 1, dtype=bool)
+    text[offsets] = True
+    edge = text[:-1].copy()
+    edge[1:] |= kind[1:] != kind[:-1]
+    begins = np.flatnonzero(edge)
+    ends = np.append(begins[1:], len(data))
+    solid = kind[begins] != SPACE
+    begins, ends, after = begins[solid], ends[solid], np.append(False, solid[:-1])[solid]
+    # A word begins behind white space and with a text; one with other bytes is one part.
+    first = ~after | text[begins]
+    word = np.cumsum(first) - 1
+    whole = np.bincount(word[kind[begins] == OTHER], minlength=word[-1] + 1 if len(word) else 0) > 0
+    low, inside = mapped(data, LOWER).copy(), kind != SPACE
+    heads = np.flatnonzero(first)
+    stops = ends[np.append(heads[1:], len(first)) - 1] if len(heads) else ends
+    for a, b in zip(begins[heads[whole]].tolist(), stops[whole].tolist(), strict=True):
+        low[a:b] = data[a:b]
+    mixed = whole[word]
+    ends = np.where(mixed, stops[word], ends) if len(word) else ends
+    kept = first | ~mixed
+    begins, ends, mixed = begins[kept], ends[kept], mixed[kept]
+    distinct, codes = coded_lengths(low[inside], ends - begins)
+    of_code = np.zeros(len(distinct), dtype=bool)
+    of_code[codes[mixed]] = True
+    return distinct.to_pylist(), of_code, codes, np.searchsorted(begins, offsets)
+
 
 class WordIds:
-    """Ids of texts without ASCII white space, as little-endian 32-bit bytes, from the library.
+    """Ids of words and parts of words, as little-endian bytes, from the library.
 
     A vocabulary that drops white space gives a text the ids of its words one after another, so each
-    distinct word is encoded once. A word of plain runs of letters or signs falls into these runs.
+    distinct word is encoded once. A word of plain runs of letters or signs falls into these runs. Ids take 16
+    bits where the vocabulary allows it.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,29 +96,65 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.kind = id_kind(self.library.get_vocab_size(with_added_tokens=True))
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        # Which ids end a run; none where the vocabulary doesn't mark it.
+        self.last = np.zeros(self.library.get_vocab_size(with_added_tokens=True), dtype=bool)
+        if suffix := model.get("end_of_word_suffix"):
+            self.last[[k for token, k in model["vocab"].items() if token.endswith(suffix)]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def words(self, words: list[str]) -> list[bytes]:
+    def parts(self, parts: list[bytes], mixed: np.ndarray) -> list[bytes]:
         if len(self.known) >= REMEMBERED:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        # A word of one run stands for itself: no list is made for it.
-        parts = [w.lower() if w.isalpha() and w.isascii() else self._runs(w) for w in words]
-        wanted = {p for p in parts if type(p) is str}
-        wanted.update(chain.from_iterable(p for p in parts if type(p) is not str))
-        missing = wanted - known.keys()
-        known.update({p: older[p] for p in missing if p in older})
-        new = [p for p in missing if p not in older]
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            ids = [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
-            data = np.array(list(chain.from_iterable(ids)), dtype="<u4").tobytes()
-            end = 0
-            for part, own in zip(some, ids, strict=True):
-                begin, end = end, end + 4 * len(own)
-                known[part] = data[begin:end]
-        return [known[p] if type(p) is str else b"".join([known[q] for q in p]) for p in parts]
+        found = list(map(known.get, parts))
+        missing = np.array([k for k, ids in enumerate(found) if ids is None], dtype=np.int64)
+        plain = missing[~mixed[missing]].tolist()
+        earlier = [older.get(parts[k]) for k in plain]
+        known.update((parts[k], ids) for k, ids in zip(plain, earlier, strict=True) if ids is not None)
+        self._encode([parts[k] for k, ids in zip(plain, earlier, strict=True) if ids is None], 512, self._joined)
+        for k in plain:
+            found[k] = known[parts[k]]
+        # Words of more than one run, or in doubt: by their runs.
+        runs_of: dict[int, list[bytes]] = {}
+        wanted: dict[bytes, None] = {}
+        for k in missing[mixed[missing]].tolist():
+            text = self._runs(parts[k].decode("utf-8", "surrogatepass"))
+            own = [x.encode("utf-8", "surrogatepass") for x in ([text] if type(text) is str else text)]
+            runs_of[k] = own
+            for run in own:
+                if run not in known:
+                    if run in older:
+                        known[run] = older[run]
+                    else:
+                        wanted[run] = None
+        self._encode([*wanted], 4096, self._each)
+        for k, own in runs_of.items():
+            found[k] = known[own[0]] if len(own) == 1 else b"".join([known[run] for run in own])
+        return found
+
+    def _encode(self, new: list[bytes], size: int, encode: Callable[[list[bytes]], list[bytes]]) -> None:
+        for start in range(0, len(new), size):
+            some = new[start : start + size]
+            self.known.update(zip(some, encode(some), strict=True))
+
+    def _each(self, some: list[bytes]) -> list[bytes]:
+        texts = [x.decode("utf-8", "surrogatepass") for x in some]
+        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.kind).tobytes() for e in encoded]
+
+    def _joined(self, some: list[bytes]) -> list[bytes]:
+        """Plain runs as one text with blanks between, which is half the work: the ids that end a run tell them apart."""
+        text = b" ".join(some).decode("utf-8", "surrogatepass")
+        ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+        stops = np.flatnonzero(self.last[ids]) + 1
+        if len(stops) != len(some) or stops[-1] != len(ids):
+            return self._each(some)
+        data, stops = ids.tobytes(), (stops * ids.itemsize).tolist()
+        return [data[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
     @staticmethod
     def _runs(word: str) -> str | list[str]:
@@ -86,6 +172,10 @@ class WordIds:
         return runs if len(runs) > 1 and sum(map(len, runs)) == len(word) else word
 
 
+def id_kind(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
 @functools.lru_cache(maxsize=2)
 def _word_ids(path: str) -> WordIds:
     return WordIds(path)
@@ -93,12 +183,12 @@ def _word_ids(path: str) -> WordIds:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
     encoder = _word_ids(path)
-    end = np.array([end_id], dtype="<u4")
+    width = np.dtype(encoder.kind).itemsize
     for chunk in chunks(batches):
-        words, codes, offsets = coded_words(chunk.column("text"))
-        parts = encoder.words(words)
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        flat = np.frombuffer(b"".join(parts), dtype="<u4")
+        words, mixed, codes, offsets = coded_parts(chunk.column("text"))
+        parts = encoder.parts(words, mixed)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // width
+        flat = np.frombuffer(b"".join(parts), dtype=encoder.kind)
         begins = np.cumsum(lengths) - lengths
 
         def batch(rows: list, piece: list, start: list, cuts: list, chunk: pa.RecordBatch = chunk) -> pa.RecordBatch:
@@ -107,27 +197,32 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int
                     chunk.column("id").take(pa.array(rows, pa.int64())),
                     pa.array(piece, pa.int32()),
                     pa.array(start, pa.int64()),
-                    pa.array([len(c) // 4 for c in cuts], pa.int64()),
+                    pa.array([len(c) // width for c in cuts], pa.int64()),
                     pa.array(cuts, pa.binary()),
                 ],
                 ["id", "piece", "start", "length", "ids"],
             )
 
+        # All ids of the chunk in a row, end_id behind those of each text.
+        counts = lengths[codes]
+        done = np.cumsum(counts)
+        stops = np.concatenate([[0], done])[offsets[1:]] + np.arange(1, chunk.num_rows + 1)
+        every = np.empty(int(counts.sum()) + chunk.num_rows, dtype=encoder.kind)
+        own = np.ones(len(every), dtype=bool)
+        own[stops - 1] = False
+        every[own] = flat[np.repeat(begins[codes] - (done - counts), counts) + np.arange(len(every) - chunk.num_rows)]
+        every[~own] = end_id
+
         rows, piece, start, cuts = [], [], [], []
         held = 0
-        for row in range(chunk.num_rows):
-            own = codes[offsets[row] : offsets[row + 1]]
-            counts = lengths[own]
-            total = int(counts.sum())
-            places = np.repeat(begins[own] - (np.cumsum(counts) - counts), counts) + np.arange(total)
-            ids = np.concatenate([flat[places], end])
-            for number, at in enumerate(range(0, total + 1, size)):
-                cut = ids[at : at + size]
+        for row, (first, stop) in enumerate(zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)):
+            for number, at in enumerate(range(0, stop - first, size)):
+                cut = every[first + at : min(first + at + size, stop)]
                 rows.append(row)
                 piece.append(number)
                 start.append(at)
                 cuts.append(cut.tobytes())
-                held += 4 * len(cut)
+                held += cut.nbytes
                 if held >= BATCH_BYTES:
                     yield batch(rows, piece, start, cuts)
                     rows, piece, start, cuts = [], [], [], []
@@ -145,7 +240,8 @@ def tokenized_pieces(
     end_id: int = END_ID,
 ) -> DataFrame:
     """id, piece, start, length, ids: documents as ids with end_id behind, those longer than a sequence
-    cut into pieces of sequence_tokens. The ids of a piece are little-endian 32-bit numbers in a row."""
+    cut into pieces of sequence_tokens. The ids of a piece are little-endian numbers in a row, as many bytes each
+    as its binary has per token (2 where the vocabulary allows it, else 4)."""
     ship_package(docs.sparkSession)
     texts = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
@@ -221,13 +317,16 @@ def _place(group: pa.Table, capacity: tuple, weights: tuple, rule: str) -> pa.Ta
     offset = np.empty(len(sizes), dtype=np.int64)
     offset[order] = before - np.repeat(before[first], np.diff(np.r_[np.flatnonzero(first), len(sizes)]))
     sequence = (group.column("bin_group").to_numpy() << 32) + bins
-    data = group.column("ids").to_pylist()
-    ends = pa.array(np.cumsum([0, *sizes]), pa.int32())
-    ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(data), dtype="<i4"), pa.int32()))
+    stored = group.column("ids").to_pylist()
+    data = b"".join(stored)
+    wide = np.frombuffer(data, dtype=f"<u{len(data) // int(sizes.sum())}").astype("<i4")
+    stops = np.cumsum([0, *sizes])
+    ids = pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(wide, pa.int32()))
+    crcs = [zlib.crc32(wide[a:b]) for a, b in zip(stops[:-1], stops[1:], strict=True)]
     return pa.table(
         {
             **{c: group.column(c) for c in ("id", "piece", "start", "length")},
-            "ids_crc32": pa.array(list(map(zlib.crc32, data)), pa.int64()),
+            "ids_crc32": pa.array(crcs, pa.int64()),
             "sequence_id": pa.array(sequence),
             "offset": pa.array(offset),
             "ids": ids,

@@ -17,6 +17,11 @@ def byte_table(*ranges: tuple[int, int]) -> np.ndarray:
     return table
 
 
+def mapped(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """What the table has for each byte; for tables of bytes this is faster than to index by the data."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), dtype=table.dtype)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each begins and the last one ends. Without nulls."""
     if isinstance(texts, pa.ChunkedArray):
@@ -56,14 +61,18 @@ def rows_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """The distinct byte strings among the runs, and the code of every run."""
-    lengths = ends - starts
-    offsets = np.zeros(len(starts) + 1, dtype=np.int64)
-    np.cumsum(lengths, out=offsets[1:])
+    # Runs don't overlap: one may begin where another ends, but no two begin or end at the same place.
     taken = np.zeros(len(data) + 1, dtype=np.int8)
-    np.add.at(taken, starts, 1)
-    np.add.at(taken, ends, -1)
-    held = data[np.cumsum(taken[:-1], dtype=np.int8).astype(bool)]
+    taken[starts] += 1
+    taken[ends] -= 1
+    return coded_lengths(data[np.cumsum(taken[:-1], dtype=np.int8).view(bool)], ends - starts)
+
+
+def coded_lengths(data: np.ndarray, lengths: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The same for byte strings that fill the data, given by their lengths."""
+    offsets = np.zeros(len(lengths) + 1, dtype=np.int64)
+    np.cumsum(lengths, out=offsets[1:])
     array = pa.Array.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(held))]
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
     ).dictionary_encode()
     return array.dictionary.cast(pa.binary()), array.indices.to_numpy()

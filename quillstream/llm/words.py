@@ -12,15 +12,17 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 4 << 20
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows whose texts have CHUNK_BYTES together, one row at least."""
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches into runs of rows whose texts have so many bytes together, one row at least."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + CHUNK_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 
