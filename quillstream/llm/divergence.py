@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.llm.shared import settle
-from quillstream.llm.spans import LOWER, byte_table, coded, rows_of, runs, text_bytes
+from quillstream.llm.spans import LOWER, byte_table, coded, mapped, rows_of, runs, text_bytes
 from quillstream.llm.words import chunks
 from quillstream.session import ship_package
 
@@ -22,15 +22,19 @@ TERMS_LISTED = 200
 # Bytes of the first prefixes; each level doubles them.
 FIRST_PREFIX = 4
 SCALE = 1_000_000_000
+FACTOR = 32_000
 # Bits of the map of prefixes that go on, a fixed 2 MB.
 MAP_BITS = 24
 MAP_ROW = 1 << 15
+# Bytes of text that one dictionary of terms is made of.
+CHUNK_BYTES = 8 << 20
 # Rows of terms that one task compares at a time, on average, and cells of its table of shares.
 BLOCK_ROWS = 200_000
 CELLS = 1 << 21
 
 LETTER = byte_table((65, 90), (97, 122), (128, 255))
-FOUND = "lang string, source string, term binary, whole boolean, documents long, times long"
+# A row without a source is that of a prefix.
+FOUND = "lang string, source string, term binary, documents long, times long"
 
 
 def _prints(prefixes: list[bytes]) -> np.ndarray:
@@ -55,14 +59,14 @@ def _level(batches: Iterator, low: int, high: int, known) -> Iterator[pa.RecordB
     """Whole terms of more than low and at most high bytes, by language and source, and the first high bytes
     of longer ones, by language; only of those whose first low bytes are marked in the map."""
     bits = known.value if known else None
-    for chunk in chunks(batches):
+    for chunk in chunks(batches, size=CHUNK_BYTES):
         data, offsets = text_bytes(chunk.column("text"))
-        starts, ends = runs(LETTER[data], offsets)
+        starts, ends = runs(mapped(data, LETTER), offsets)
         longer = ends - starts > low
         starts, ends = starts[longer], ends[longer]
         if not len(starts):
             continue
-        terms, codes = coded(LOWER[data], starts, ends)
+        terms, codes = coded(mapped(data, LOWER), starts, ends)
         languages, language = _codes(chunk.column("lang").to_pylist())
         sources, source = _codes(chunk.column("source").to_pylist())
         row = rows_of(starts, offsets)
@@ -88,7 +92,6 @@ def _level(batches: Iterator, low: int, high: int, known) -> Iterator[pa.RecordB
                 pa.array(languages, pa.string()).take(pa.array(group // len(sources))),
                 pa.array(sources, pa.string()).take(pa.array(group % len(sources))),
                 terms.take(pa.array(code)),
-                True,
                 np.diff(np.r_[first, len(keys)]),
                 np.add.reduceat(held, first),
             )
@@ -102,16 +105,14 @@ def _level(batches: Iterator, low: int, high: int, known) -> Iterator[pa.RecordB
             pa.array(languages, pa.string()).take(pa.array(keys // len(names))),
             pa.nulls(len(keys), pa.string()),
             names.take(pa.array(keys % len(names))),
-            False,
             documents,
             np.zeros(len(keys), np.int64),
         )
 
 
-def _batch(lang: pa.Array, source: pa.Array, term: pa.Array, whole: bool, documents: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-    flags = pa.array(np.full(len(documents), whole))
-    columns = [lang, source, term, flags, pa.array(documents.astype(np.int64)), pa.array(times.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "whole", "documents", "times"])
+def _batch(lang: pa.Array, source: pa.Array, term: pa.Array, documents: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    columns = [lang, source, term, pa.array(documents.astype(np.int64)), pa.array(times.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "documents", "times"])
 
 
 def _print_bits(batches: Iterator) -> Iterator[pa.RecordBatch]:
@@ -152,11 +153,11 @@ def kept_terms(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, first_prefix
     for high in (first_prefix << k for k in itertools.count()):
         found = docs.select("lang", "source", "text").mapInArrow(lambda b, lo=low, hi=high, k=known: _level(b, lo, hi, k), FOUND)
         counted = settle(
-            found.groupBy("lang", "source", "term", "whole").agg(F.sum("documents").alias("documents"), F.sum("times").alias("times")),
+            found.groupBy("lang", "source", "term").agg(F.sum("documents").alias("documents"), F.sum("times").alias("times")),
             f"terms-{high}",
         )
-        levels.append(counted.filter("whole"))
-        prefixes = counted.filter("NOT whole").filter(F.col("documents") >= min_documents)
+        levels.append(counted.filter("source IS NOT NULL"))
+        prefixes = counted.filter("source IS NULL").filter(F.col("documents") >= min_documents)
         if prefixes.isEmpty():
             break
         known, low = _map_of(prefixes), high
@@ -173,11 +174,16 @@ def kept_terms(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, first_prefix
     )
 
 
-def _share(times: Column | str) -> Column:
-    """1 + floor(10^9 * (times + 1) / (words + terms)), exact; null where there are no terms."""
-    return (
-        F.when(F.col("terms") > 0, F.expr(f"CAST(({SCALE} * CAST({times} + 1 AS DECIMAL(20,0))) div (words + terms) AS BIGINT)")) + 1
-    )
+def _share(times: str) -> Column:
+    """1 + floor(10^9 * (times + 1) / (words + terms)); null where there are no terms.
+
+    Exact in 64 bits up to 2 * 10^14 words, and an error beyond: the factor comes in two parts, with the rest of the
+    first division carried on.
+    """
+    first = f"(({times} + 1) * {SCALE // FACTOR})"
+    by = "(words + terms)"
+    share = f"1 + {first} div {by} * {FACTOR} + {first} % {by} * {FACTOR} div {by}"
+    return F.expr(f"CASE WHEN terms > 0 THEN {share} END")
 
 
 def _values(p: np.ndarray, q: np.ndarray) -> np.ndarray:
