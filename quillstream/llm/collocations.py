@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstream.llm.shared import packed, settle
-from quillstream.llm.spans import LOWER, byte_table, rows_of, runs, text_bytes
+from quillstream.llm.spans import LOWER, byte_table, mapped, rows_of, runs, text_bytes
 from quillstream.llm.words import chunks
 from quillstream.session import ship_package
 
@@ -102,26 +102,30 @@ class Grams:
     def segments(self, texts: pa.Array, languages: list[str]) -> Iterator[Segment]:
         """Parts of the texts that end between pieces."""
         data, offsets = text_bytes(texts)
-        data = LOWER[data]
+        data = mapped(data, LOWER)
         own = self._languages(languages, 3), self._languages(languages, 4)
         if not len(data):
             return
-        cuts = np.union1d(np.flatnonzero(SPLIT[data]) + 1, offsets)
+        split = mapped(data, SPLIT)
+        marks = np.flatnonzero(split) + 1
         begin = 0
         while begin < len(data):
-            at = int(np.searchsorted(cuts, begin + SEGMENT, side="right")) - 1
-            end = int(cuts[at]) if cuts[at] > begin else int(cuts[at + 1])
-            yield Segment(self, data[begin:end], np.clip(offsets, begin, end) - begin, own)
+            # The last mark or text's end within the segment, else the first one after it.
+            ends = [(x, int(np.searchsorted(x, begin + SEGMENT, side="right"))) for x in (marks, offsets)]
+            end = max([int(x[at - 1]) for x, at in ends if at], default=begin)
+            if end <= begin:
+                end = min(int(x[at]) for x, at in ends if at < len(x))
+            yield Segment(self, data[begin:end], split[begin:end], np.clip(offsets, begin, end) - begin, own)
             begin = end
 
 
 class Segment:
-    def __init__(self, grams: Grams, data: np.ndarray, offsets: np.ndarray, own: tuple) -> None:
+    def __init__(self, grams: Grams, data: np.ndarray, split: np.ndarray, offsets: np.ndarray, own: tuple) -> None:
         self.grams, self.data, self.own = grams, data, own
-        self.starts, self.ends = runs(WORD[data], offsets)
+        self.starts, self.ends = runs(mapped(data, WORD), offsets)
         self.rows = rows_of(self.starts, offsets)
         # Grows at every cut and at every text.
-        self.piece = np.cumsum(SPLIT[data])[self.starts] + self.rows if len(self.starts) else self.rows
+        self.piece = np.cumsum(split)[self.starts] + self.rows if len(self.starts) else self.rows
         self.raw = [[np.zeros(len(self.starts), np.uint64)] * 2]
 
     @cached_property
@@ -213,6 +217,7 @@ def _counted(batches: Iterator, sizes: tuple, fp_bits: int, known) -> Iterator[p
             if count >= HELD:
                 yield _summed(held)
                 held, count = [], 0
+        pa.default_memory_pool().release_unused()
     if count:
         yield _summed(held)
 
