@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.llm.spans import LOWER, byte_table, coded, rows_of, runs, text_bytes
+from quillstream.llm.spans import LOWER, byte_table, coded, mapped, rows_of, runs, text_bytes
 from quillstream.llm.words import chunks
 from quillstream.session import ship_package
 
@@ -127,11 +127,11 @@ class Files:
 
     def __init__(self, texts: pa.Array, index: Index) -> None:
         data, offsets = text_bytes(texts)
-        starts, ends = runs(WORD[data], offsets)
+        starts, ends = runs(mapped(data, WORD), offsets)
         self.index, self.count = index, len(texts)
         self.row = rows_of(starts, offsets)
         self.begins = np.searchsorted(self.row, np.arange(self.count + 1))
-        distinct, codes = coded(LOWER[data], starts, ends)
+        distinct, codes = coded(mapped(data, LOWER), starts, ends)
         known = np.array([index.code.get(w, -1) for w in distinct.to_pylist()], dtype=np.int64)
         code = known[codes] if len(codes) else np.zeros(0, np.int64)
         at = np.flatnonzero(code >= 0)
