@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -32,21 +33,45 @@ def located(text: Column, pattern: str, kind: str) -> Column:
     """All leftmost matches that don't overlap: kind, start, end (code points, end exclusive), value.
 
     Spark gives matches without places. What lies between them comes from a split at the same pattern;
-    a running sum of both lengths gives the places.
+    running sums of both lengths give the places, in n log n of the matches.
     """
-    between = F.split(text, pattern, -1)
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda hits: _placed(text, pattern, kind, hits))
 
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["hit"])
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), pair["hit"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    pairs = F.transform(hits, lambda hit, i: F.struct(between[i].alias("gap"), hit.alias("hit")))
-    found = F.aggregate(pairs, start, step, lambda state: state["spans"])
-    return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(_SPANS))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is worked out once, however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running_sums(numbers: Column) -> Column:
+    """Running totals of an array, by doubling: after step k each place holds the sum of the 2^(k+1) numbers
+    that end with it."""
+    steps = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(1)))).cast("int")),
+        lambda k: F.pow(F.lit(2.0), k).cast("int"),
+    )
+    return F.aggregate(
+        steps, numbers, lambda sums, step: F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - step), F.lit(0)))
+    )
+
+
+def _placed(text: Column, pattern: str, kind: str, hits: Column) -> Column:
+    """The matches with their places."""
+
+    def spans(gaps: Column) -> Column:
+        lengths = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda gap, hit: F.length(gap) + F.length(hit))
+        return _let(
+            running_sums(lengths),
+            lambda ends: F.zip_with(
+                hits,
+                ends,
+                lambda hit, end: F.struct(
+                    F.lit(kind).alias("kind"), (end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("value")
+                ),
+            ),
+        )
+
+    return F.when(F.size(hits) > 0, _let(F.split(text, pattern, -1), spans)).otherwise(F.array().cast(_SPANS))
 
 
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -133,33 +158,51 @@ def ratio(value: Column, table: list[float]) -> Column:
 def suspected(text: Column, table: list[float], min_ratio: float) -> Column:
     """Spans, of kind markov, of the runs that the models take for random strings.
 
-    Most texts have none, and so nothing is placed in them. In the others only what is kept grows the
-    state, so that a text costs its length."""
-    hits = F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
-    judged = F.transform(hits, lambda hit: F.struct(hit.alias("hit"), (ratio(hit, table) >= min_ratio).alias("random")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
-
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["hit"])
-        span = F.struct(
-            F.lit("markov").alias("kind"), begin.alias("start"), end.alias("end"), pair["hit"].alias("value")
-        )
-        spans = F.when(pair["random"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    def placed(runs: Column) -> Column:
-        gaps = F.transform(F.split(text, RUN, -1), lambda gap: F.struct(gap.alias("gap")))
-        pairs = F.zip_with(
-            F.slice(gaps, 1, F.size(runs)),
-            runs,
-            lambda gap, run: F.struct(gap["gap"].alias("gap"), run["hit"].alias("hit"), run["random"].alias("random")),
+    Most texts have none, and so nothing is placed in them."""
+
+    def placed(hits: Column) -> Column:
+        def kept(random: Column) -> Column:
+            spans = F.zip_with(
+                _placed(text, RUN, "markov", hits), random, lambda span, is_random: F.when(is_random, span)
+            )
+            return F.when(F.exists(random, lambda r: r), F.array_compact(spans)).otherwise(F.array().cast(_SPANS))
+
+        return _let(F.transform(hits, lambda hit: F.coalesce(ratio(hit, table) >= min_ratio, F.lit(False))), kept)
+
+    return _let(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), placed)
+
+
+def untouched(runs: Column, spans: Column) -> Column:
+    """The runs, in order and apart from each other, that no span overlaps.
+
+    A run is touched if more spans begin before its end than have ended at its start. Both are read off one
+    sorted list of all ends, so that it takes n log n of the runs and spans together."""
+    # At one place: ends of spans, starts of runs, ends of runs, starts of spans.
+    span_end, run_start, run_end, span_start = range(4)
+
+    def event(place: Column, kind: int) -> Column:
+        return F.struct(place.alias("place"), F.lit(kind).alias("kind"))
+
+    events = F.array_sort(
+        F.concat(
+            F.transform(spans, lambda s: event(s["end"], span_end)),
+            F.transform(spans, lambda s: event(s["start"], span_start)),
+            F.transform(runs, lambda r: event(r["start"], run_start)),
+            F.transform(runs, lambda r: event(r["end"], run_end)),
         )
-        found = F.aggregate(pairs, start, step, lambda state: state["spans"])
-        return F.when(F.exists(runs, lambda run: run["random"]), found).otherwise(F.array().cast(_SPANS))
+    )
+
+    def chosen(ordered: Column) -> Column:
+        def counts(kind: int, at: int) -> Column:
+            """How many events of a kind come before each event of another."""
+            sums = running_sums(F.transform(ordered, lambda e: (e["kind"] == kind).cast("int")))
+            return F.array_compact(F.zip_with(ordered, sums, lambda e, n: F.when(e["kind"] == at, n)))
 
-    # A lambda's variable is worked out once, however often it is used.
-    return F.transform(F.array(judged), placed)[0]
+        numbered = F.zip_with(runs, counts(span_end, run_start), lambda r, n: F.struct(r.alias("run"), n.alias("ended")))
+        flagged = F.zip_with(numbered, counts(span_start, run_end), lambda x, n: F.when(n <= x["ended"], x["run"]))
+        return F.array_compact(flagged)
+
+    return F.when((F.size(runs) > 0) & (F.size(spans) > 0), _let(events, chosen)).otherwise(runs)
 
 
 def find_secrets(
@@ -175,7 +218,7 @@ def find_secrets(
     added, as kind markov, if the model of random strings explains it better than the model of
     identifiers by min_ratio for each pair of characters; no other gate comes before the models. A null or empty text has no spans, null
     ids stay null, repeated rows have the same spans, an empty table gives an empty result; other columns are
-    never looked at.
+    never looked at. A text is one piece of work, which grows as n log n with its length and hits.
 
     One narrow stage of column expressions, without a shuffle; the model is a literal of fixed size.
     """
@@ -185,10 +228,7 @@ def find_secrets(
     empty = F.array().cast(_SPANS)
     rows = rows.withColumn("base", F.when(text.rlike(HINT), base_spans(text)).otherwise(empty))
     rows = rows.withColumn("random", suspected(text, table, min_ratio))
-    added = F.filter(
-        "random", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    )
-    rows = rows.withColumn("added", added)
+    rows = rows.withColumn("added", untouched(F.col("random"), F.col("base")))
     return rows.select("id", _ordered("base").alias("base"), _ordered(F.concat("base", "added")).alias("spans"))
 
 

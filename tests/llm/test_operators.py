@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quillstream.llm import chat, components, exact, language, lines, mixing, packing, quality, secrets, simhash, tokens
@@ -435,9 +437,11 @@ def test_counts_and_ids_are_the_library_s(text):
     text = text.encode("utf-8", "ignore").decode()
     ids = library_ids(text)
     assert tokens._counter(PATH).text(text) == len(ids)
-    words = [w.decode() for w in text.encode().split()]
-    joined = b"".join(packing._word_ids(PATH).words(words))
-    assert np.frombuffer(joined, dtype="<u4").tolist() == ids
+    distinct, mixed, codes, offsets = packing.coded_parts(pa.array([text, "", text]))
+    parts = packing._word_ids(PATH).parts(distinct, mixed)
+    for begin, end in (offsets[:2], offsets[2:]):
+        joined = b"".join(parts[k] for k in codes[begin:end])
+        assert np.frombuffer(joined, dtype=packing.id_kind(49_000)).tolist() == ids
 
 
 def test_token_counts(odd, none):
@@ -446,3 +450,34 @@ def test_token_counts(odd, none):
     assert Counter((r["id"], r["n_bytes"], r["n_tokens"]) for r in found) == want
     assert all(r["over_limit"] == (r["n_tokens"] > 100) for r in found)
     assert tokens.token_counts(none, PATH).count() == 0
+
+
+def test_secrets_of_a_text_with_many_hits(spark):
+    """Time grows about in proportion to the hits."""
+    draw = random.Random(8)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(draw.choices(alphabet, k=20)) for _ in range(300)]
+    words = ["identifier", "some_value", "ordinary", "of", "configuration", "database", "connection"]
+    table = secrets.bigram_table(spark.createDataFrame([(k, True) for k in keys] + [(w, False) for w in words * 50], "value string, secret boolean"))
+    text = " ".join(f"password={keys[k % 300]} {keys[(k * 7) % 300]} deadbeef{k:024x}" for k in range(33_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    start = time.monotonic()
+    row = secrets.find_secrets(docs, table).select(F.size("base").alias("base"), F.size("spans").alias("spans"), secrets.written(F.slice("spans", 1, 3)).alias("first")).first()
+    assert time.monotonic() - start < 20
+    assert row["base"] == 66_000 and 66_000 < row["spans"] <= 99_000
+    assert row["first"].startswith("assign:0:29,")
+
+
+def test_untouched_against_brute_force(spark):
+    draw = random.Random(9)
+    cases = []
+    for k in range(60):
+        cuts = sorted(draw.sample(range(60), 2 * draw.randrange(1, 8)))
+        runs = [(a, b) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        spans = [(a, a + draw.randrange(1, 6)) for a in (draw.randrange(60) for _ in range(draw.randrange(6)))]
+        cases.append((k, runs, spans))
+    kind = "array<struct<start:int,end:int>>"
+    df = spark.createDataFrame(cases, f"k int, runs {kind}, spans {kind}")
+    found = df.select("k", secrets.untouched(F.col("runs"), F.col("spans")).alias("left")).collect()
+    for (_, runs, spans), row in zip(cases, sorted(found), strict=True):
+        assert [tuple(x) for x in row["left"]] == [r for r in runs if not any(a < r[1] and r[0] < b for a, b in spans)]
