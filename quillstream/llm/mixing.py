@@ -9,9 +9,10 @@ from quillstream.llm.shared import WORD, packed, settle
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
-MAX_ROUNDS = 60
 TOLERANCE = 1e-6
 BINS = 4096
+# Documents of a source that give their copy to another one at the end.
+SWAPS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -95,7 +96,7 @@ def dual_solution(histogram: DataFrame, targets: DataFrame, most: int = MAX_COPI
     power = F.least(F.lit(700.0), F.col("tilt") * size)
     rate = F.least(F.lit(float(most)), F.exp(power))
     inside = F.exp(power) < most
-    for _ in range(MAX_ROUNDS):
+    while True:
         sums = _of(histogram, "source").join(
             state, F.col("source").eqNullSafe(F.col("of"))
         ).groupBy("source").agg(
@@ -111,7 +112,10 @@ def dual_solution(histogram: DataFrame, targets: DataFrame, most: int = MAX_COPI
         inside_bracket = F.coalesce(newton > F.col("new_low"), F.lit(True)) & F.coalesce(
             newton < F.col("new_high"), F.lit(True)
         )
-        done = F.col("all") | (F.abs(gap) <= TOLERANCE * F.greatest(F.col("target"), F.lit(1.0)))
+        # A bracket that can't be halved any more has no better tilt in it.
+        middle = (low + high) / 2
+        closed = F.coalesce((middle <= low) | (middle >= high), F.lit(False))
+        done = F.col("all") | closed | (F.abs(gap) <= TOLERANCE * F.greatest(F.col("target"), F.lit(1.0)))
         state = settle(
             state.join(_of(sums, "source"), F.col("source").eqNullSafe(F.col("of")))
             .withColumns({"new_low": low, "new_high": high, "newly": done})
@@ -136,7 +140,8 @@ def _rules(rows: DataFrame, tilts: DataFrame) -> DataFrame:
 
     A document turns over at its draw less its fraction. Those that turn over first get the copy,
     up to where the next one would take the source beyond its target; then, of the rest, those no
-    larger than what is still missing, and so once more. A rule is a threshold and a largest size.
+    larger than what is still missing, and so once more. At last a few documents give their copy to others,
+    where that brings the words nearer. A rule is a threshold and a largest size.
     Words by turn are summed in BINS bins and, at first, again within the bin where the target
     falls: an aggregate each, whatever the number of documents.
     """
@@ -178,7 +183,69 @@ def _rules(rows: DataFrame, tilts: DataFrame) -> DataFrame:
         else:
             changed = [F.when(F.col("next").isNotNull(), step).otherwise(0.0).alias("width"), "limit", "rules"]
         state = settle(fits.select("source", missing.alias("missing"), at.alias("low"), *changed), "mix-rules")
-    return state.select("source", "rules")
+    return _swapped(rows, state.select("source", "missing", "rules"))
+
+
+def _more() -> Column:
+    """Whether a document gets one copy more by the rules and swaps of its source."""
+    ruled = F.exists("rules", lambda r: (F.col("turn") < r["shift"]) & (F.col("size") <= r["limit"]))
+
+    def among(docs: str) -> Column:
+        return F.exists(docs, lambda d: (F.col("size") == d["size"]) & (F.col("turn") == d["turn"]))
+
+    # A document changes places once at most.
+    return (F.col("fraction") > 0) & ((ruled & ~among("drops")) | among("adds"))
+
+
+def _swapped(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """source, rules, drops and adds: SWAPS times, the document that gives up the copy that it got, and the one that
+    gets it, so that what is missing comes nearest to 0 from either side; either may be nobody. No swap
+    where none brings it nearer.
+
+    Only sizes are compared, each once for those that got a copy and once for those that didn't, so a source
+    has at most two rows for each distinct size, however many documents it has.
+    """
+    kind = "struct<size:bigint,turn:double>"
+    none = F.array().cast(f"array<{kind}>")
+    state = settle(state.withColumns({"drops": none, "adds": none}), "mix-swaps")
+    candidates = rows.filter("fraction > 0 AND size > 0").select(F.col("source").alias("of"), "size", "turn", "fraction")
+    nobody = F.expr("named_struct('size', 0L, 'turn', CAST(NULL AS DOUBLE))")
+    for _ in range(SWAPS):
+        joined = candidates.join(state, F.col("source").eqNullSafe(F.col("of")))
+        touched = F.array_union("drops", "adds")
+        untouched = ~F.exists(touched, lambda d: (F.col("size") == d["size"]) & (F.col("turn") == d["turn"]))
+        sizes = (
+            joined.filter(untouched)
+            .groupBy("of", _more().alias("got"), "size")
+            .agg(F.min("turn").alias("turn"), F.first("missing").alias("missing"))
+            .select("of", "got", F.struct("size", "turn").alias("doc"), "missing")
+        )
+        ends = state.select(F.col("source").alias("of"), F.explode(F.array(F.lit(True), F.lit(False))).alias("got"), nobody.alias("doc"), "missing")
+        wanted = F.col("doc.size") + F.when(F.col("got"), F.col("missing")).otherwise(0)
+        other = F.when(~F.col("got"), F.col("doc"))
+        by_size = Window.partitionBy("of").orderBy("wanted", "got")
+        before = by_size.rowsBetween(Window.unboundedPreceding, -1)
+        after = by_size.rowsBetween(1, Window.unboundedFollowing)
+        pairs = (
+            sizes.unionByName(ends)
+            .withColumn("wanted", wanted)
+            .withColumns({"below": F.last(other, True).over(before), "above": F.first(other, True).over(after)})
+            .filter("got")
+            .select("of", "missing", "wanted", F.col("doc").alias("drop"), F.explode(F.array("below", "above")).alias("add"))
+            .filter("add IS NOT NULL")
+            .withColumn("left", F.abs(F.col("wanted") - F.col("add.size")))
+            .filter(F.col("left") < F.abs("missing"))
+        )
+        best = pairs.groupBy("of").agg(F.min(F.struct("left", "drop", "add", "wanted")).alias("best"))
+        found = state.join(best, F.col("source").eqNullSafe(F.col("of")), "left")
+
+        def grown(docs: str, which: str) -> Column:
+            doc = F.col(f"best.{which}")
+            return F.when(doc["turn"].isNotNull(), F.array_append(docs, doc)).otherwise(F.col(docs)).alias(docs)
+
+        missing = F.coalesce(F.col("best.wanted") - F.col("best.add.size"), F.col("missing")).alias("missing")
+        state = settle(found.select("source", missing, "rules", grown("drops", "drop"), grown("adds", "add")), "mix-swaps")
+    return state.select("source", "rules", "drops", "adds")
 
 
 def _of(table: DataFrame, column: str) -> DataFrame:
@@ -252,10 +319,7 @@ def _plan(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
 
 
 def _decided(rows: DataFrame, plan: DataFrame, most: int) -> DataFrame:
-    more = (F.col("fraction") > 0) & F.exists(
-        "rules", lambda r: (F.col("turn") < r["shift"]) & (F.col("size") <= r["limit"])
-    )
-    return _rated(rows, plan, most).withColumn("copies", (F.col("whole") + more.cast("long")).cast("int"))
+    return _rated(rows, plan, most).withColumn("copies", (F.col("whole") + _more().cast("long")).cast("int"))
 
 
 def mix_documents(
