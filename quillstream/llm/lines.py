@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.shared import packed, settle
@@ -18,13 +18,19 @@ from quillstream.session import ship_package
 WINDOW = 3
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-# A line is too frequent in more than this share of a host's distinct documents, ...
+# A line is too frequent in more distinct documents of a host than this, however large the host, ...
+MAX_DOCUMENTS = 100
+# ... or in more than this share of them, ...
 MAX_SHARE = 0.1
-# ... and in more documents than this.
-MIN_DOCUMENTS = 20
+# ... if these are more than so many.
+MIN_DOCUMENTS = 5
 # A document is depleted if it keeps a smaller share of its words than this.
 MIN_KEPT_SHARE = 0.5
 
+# Bits of the map of frequent lines that tasks hold, a fixed 16 MB, and of one row of the bitmap functions.
+MAP_MASK = (1 << 27) - 1
+MAP_ROW = 1 << 15
+
 SYMBOLS = r"[#*$%&|<>]"
 FACTS = (
     "rid {rid}, id {id}, host {host}, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -108,19 +114,27 @@ def _facts(batches: Iterator[pa.RecordBatch], window: int, schema: pa.Schema) ->
         )
 
 
-def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without the lines whose hashes are in gone, and the words that are left."""
+def _cleaned(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+    """Texts without the lines that are marked in the map, but for those whose hashes are spared, and the words
+    that are left."""
+    bits = known.value
+    mask = 8 * len(bits) - 1
     for chunk in chunks(batches):
         texts, words = [], []
-        for text, gone in zip(chunk.column("text").to_pylist(), chunk.column("gone").to_pylist(), strict=True):
+        columns = (chunk.column(c).to_pylist() for c in ("text", "mark", "spared"))
+        for text, mark, spared in zip(*columns, strict=True):
             data = text.encode("utf-8", "surrogatepass")
-            if gone:
-                gone = set(gone)
-                left = []
-                for line in data.split(b"\n"):
-                    own = line.lower().split()
-                    if not own or _hash(b" ".join(own)) not in gone:
-                        left.append(line)
+            spared = set(spared or ())
+            left, lines = [], data.split(b"\n")
+            for line in lines:
+                own = line.lower().split()
+                if own:
+                    found = _hash(b" ".join(own))
+                    bit = (found ^ mark) & mask
+                    if bits[bit >> 3] >> (bit & 7) & 1 and found not in spared:
+                        continue
+                left.append(line)
+            if len(left) < len(lines):
                 data = b"\n".join(left)
                 text = data.decode("utf-8", "surrogatepass")
             texts.append(text)
@@ -131,6 +145,25 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _bit(line: str, host: str) -> Column:
+    return F.col(line).bitwiseXOR(F.xxhash64(host)).bitwiseAND(MAP_MASK)
+
+
+def _map_of(marks: DataFrame):  # noqa: ANN202
+    """A map of fixed size with these bits, sent to all tasks."""
+    place = F.col("bit") + 1
+    rows = (
+        marks.groupBy(F.bitmap_bucket_number(place).alias("row"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        .collect()
+    )
+    bits = bytearray((MAP_MASK + 1) // 8)
+    for row in rows:
+        begin = (row["row"] - 1) * MAP_ROW // 8
+        bits[begin : begin + MAP_ROW // 8] = row["bits"]
+    return marks.sparkSession.sparkContext.broadcast(bytes(bits))
+
+
 def clean_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -139,23 +172,24 @@ def clean_lines(
     max_share: float = MAX_SHARE,
     min_documents: int = MIN_DOCUMENTS,
     min_kept_share: float = MIN_KEPT_SHARE,
+    max_documents: int = MAX_DOCUMENTS,
 ) -> tuple[DataFrame, DataFrame]:
     """The texts without the lines that too many documents of their host share, and the rules' verdicts.
 
     A line is normalised (A-Z in lower case, single blanks) and hashed; the distinct documents of its
-    host that have it are counted, copies of a text as one. Lines in more than max_share of the
-    host's distinct documents and in more than min_documents are removed; a document that keeps less
-    than min_kept_share of its words is depleted.
+    host that have it are counted, copies of a text as one. Lines in more than max_documents of them are
+    removed, and those in more than max_share of the host's distinct documents, if these are more than
+    min_documents; a document that keeps less than min_kept_share of its words is depleted. A null text has no
+    lines, rows without a host are one host together, an empty table gives empty results.
 
     Returns two tables with one row per input row each. The first: rid, id, text without its frequent lines
     (all others as they were, blank ones too), kept_words. The second, as line_rules describes it, has the
     same rid and counts as removed what the first table's text lacks.
 
-    Texts stay in the tasks that read them, and are read again to be cleaned; only the hashes of the lines
-    that a text loses go to it, never more than it has lines. These are sent to the scan if small, and else
-    joined by row, so that no host is one task. A document counts a line once, counts are combined before the
-    shuffle, and the table of frequent lines has at most 1 / max_share times the mean number of lines for
-    each host.
+    Texts stay in the tasks that read them, and are read again to be cleaned. Which lines go is told by a map of
+    fixed size, a bit for each frequent line and host; the few lines that share a bit with one and are not frequent
+    themselves are found by a join on hashes, and go to the scan by row, sent to it if they are small. A document
+    counts a line once, counts are combined before the shuffle, and no host is one task.
     """
     ship_package(docs.sparkSession)
     row = F.col("row")
@@ -183,23 +217,32 @@ def clean_lines(
         .distinct()
         .groupBy("host", "hash")
         .agg(F.count("*").alias("found"))
-        .filter(F.col("found") > min_documents)
+        .filter(F.col("found") > F.lit(min(min_documents, max_documents)))
     )
+    in_many = F.col("found") > max_documents
+    in_a_share = (F.col("found") > min_documents) & (F.col("found") > max_share * F.col("documents"))
     frequent = (
         frequent.join(hosts.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
-        .filter(F.col("found") > max_share * F.col("documents"))
+        .filter(in_many | in_a_share)
         .select(F.col("host").alias("of"), F.col("hash").alias("which"))
     )
     frequent = settle(frequent, "frequent-lines")
-    gone = (
-        each.join(frequent, F.col("host").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("which")))
+    marks = frequent.select(_bit("which", "of").alias("bit")).distinct()
+    known = _map_of(marks)
+    spared = (
+        each.withColumn("bit", _bit("hash", "host"))
+        .join(marks, "bit", "left_semi")
+        .join(frequent, F.col("host").eqNullSafe(F.col("of")) & (F.col("hash") == F.col("which")), "left_anti")
         .groupBy("rid")
-        .agg(F.collect_list("hash").alias("gone"))
+        .agg(F.collect_list("hash").alias("spared"))
     )
     cleaned = (
-        texts.join(settle(gone, "removed-lines"), "rid", "left")
-        .select("rid", "id", "text", "gone")
-        .mapInArrow(_cleaned, f"rid {kinds['rid']}, id {kinds['id']}, text string, kept_words long")
+        texts.withColumn("mark", F.xxhash64("host"))
+        .join(settle(spared, "spared-lines"), "rid", "left")
+        .select("rid", "id", "text", "mark", "spared")
+        .mapInArrow(
+            lambda batches: _cleaned(batches, known), f"rid {kinds['rid']}, id {kinds['id']}, text string, kept_words long"
+        )
     )
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
@@ -224,6 +267,7 @@ def line_rules(
     max_share: float = MAX_SHARE,
     min_documents: int = MIN_DOCUMENTS,
     min_kept_share: float = MIN_KEPT_SHARE,
+    max_documents: int = MAX_DOCUMENTS,
 ) -> DataFrame:
     """Rules within a document, and lines that too many documents of a host share.
 
@@ -233,4 +277,4 @@ def line_rules(
     depleted). A null or empty text has no words and fails; rows without a host are one host together;
     repeated rows count as copies; an empty table gives an empty result. Other columns are never looked at.
     """
-    return clean_lines(docs, id_col, text_col, host_col, max_share, min_documents, min_kept_share)[1]
+    return clean_lines(docs, id_col, text_col, host_col, max_share, min_documents, min_kept_share, max_documents)[1]

@@ -53,7 +53,7 @@ LINES = r"""
         SELECT l.source, l.plain
         FROM (SELECT source, plain, count(DISTINCT text) AS found FROM lines GROUP BY source, plain) l
         JOIN hosts h ON h.source IS NOT DISTINCT FROM l.source
-        WHERE found > 20 AND found > 0.1 * documents
+        WHERE found > 100 OR found > 5 AND found > 0.1 * documents
     ),
     removed AS (
         SELECT l.rid, sum(line_words)::BIGINT AS removed_words

@@ -481,3 +481,52 @@ def test_untouched_against_brute_force(spark):
     found = df.select("k", secrets.untouched(F.col("runs"), F.col("spans")).alias("left")).collect()
     for (_, runs, spans), row in zip(cases, sorted(found), strict=True):
         assert [tuple(x) for x in row["left"]] == [r for r in runs if not any(a < r[1] and r[0] < b for a, b in spans)]
+
+
+def test_mix_against_plain_newton(spark, small):
+    """Rates are those of a plain solution of each source's dual, and words come near the target."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    found = rows(mixing.mixed(docs))
+    source = {r["doc_id"]: r["source"] for r in docs.collect()}
+    by_source = defaultdict(list)
+    for r in found:
+        by_source[source[r["id"]]].append(r)
+    off = []
+    for own in by_source.values():
+        size = np.array([r["size"] for r in own], dtype=float)
+        target = own[0]["target"]
+        off.append(abs(sum(r["taken"] for r in own) - target) / target)
+        if target >= mixing.MAX_COPIES * size.sum():
+            assert all(r["copies"] == mixing.MAX_COPIES for r in own if r["size"])
+            continue
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            tilt = (low + high) / 2
+            mass = (size * np.minimum(mixing.MAX_COPIES, np.exp(np.minimum(tilt * size / size.mean(), 700)))).sum()
+            low, high = (tilt, high) if mass < target else (low, tilt)
+        rates = np.minimum(mixing.MAX_COPIES, np.exp(np.minimum(tilt * size / size.mean(), 700)))
+        assert np.allclose([r["rate"] for r in own], rates, rtol=1e-3)
+    # Ten documents a source: some are too coarse to come nearer.
+    assert np.median(off) <= 0.005 and max(off) <= 0.1
+
+
+def test_frequent_lines_of_small_and_large_hosts(spark):
+    """A share binds in a small host, the absolute limit in a large one, and neither below the floor."""
+    def docs_of(host, count, shared):
+        return [(f"{host}{k}", f"{host} {' '.join(f'w{k}x{j}' for j in range(60))}" + ("\nA shared line" if k < shared else ""), host) for k in range(count)]
+
+    docs = docs_of("small", 20, 6) + docs_of("few", 20, 5) + docs_of("large", 1500, 101) + docs_of("rare", 1500, 100)
+    found = rows(lines.line_rules(spark.createDataFrame(docs, "doc_id string, text string, source string")))
+    removed = Counter(re.sub(r"\d", "", r["id"]) for r in found if r["removed_words"])
+    assert removed == {"small": 6, "large": 101}
+
+
+def test_lines_that_share_a_bit_with_a_frequent_one(spark, monkeypatch):
+    """A map of 2^15 bits marks some lines that are not frequent; only frequent ones go."""
+    shared = "".join(f"\na shared line {j}" for j in range(30))
+    docs = [(k, "\n".join(f"own {k} {j}" for j in range(400)) + shared, "h" if k % 2 else None) for k in range(40)]
+    df = spark.createDataFrame(docs, "doc_id int, text string, source string")
+    monkeypatch.setattr(lines, "MAP_MASK", (1 << 15) - 1)
+    cleaned, _ = lines.clean_lines(df)
+    for r in cleaned.collect():
+        assert r["text"] == docs[r["id"]][1].removesuffix(shared)
