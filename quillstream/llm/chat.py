@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -17,13 +18,12 @@ Turn = tuple[str, str]
 # render(turns, opened): all turns, then, if a role is given, the opening of a turn of that role.
 Render = Callable[[list[Turn], str | None], str]
 
-# Turns that stay in view of the template in a long conversation, where that proves enough.
-VIEW = 32
-
 # Control strings are made of these; inside texts and roles each becomes a backslash and a letter.
 ESCAPES = {"\\": "\\\\", "#": "\\h", "<": "\\l", ":": "\\c", "\n": "\\n"}
 ORIGINALS = {after[1]: before for before, after in ESCAPES.items()}
 OPENING, CLOSING = "### {role}: ", "</turn>\n"
+# Characters of a turn whose marked form is kept.
+REMEMBERED = 1024
 
 
 def escape(text: str, characters: str = "\\#<") -> str:
@@ -34,14 +34,26 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: ORIGINALS[m[1]], text)
 
 
+@functools.lru_cache(maxsize=16_384)
+def _marked_short(role: str, text: str) -> str:
+    return _marked(role, text)
+
+
+def _marked(role: str, text: str) -> str:
+    return f"{_opening(role)}{escape(text)}{CLOSING}"
+
+
+def _opening(role: str) -> str:
+    return OPENING.format(role=escape(role, "\\#<:\n"))
+
+
 def marked_turns(turns: list[Turn], opened: str | None = None) -> str:
     """The template of the registered query: `### role: text</turn>` and a line feed per turn. No
-    text or role can hold a control string, since neither `#` nor `<` is left in it."""
-    out = []
-    for role, text in turns:
-        out += [OPENING.format(role=escape(role, "\\#<:\n")), escape(text), CLOSING]
+    text or role can hold a control string, since neither `#` nor `<` is left in it. As every prefix is
+    rendered again, the latest turns of up to 1,024 characters are remembered (16 MB of ASCII)."""
+    out = [(_marked_short if len(role) + len(text) <= REMEMBERED else _marked)(role, text) for role, text in turns]
     if opened is not None:
-        out.append(OPENING.format(role=escape(opened, "\\#<:\n")))
+        out.append(_opening(opened))
     return "".join(out)
 
 
@@ -91,49 +103,44 @@ def _piece(render: Render, seen: list[Turn], before: str, turn: Turn) -> tuple[s
     return after[len(before) :], len(opened) - len(before), len(after) - len(before) - len(closing)
 
 
-def render_incrementally(turns: list[Turn], render: Render = marked_turns, view: int = VIEW) -> Rendered:
+def render_incrementally(turns: list[Turn], render: Render = marked_turns, view: int | None = None) -> Rendered:
     """Render successive prefixes and compare each output with the one before.
 
     A template that only appends gives each turn a span. If a prefix comes out otherwise once a turn
     follows, the template rewrites history: the result is then the rendering of all turns at once,
     without spans. Only outputs are compared; the template is never looked into.
 
-    So that a long conversation doesn't cost the square of its length, turns leave the template's view
-    once there are twice `view` of them, if the last ones come out just the same without those before;
-    if not, all stay and the next try is made at twice the length. Where turns have left, the joined pieces
-    are compared with the rendering of all turns at the end; if these differ, the template looks further
-    back than it was shown, and all prefixes are rendered in full. A rewriting that is wholly undone by the
-    last turn isn't seen by that: text and spans are right then as well.
+    Every prefix is whole, so what the template does with any number of earlier turns is seen. That costs
+    the square of the turns. Who knows that the template never looks further back than `view` turns may say
+    so: each turn is then rendered behind that many, whatever the length of the conversation, and a
+    rewriting beyond them is only seen if it is still there in the rendering of all turns.
     """
-    seen: list[Turn] = []
-    before = render([], None)
-    pieces, spans = [before], []
-    length, limit = len(before), 2 * view
-    narrowed = False
+    if view is not None and view < 1:
+        raise ValueError("view must be positive")
+    head = before = render([], None)
+    pieces, spans = [head], []
+    length = len(head)
     for number, turn in enumerate(turns):
+        seen = turns[:number] if view is None else turns[max(0, number - view) : number]
+        if view is not None and number > view:
+            before = head + "".join(pieces[-view:])
+            if render(seen, None) != before:
+                # The template does look further back.
+                return render_incrementally(turns, render)
         found = _piece(render, seen, before, turn)
-        if found is None and narrowed:
-            # What the template does in the narrowed view says nothing about full prefixes.
-            return render_incrementally(turns, render, len(turns))
+        if found is None and view is not None and number > view:
+            # What it does in the narrowed view says nothing about full prefixes.
+            return render_incrementally(turns, render)
         if found is None:
             return Rendered(render(list(turns), None), None, number)
         piece, start, end = found
         spans.append(Span(length, length + start, length + end, length + len(piece)))
         pieces.append(piece)
         length += len(piece)
-        seen.append(turn)
         before += piece
-        if len(seen) >= limit:
-            head = render([], None)
-            short = render(seen[-view:], None)
-            if short == head + "".join(pieces[-view:]):
-                seen, before = seen[-view:], short
-                narrowed = True
-            else:
-                limit *= 2
     text = "".join(pieces)
-    if narrowed and text != render(list(turns), None):
-        return render_incrementally(turns, render, len(turns))
+    if view is not None and len(turns) > view and text != render(list(turns), None):
+        return render_incrementally(turns, render)
     return Rendered(text, spans)
 
 
@@ -150,12 +157,14 @@ SCHEMA = (
 )
 
 
-def _conversations(batches: Iterator[pa.RecordBatch], trained: str, render: Render) -> Iterator[pa.RecordBatch]:
+def _conversations(
+    batches: Iterator[pa.RecordBatch], trained: str, render: Render, view: int | None
+) -> Iterator[pa.RecordBatch]:
     """Rows sorted by conversation and turn; one row for each conversation."""
     key, turns, started = None, [], False
 
     def done() -> dict:
-        result = render_incrementally(turns, render)
+        result = render_incrementally(turns, render, view)
         spans = result.spans
         loss = [s for s, (role, _) in zip(spans or [], turns, strict=False) if role == trained]
         return {
@@ -204,6 +213,7 @@ def format_chats(
     text_col: str = "text",
     trained: str = "assistant",
     render: Render = marked_turns,
+    view: int | None = None,
 ) -> DataFrame:
     """One row per conversation: conv_id, n_turns, formatted, append_only, loss_spans (of the texts of the
     trained role, as code points of formatted, end exclusive) and turn_starts.
@@ -212,7 +222,9 @@ def format_chats(
     role or text is empty, turns with a null id are one conversation, and a template that rewrites
     history gives null spans. An empty table gives an empty result; other columns are never looked at.
 
-    One shuffle by conversation; tasks read conversations one after another and hold one at a time.
+    One shuffle by conversation; tasks read conversations one after another and hold one at a time. A
+    conversation is rendered as a whole, so a very long one is one task's work, in the square of its turns
+    unless `view` says how far back the template looks (see render_incrementally).
     """
     ship_package(conversations.sparkSession)
     rows = conversations.select(
@@ -225,7 +237,7 @@ def format_chats(
     return (
         rows.repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
-        .mapInArrow(lambda batches: _conversations(batches, trained, render), SCHEMA.format(kind=kind))
+        .mapInArrow(lambda batches: _conversations(batches, trained, render, view), SCHEMA.format(kind=kind))
     )
 
 

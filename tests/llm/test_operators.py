@@ -172,23 +172,44 @@ def test_templates_that_rewrite_history_are_found():
     assert found.spans is None and found.rewritten_at == 0 and found.text.startswith("[2]")
 
 
-def test_templates_that_look_back_further_than_the_view_are_found():
-    def last_hundred(turns, opened=None):
-        return chat.marked_turns(turns[-100:], opened)
+def _last_hundred(turns, opened=None):
+    return chat.marked_turns(turns[-100:], opened)
 
-    def within_budget(turns, opened=None):
-        kept, turns = [], list(turns)
-        while turns and sum(len(text) for _, text in [*kept, turns[-1]]) <= 300:
-            kept.insert(0, turns.pop())
-        return chat.marked_turns(kept, opened)
 
+def _within_budget(turns, opened=None):
+    kept, turns = [], list(turns)
+    while turns and sum(len(text) for _, text in [*kept, turns[-1]]) <= 300:
+        kept.insert(0, turns.pop())
+    return chat.marked_turns(kept, opened)
+
+
+def _some_lengths(turns, opened=None):
+    """Changes its mind, and back again."""
+    return ("HEAD " if 70 <= len(turns) <= 90 else "") + chat.marked_turns(turns, opened)
+
+
+@pytest.mark.parametrize(("render", "first"), [(_last_hundred, 100), (_within_budget, 75), (_some_lengths, 69)])
+def test_templates_that_rewrite_late_are_found(render, first):
     turns = [(("user", "assistant")[k % 2], f"t{k:03}") for k in range(160)]
-    for render, first in ((last_hundred, 100), (within_budget, 75)):
-        found = chat.render_incrementally(turns, render)
-        assert found.text == render(turns) and found.spans is None and found.rewritten_at == first
-        assert chat.render_incrementally(turns[:first], render).spans is not None
-    plain = chat.render_incrementally(turns)
-    assert plain.text == chat.marked_turns(turns) and len(plain.spans) == 160
+    found = chat.render_incrementally(turns, render)
+    assert found.text == render(turns) and found.spans is None and found.rewritten_at == first
+    assert chat.render_incrementally(turns[:first], render).spans is not None
+    if render is not _some_lengths:
+        assert chat.render_incrementally(turns, render, view=8) == found
+
+
+def test_a_view_that_is_enough_changes_nothing():
+    turns = [(("user", "assistant")[k % 2], f"t{k:03}") for k in range(160)]
+
+    def numbered_from_the_last(turns, opened=None):
+        # Looks one turn back.
+        out = [f"{len(turns[k - 1][1]) if k else 4}{chat.marked_turns([turn])}" for k, turn in enumerate(turns)]
+        return "".join(out) + (f"4{chat.marked_turns([], opened)}" if opened is not None else "")
+
+    for render in (chat.marked_turns, numbered_from_the_last):
+        whole = chat.render_incrementally(turns, render)
+        assert whole.text == render(turns) and len(whole.spans) == 160
+        assert chat.render_incrementally(turns, render, view=4) == whole
 
 
 def test_chats(spark):
