@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.components import components
@@ -22,6 +22,8 @@ BITS = 64
 # Blocks of a fingerprint. Two that differ in at most RADIUS bits agree in all but RADIUS blocks.
 BLOCKS = 4
 TREE_NODES = 1024
+# Blocks that the bits outside a large shard's are cut into again.
+SUB_BLOCKS = 4
 # Shingles whose bits are counted at a time.
 CHUNK = 1 << 16
 
@@ -122,7 +124,7 @@ def _search(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Recor
 
     for batch in batches:
         found: list[tuple[int, int]] = []
-        columns = (batch.column(c).to_pylist() for c in ("blocks", "bits", "i", "j", "own", "value"))
+        columns = (batch.column(c).to_pylist() for c in ("mask", "bits", "i", "j", "own", "value"))
         for *place, own, value in zip(*columns, strict=True):
             if place != key:
                 found += links()
@@ -140,20 +142,53 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _shards(fps: DataFrame, radius: int) -> DataFrame:
-    """Every fingerprint once for each choice of BLOCKS - radius blocks: two within the radius meet
-    in one of these at least."""
-    width = BITS // BLOCKS
-    choices = []
-    for chosen in combinations(range(BLOCKS), BLOCKS - radius):
-        mask = sum(((1 << width) - 1) << (width * b) for b in chosen)
-        choices.append(
-            F.struct(
-                F.lit(sum(1 << b for b in chosen)).alias("blocks"),
-                F.col("value").bitwiseAND(F.lit(_signed(mask))).alias("bits"),
-            )
-        )
-    return fps.select(F.explode(F.array(*choices)).alias("shard"), "value").select("shard.*", "value")
+def _cut(bits: list[int], blocks: int) -> list[list[int]]:
+    """The bits in that many blocks, sizes as equal as can be."""
+    return [bits[len(bits) * b // blocks : len(bits) * (b + 1) // blocks] for b in range(blocks)]
+
+
+def _choices(bits: list[int], blocks: int, radius: int) -> list[int]:
+    """Masks of all choices of blocks - radius blocks of the bits: two values that differ in at most radius of
+    these bits agree in all bits of one of the masks at least."""
+    return [sum(1 << b for block in chosen for b in block) for chosen in combinations(_cut(bits, blocks), blocks - radius)]
+
+
+def _agreeing(masks: list[int]) -> Column:
+    """mask and bits, the value's bits in it, for each of the masks."""
+    return F.array(
+        *[
+            F.struct(F.lit(_signed(m)).alias("mask"), F.col("value").bitwiseAND(F.lit(_signed(m))).alias("bits"))
+            for m in masks
+        ]
+    )
+
+
+def _sized(rows: DataFrame, name: str) -> DataFrame:
+    """Rows of the shards (mask, bits) of two values or more, with their number as n."""
+    sizes = settle(rows.groupBy("mask", "bits").agg(F.count("*").alias("n")).filter("n > 1"), name)
+    return rows.join(sizes, ["mask", "bits"])
+
+
+def _shards(fps: DataFrame, radius: int, tree_nodes: int) -> DataFrame:
+    """mask, bits, value and n, the size of the shard. Every fingerprint stands once for each choice of BLOCKS - radius
+    blocks, so that two within the radius share a shard at least.
+
+    Shards of more than tree_nodes are cut again by their other bits, in the same way. Two in one of those agree in all
+    but radius of BLOCKS blocks and all but radius of SUB_BLOCKS blocks of the rest.
+    """
+    everything = list(range(BITS))
+    outer = _choices(everything, BLOCKS, radius)
+    sized = _sized(fps.select(F.explode(_agreeing(outer)).alias("shard"), "value").select("shard.*", "value"), "shards")
+    inner = F.lit(None)
+    for mask in outer:
+        rest = [b for b in everything if not mask >> b & 1]
+        masks = [mask | more for more in _choices(rest, max(SUB_BLOCKS, radius + 1), radius)]
+        inner = F.when(F.col("mask") == _signed(mask), _agreeing(masks)).otherwise(inner)
+    large = sized.filter(F.col("n") > tree_nodes).select(F.explode(inner).alias("shard"), "value")
+    # Shards cut in different ways may come to the same bits.
+    again = _sized(large.select("shard.*", "value").distinct(), "shards-again")
+    small = sized.filter(F.col("n") <= tree_nodes)
+    return small.unionByName(again)
 
 
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
@@ -161,25 +196,25 @@ def fingerprint_links(fps: DataFrame, radius: int = RADIUS, tree_nodes: int = TR
     that differ in at most radius bits.
 
     Fingerprints that agree in BLOCKS - radius of BLOCKS blocks make up a shard. A shard of more than
-    tree_nodes fingerprints is cut into parts, each with a tree of its own that is sent to every
-    other part of the shard, so no task holds more than two parts. A tree goes only where its shard
+    tree_nodes fingerprints is cut again by the bits outside these blocks; at the registered radius of 2 those
+    shards agree in 48 bits, so none can hold more than 2^16. What is still too large is cut into parts,
+    each with a tree of its own that is sent to every other part of the shard, so no task holds more than two
+    parts and no fingerprint has more than 64 copies in a shard. A tree goes only where its shard
     has queries: to send it everywhere would be a broadcast that grows with the corpus.
     """
     if not 0 <= radius < BLOCKS:
         raise ValueError(f"radius must be from 0 to {BLOCKS - 1}")
     ship_package(fps.sparkSession)
-    rows = _shards(fps, radius)
-    sizes = settle(rows.groupBy("blocks", "bits").agg(F.count("*").alias("n")).filter("n > 1"), "shards")
     parts = F.ceil(F.col("n") / tree_nodes).cast("int")
     combined = (
-        rows.join(sizes, ["blocks", "bits"])
-        .select("blocks", "bits", "value", F.pmod(F.xxhash64("value"), parts).cast("int").alias("own"), parts.alias("parts"))
+        _shards(fps, radius, tree_nodes)
+        .select("mask", "bits", "value", F.pmod(F.xxhash64("value"), parts).cast("int").alias("own"), parts.alias("parts"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("blocks", "bits", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "value")
+        .select("mask", "bits", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "value")
     )
     found = (
-        combined.repartition("blocks", "bits", "i", "j")
-        .sortWithinPartitions("blocks", "bits", "i", "j", "value")
+        combined.repartition("mask", "bits", "i", "j")
+        .sortWithinPartitions("mask", "bits", "i", "j", "value")
         .mapInArrow(lambda batches: _search(batches, radius), "a long, b long")
     )
     return settle(found.distinct(), "fingerprint-links")

@@ -94,6 +94,50 @@ def test_links_against_brute_force(spark, tree_nodes):
     assert {v: got.get(v, v) for v in values} == {v: top(v) for v in values}
 
 
+def test_a_hot_shard_is_cut_again(spark):
+    """Fingerprints that share 32 bits: no more copies than the two cuts allow, and no link lost."""
+    draw = random.Random(9)
+    values = [0]
+    for _ in range(5000):
+        near = draw.choice(values) ^ 1 << draw.randrange(32)
+        values.append(near if draw.random() < 0.5 else draw.getrandbits(32))
+    values = sorted(set(values))
+    fps = spark.createDataFrame([(v,) for v in values], "value long")
+    shards = simhash._shards(fps, 2, 64)
+    # Six shards of a fingerprint at first, of which only one is hot and cut into six.
+    assert shards.filter("n > 64").count() <= 6 * 64 and shards.count() <= 12 * len(values)
+    found = components.components(simhash.fingerprint_links(fps, tree_nodes=64))
+    got = {r["vertex"]: r["root"] for r in found.collect()}
+    root = {v: v for v in values}
+
+    def top(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    flips = [1 << a | 1 << b for a in range(32) for b in range(a, 32)]
+    for v in values:
+        for flip in flips:
+            if v ^ flip in root:
+                x, y = top(v), top(v ^ flip)
+                root[max(x, y)] = min(x, y)
+    assert {v: got.get(v, v) for v in values} == {v: top(v) for v in values}
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3])
+def test_links_at_other_radii(spark, radius):
+    draw = random.Random(radius)
+    values = sorted({draw.getrandbits(8) | draw.getrandbits(6) << 40 for _ in range(150)})
+    fps = spark.createDataFrame([(v,) for v in values], "value long")
+    links = simhash.fingerprint_links(fps, radius, 8).collect()
+    assert all((r["a"] ^ r["b"]).bit_count() <= radius for r in links)
+    got = {r["vertex"]: r["root"] for r in components.components(simhash.fingerprint_links(fps, radius, 8)).collect()}
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if (a ^ b).bit_count() <= radius:
+                assert got[a] == got[b]
+
+
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 500), (301, 300), (300, 301)]
     draw = random.Random(3)
