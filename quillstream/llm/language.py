@@ -16,9 +16,9 @@ from quillstream.llm.words import chunks
 from quillstream.session import ship_package
 
 BUCKETS = 1 << 14
-# Labelled documents of each language that the text model is fitted on, about.
+# Distinct labelled texts of each language that the text model is fitted on, about.
 ROWS_PER_LANGUAGE = 500
-# Languages from which their sums are taken by exploding, as columns of an aggregate get too many.
+# Up to so many languages the model is a table in every task (8 MB); beyond, a DataFrame that is joined.
 MANY_LANGUAGES = 64
 # Three letters in a row overlap with their neighbours: each counts as a third of a fact.
 TEMPER = 1 / 3
@@ -46,21 +46,55 @@ def _trigrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log-likelihoods of trigram buckets by language, one row each for every label there is. The last one
-    is UNKNOWN, where all buckets are equally likely: text that is unlike every known language falls to it."""
+    """Log-likelihoods of trigram buckets for every label there is, and for UNKNOWN, the last one, where all
+    buckets are equally likely: text that is unlike every known language falls to it.
+
+    unseen: by language, of a bucket that was not met in it. weights: k (place of the language), bucket and
+    weight, what a bucket that was met adds to that. table: both in one, a row for each language, if there are at most
+    MANY_LANGUAGES.
+    """
 
     languages: tuple[str, ...]
-    table: np.ndarray
+    unseen: np.ndarray
+    weights: DataFrame | None
+    table: np.ndarray | None
+
 
-    def log_likelihoods(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """By text and language, tempered; and how many trigrams each text has."""
-        sums = np.zeros((len(texts), len(self.languages)))
-        counts = np.zeros(len(texts), dtype=np.int64)
-        for buckets, number in _trigrams(texts):
-            times = np.bincount(buckets, minlength=BUCKETS) if len(buckets) > BUCKETS else None
-            sums[number] += self.table @ times if times is not None else self.table[:, buckets].sum(axis=1)
-            counts[number] += len(buckets)
-        return sums * TEMPER, counts
+def _log_likelihoods(table: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """By text and language, tempered; and how many trigrams each text has."""
+    sums = np.zeros((len(texts), len(table)))
+    counts = np.zeros(len(texts), dtype=np.int64)
+    for buckets, number in _trigrams(texts):
+        times = np.bincount(buckets, minlength=BUCKETS) if len(buckets) > BUCKETS else None
+        sums[number] += table @ times if times is not None else table[:, buckets].sum(axis=1)
+        counts[number] += len(buckets)
+    return sums * TEMPER, counts
+
+
+def _bucket_counts(rows: DataFrame, key: str) -> DataFrame:
+    """key, bucket and n: the trigrams of the column text of all rows with that key, not yet added up over
+    batches. key is a number. Only buckets that are met are held, and handed on before they become many."""
+    ship_package(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(keys: list[np.ndarray], of: np.ndarray) -> pa.RecordBatch:
+            pairs, n = np.unique(np.concatenate(keys), return_counts=True)
+            arrays = [of[pairs // BUCKETS], pairs % BUCKETS, n]
+            return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in arrays], [key, "bucket", "n"])
+
+        for chunk in chunks(batches):
+            of, place = np.unique(chunk.column(key).to_numpy(zero_copy_only=False), return_inverse=True)
+            keys, held = [], 0
+            for buckets, number in _trigrams(pc.fill_null(chunk.column("text"), "").to_pylist()):
+                keys.append(place[number] * BUCKETS + buckets.astype(np.int64))
+                held += len(buckets)
+                if held >= 4 * TRIGRAM_BYTES:
+                    yield counted(keys, of)
+                    keys, held = [], 0
+            if keys:
+                yield counted(keys, of)
+
+    return rows.select(F.col(key).cast("long").alias(key), "text").mapInArrow(run, f"{key} long, bucket long, n long")
 
 
 def fit_text_model(
@@ -70,67 +104,57 @@ def fit_text_model(
     rows_per_language: int = ROWS_PER_LANGUAGE,
     smoothing: float = 0.5,
 ) -> TextModel:
-    """Count trigrams of a sample of about rows_per_language labelled documents for every label, chosen by
-    a hash of the text. No label at all leaves UNKNOWN."""
-    ship_package(docs.sparkSession)
+    """Count trigrams of a sample of about rows_per_language distinct labelled texts for every label, chosen by
+    a hash of the text. No label at all leaves UNKNOWN. The driver gets two numbers for each label, and
+    the counts only if there are at most MANY_LANGUAGES."""
     texts = docs.select(
         F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label")
     ).filter("text IS NOT NULL AND label IS NOT NULL")
-    labels = texts.groupBy("label").agg(F.count("*").alias("n")).collect()
-    shares = {r["label"]: min(1.0, rows_per_language / r["n"]) for r in labels}
+    # Copies of a text count once, so that a label of many copies has a sample as well.
+    labels = texts.groupBy("label").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()
+    shares = {r["label"]: min(1.0, rows_per_language / max(r["n"], 1)) for r in labels}
     languages = tuple(sorted(shares))
-    table = np.full((len(languages) + 1, BUCKETS), -np.log(BUCKETS))
-    if languages:
-        listed = docs.sparkSession.createDataFrame(
-            [(k, place, shares[k]) for place, k in enumerate(languages)], "of string, place long, share double"
-        )
-        drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
-        sample = texts.join(F.broadcast(listed), F.col("label") == F.col("of")).filter(drawn)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            # Only buckets that are met are held, and handed on before they become many.
-            def counted(keys: list[np.ndarray]) -> pa.RecordBatch:
-                key, n = np.unique(np.concatenate(keys), return_counts=True)
-                arrays = [pa.array(x.astype(np.int64)) for x in (key // BUCKETS, key % BUCKETS, n)]
-                return pa.RecordBatch.from_arrays(arrays, ["at", "bucket", "n"])
-
-            for chunk in chunks(batches):
-                of = chunk.column("place").to_pylist()
-                keys, held = [], 0
-                for buckets, number in _trigrams(chunk.column("text").to_pylist()):
-                    keys.append(of[number] * BUCKETS + buckets.astype(np.int64))
-                    held += len(buckets)
-                    if held >= 4 * TRIGRAM_BYTES:
-                        yield counted(keys)
-                        keys, held = [], 0
-                if keys:
-                    yield counted(keys)
-
-        found = (
-            sample.select("place", "text")
-            .mapInArrow(run, "at long, bucket long, n long")
-            .groupBy("at", "bucket")
-            .agg(F.sum("n").alias("n"))
-            .toArrow()
-        )
-        counts = np.zeros((len(languages), BUCKETS))
-        counts[found.column("at").to_numpy(), found.column("bucket").to_numpy()] = found.column("n").to_numpy()
-        counts += smoothing
-        table[:-1] = np.log(counts / counts.sum(axis=1, keepdims=True))
-    return TextModel((*languages, UNKNOWN), table)
+    size = len(languages)
+    flat = -np.log(BUCKETS)
+    if not languages:
+        return TextModel((UNKNOWN,), np.array([flat]), None, np.full((1, BUCKETS), flat))
+    listed = docs.sparkSession.createDataFrame(
+        [(k, place, shares[k]) for place, k in enumerate(languages)], "of string, k long, share double"
+    )
+    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
+    sample = texts.join(listed, F.col("label") == F.col("of")).filter(drawn).select("k", "text").distinct()
+    counts = settle(
+        _bucket_counts(sample, "k").groupBy("k", "bucket").agg(F.sum("n").alias("n")), "trigrams-of-languages"
+    )
+    totals = np.zeros(size)
+    for r in counts.groupBy("k").agg(F.sum("n").alias("n")).collect():
+        totals[r["k"]] = r["n"]
+    unseen = np.append(np.log(smoothing) - np.log(totals + smoothing * BUCKETS), flat)
+    weights = counts.select("k", "bucket", F.log((F.col("n") + smoothing) / smoothing).alias("weight"))
+    table = None
+    if size <= MANY_LANGUAGES:
+        found = weights.toArrow()
+        table = np.repeat(unseen[:, None], BUCKETS, axis=1)
+        places = found.column("k").to_numpy(), found.column("bucket").to_numpy()
+        table[places] += found.column("weight").to_numpy()
+    return TextModel((*languages, UNKNOWN), unseen, weights, table)
 
 
 def _text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
     """rows has rid, id, text and columns of other evidence; text becomes loglik and trigrams."""
+    return _looked_up(rows, model.table) if model.table is not None else _joined_evidence(rows, model)
+
+
+def _looked_up(rows: DataFrame, table: np.ndarray) -> DataFrame:
     others = [c for c in rows.columns if c != "text"]
     spark = rows.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(model)  # a row of BUCKETS for each language
+    shared = spark.sparkContext.broadcast(table)  # at most MANY_LANGUAGES + 1 rows of BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             texts = pc.fill_null(chunk.column("text"), "").to_pylist()
-            sums, counts = shared.value.log_likelihoods(texts)
+            sums, counts = _log_likelihoods(shared.value, texts)
             yield pa.RecordBatch.from_arrays(
                 [chunk.column(c) for c in others]
                 + [pa.array(list(sums), pa.list_(pa.float64())), pa.array(counts)],
@@ -143,6 +167,35 @@ def _text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
     return settle(rows.select(*others, "text").mapInArrow(run, schema), "text-evidence")
 
 
+def _joined_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
+    """The same for any number of languages: buckets of the texts meet the weights by a join, and are summed up
+    by text and language. Nothing but a number for each language is in the driver or in all tasks."""
+    others = [c for c in rows.columns if c != "text"]
+    # Row numbers and structs become one number each, which the parts of a text are added up by.
+    numbered = settle(rows.withColumn("at", F.monotonically_increasing_id()), "numbered-texts")
+    buckets = settle(_bucket_counts(numbered, "at"), "buckets-of-texts")
+    sums = buckets.join(model.weights, "bucket").groupBy("at", "k").agg(F.sum(F.col("n") * F.col("weight")).alias("s"))
+    by_text = sums.groupBy("at").agg(F.map_from_entries(F.collect_list(F.struct("k", "s"))).alias("sums"))
+    lengths = buckets.groupBy("at").agg(F.sum("n").alias("n"))
+    unseen = F.transform(F.array(*map(F.lit, model.unseen.tolist())), lambda u, k: F.struct(u.alias("u"), k.alias("k")))
+    met = F.coalesce("sums", F.create_map().cast("map<bigint,double>"))
+    trigrams = F.coalesce("n", F.lit(0)).cast("long")
+    scored = (
+        numbered.drop("text")
+        .join(lengths, "at", "left")
+        .join(by_text, "at", "left")
+        .select(
+            *others,
+            F.transform(
+                unseen,
+                lambda e: (e["u"] * trigrams + F.coalesce(F.try_element_at(met, e["k"].cast("long")), F.lit(0.0))) * TEMPER,
+            ).alias("loglik"),
+            trigrams.alias("trigrams"),
+        )
+    )
+    return settle(scored, "text-evidence")
+
+
 def _softmax(logs: Column) -> Column:
     top = F.array_max(logs)
     powers = F.transform(logs, lambda x: F.exp(x - top))

@@ -1,6 +1,7 @@
 """The operators against brute force, on odd rows and on empty tables."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -365,6 +366,56 @@ def test_every_label_is_fitted(spark):
     assert language.keep_identified(docs, model).count() == len(data)
 
 
+def brute_trigrams(text):
+    """Bucket numbers by the rule, not by the operator's arrays."""
+    letters = "".join(c if c.isalpha() and c.isascii() or not c.isascii() else " " for c in text.lower())
+    data = f" {letters} ".encode()
+    for a, b, c in zip(data, data[1:], data[2:], strict=False):
+        if not (a == b == 32 or b == c == 32):
+            yield ((a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % 2**32) >> 18
+
+
+def test_text_evidence_against_plain_python_and_by_join(spark, odd, monkeypatch):
+    prose = {"en": "the cat sat on the mat", "de": "die katze saß auf der matte", "fr": "le chat était assis là"}
+    data = [(k, f"{text} {k % 4}", lang) for k, (lang, text) in enumerate(list(prose.items()) * 5)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    counts = {lang: Counter() for lang in prose}
+    for text, lang in {(t, lg) for _, t, lg in data}:
+        counts[lang].update(brute_trigrams(text))
+    texts = odd.selectExpr("monotonically_increasing_id() AS rid", "doc_id AS id", "text").unionByName(
+        docs.selectExpr("doc_id + 100 AS rid", "doc_id AS id", "text")
+    )
+    held = rows(texts)
+
+    def check():
+        model = language.fit_text_model(docs)
+        assert model.languages == ("de", "en", "fr", "und")
+        found = {(r["rid"], r["id"]): r for r in rows(language._text_evidence(texts, model))}
+        assert len(found) == len(held)
+        for row in held:
+            buckets = list(brute_trigrams(row["text"] or ""))
+            want = [
+                sum(math.log((counts[lang][b] + 0.5) / (counts[lang].total() + 0.5 * 2**14)) for b in buckets) / 3
+                for lang in ("de", "en", "fr")
+            ] + [-len(buckets) * math.log(2**14) / 3]
+            got = found[row["rid"], row["id"]]
+            assert got["trigrams"] == len(buckets) and got["loglik"] == pytest.approx(want, rel=1e-9)
+        return model
+
+    assert check().table is not None
+    monkeypatch.setattr(language, "MANY_LANGUAGES", 2)
+    assert check().table is None
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    data = [(k, "the same words again and again", "en") for k in range(400)]
+    data += [(1000 + k, f"number {k} of other words {k * k}", "en") for k in range(20)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = language.fit_text_model(docs, rows_per_language=1000)
+    once = language.fit_text_model(docs.dropDuplicates(["text"]), rows_per_language=1000)
+    assert (model.table == once.table).all()
+
+
 def test_sums_of_many_languages_are_those_of_few(spark, monkeypatch):
     data = [("a", [0.25, 0.75, 0.0]), ("a", [1.0, 0.0, 0.0]), (None, [0.0, 0.5, 0.5])]
     posteriors = spark.createDataFrame(data, "host string, posterior array<double>")
