@@ -20,6 +20,8 @@ BUCKETS = 1 << 14
 ROWS_PER_LANGUAGE = 500
 # Up to so many languages the model is a table in every task (8 MB); beyond, a DataFrame that is joined.
 MANY_LANGUAGES = 64
+# A list of labels and shares that is smaller goes to all tasks of the scan for the sample.
+LISTED_BYTES = 4 << 20
 # Three letters in a row overlap with their neighbours: each counts as a third of a fact.
 TEMPER = 1 / 3
 # Documents that a prior of the level above is worth.
@@ -122,6 +124,8 @@ def fit_text_model(
         [(k, place, shares[k]) for place, k in enumerate(languages)], "of string, k long, share double"
     )
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share") * (1 << 20)
+    if size * 16 + sum(map(len, languages)) <= LISTED_BYTES:
+        listed = F.broadcast(listed)
     sample = texts.join(listed, F.col("label") == F.col("of")).filter(drawn).select("k", "text").distinct()
     counts = settle(
         _bucket_counts(sample, "k").groupBy("k", "bucket").agg(F.sum("n").alias("n")), "trigrams-of-languages"
