@@ -163,10 +163,9 @@ def _agreeing(masks: list[int]) -> Column:
     )
 
 
-def _sized(rows: DataFrame, name: str) -> DataFrame:
-    """Rows of the shards (mask, bits) of two values or more, with their number as n."""
-    sizes = settle(rows.groupBy("mask", "bits").agg(F.count("*").alias("n")).filter("n > 1"), name)
-    return rows.join(sizes, ["mask", "bits"])
+def _sizes(rows: DataFrame, name: str) -> DataFrame:
+    """mask, bits and n, the number of values, of the shards of two values or more."""
+    return settle(rows.groupBy("mask", "bits").agg(F.count("*").alias("n")).filter("n > 1"), name)
 
 
 def _shards(fps: DataFrame, radius: int, tree_nodes: int) -> DataFrame:
@@ -176,9 +175,14 @@ def _shards(fps: DataFrame, radius: int, tree_nodes: int) -> DataFrame:
     Shards of more than tree_nodes are cut again by their other bits, in the same way. Two in one of those agree in all
     but radius of BLOCKS blocks and all but radius of SUB_BLOCKS blocks of the rest.
     """
+    key = ["mask", "bits"]
     everything = list(range(BITS))
     outer = _choices(everything, BLOCKS, radius)
-    sized = _sized(fps.select(F.explode(_agreeing(outer)).alias("shard"), "value").select("shard.*", "value"), "shards")
+    rows = fps.select(F.explode(_agreeing(outer)).alias("shard"), "value").select("shard.*", "value")
+    sizes = _sizes(rows, "shards")
+    sized = rows.join(sizes, key)
+    if sizes.filter(F.col("n") > tree_nodes).isEmpty():
+        return sized
     inner = F.lit(None)
     for mask in outer:
         rest = [b for b in everything if not mask >> b & 1]
@@ -186,9 +190,9 @@ def _shards(fps: DataFrame, radius: int, tree_nodes: int) -> DataFrame:
         inner = F.when(F.col("mask") == _signed(mask), _agreeing(masks)).otherwise(inner)
     large = sized.filter(F.col("n") > tree_nodes).select(F.explode(inner).alias("shard"), "value")
     # Shards cut in different ways may come to the same bits.
-    again = _sized(large.select("shard.*", "value").distinct(), "shards-again")
+    again = settle(large.select("shard.*", "value").distinct(), "shards-cut")
     small = sized.filter(F.col("n") <= tree_nodes)
-    return small.unionByName(again)
+    return small.unionByName(again.join(_sizes(again, "shards-again"), key))
 
 
 def fingerprint_links(fps: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
