@@ -31,8 +31,11 @@ def test_frontier(spark, last, newest, expected, mark):
 
 
 def test_id_ranges():
-    assert list(frontier.id_ranges(0, 7, 3)) == [(1, 3), (4, 6), (7, 7)]
-    assert list(frontier.id_ranges(7, 7, 3)) == []
+    assert frontier.id_ranges(0, 7, 3) == [(1, 3), (4, 6), (7, 7)]
+    assert frontier.id_ranges(7, 7, 3) == frontier.id_ranges(9, 7, 3) == []
+    wide = frontier.id_ranges(5, 10**9 + 5, 100, tasks=64)
+    assert len(wide) == 64 and wide[0][0] == 6 and wide[-1][1] == 10**9 + 5
+    assert all(a[1] + 1 == b[0] for a, b in zip(wide, wide[1:], strict=False))
 
 
 def test_backfill_and_progress(spark):

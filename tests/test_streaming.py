@@ -168,6 +168,44 @@ def test_frontier_with_a_start(spark, work):
     assert sorted(r.id for r in spark.read.parquet(f"{work}/out").collect()) == [3, 4, 5]
 
 
+def test_a_wide_gap_starts_at_once_and_is_read_in_tasks(spark, work):
+    import os
+    import time
+
+    os.makedirs(work)
+    publish(f"{work}/newest", 20_000_000)
+    stream = frontier.frontier_stream(spark, f"{work}/newest", start_id=0, tasks=8)
+    query = io.drain(
+        io.with_progress(stream).writeStream.format("noop").option("checkpointLocation", f"{work}/checkpoint")
+    )
+    seen = query.lastProgress["observedMetrics"]["progress"]
+    assert (seen["rows"], seen["highest"]) == (20_000_000, 20_000_000)
+    reader = frontier.FrontierReader({"path": f"{work}/newest", "startid": "0"})
+    start = time.perf_counter()
+    ranges = reader.partitions({"id": 0}, {"id": 10**12})
+    first = next(reader.read(ranges[0]))
+    assert len(ranges) == frontier.TASKS and first.num_rows == frontier.BATCH and time.perf_counter() - start < 1
+
+
+def test_one_mark_file_is_read_at_a_poll(work, monkeypatch):
+    import os
+
+    os.makedirs(f"{work}/marks")
+    for number in range(1, 6):
+        publish(f"{work}/marks/{number}", 10 * number)
+        os.utime(f"{work}/marks/{number}", ns=(number, number))
+    read = []
+    numbers = frontier._numbers
+    monkeypatch.setattr(frontier, "_numbers", lambda fs, name: read.append(name) or numbers(fs, name))
+    assert frontier.read_newest_id(f"{work}/marks") == 50 and read == [f"{work}/marks/5"]
+    publish(f"{work}/marks/6", "")
+    assert frontier.highest_mark(f"{work}/marks") == 50
+    publish(f"{work}/marks/7", 45)
+    assert frontier.highest_mark(f"{work}/marks") == 50 and frontier.highest_mark(f"{work}/marks") == 50
+    publish(f"{work}/marks/8", 60)
+    assert frontier.highest_mark(f"{work}/marks") == 60
+
+
 def test_kafka_needs_its_connector(spark):
     """The options are accepted; without the connector's jar Spark says what is missing."""
     with pytest.raises(Exception, match="(?i)kafka"):
