@@ -24,6 +24,29 @@ def parse_item(value: Column, schema: T.StructType = ITEM) -> Column:
     return F.from_json(value, schema)
 
 
+CORRUPT = "_corrupt"
+
+
+def parse_item_strictly(value: Column, schema: T.StructType) -> Column:
+    """The same, with the text itself in the field CORRUPT if it isn't JSON or a field isn't of its type."""
+    widened = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(value, widened, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def item_fault(value: Column, item: Column) -> Column:
+    """What is wrong with a payload that was parsed strictly, NULL if nothing is: ``missing`` (NULL, or the JSON
+    null of an id without an item), ``no-object`` (anything that doesn't open one), ``malformed``, ``field-type`` or
+    ``no-id``. Only payloads that fail are looked at a second time."""
+    bare = F.trim(value, F.lit(" \t\r\n"))
+    valid = F.get_json_object(value, "$").isNotNull()
+    return (
+        F.when(value.isNull() | (bare == "null"), "missing")
+        .when(~bare.startswith("{"), "no-object")
+        .when(item[CORRUPT].isNotNull(), F.when(valid, "field-type").otherwise("malformed"))
+        .when(item["id"].isNull(), "no-id")
+    )
+
+
 def json_text_field(value: Column, field: str) -> Column:
     """One field of a JSON object as text; NULL if it is absent or the text is not JSON."""
     return F.get_json_object(value, f"$['{field}']")

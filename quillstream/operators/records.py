@@ -26,6 +26,33 @@ def parse_items(records: DataFrame, fields: list[str] | None = None) -> DataFram
     return parsed.select("key", "data.*")
 
 
+def check_items(records: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """Item columns of every record, with its key, its fault (see ``item_fault``; NULL if none) and, where there
+    is one, the payload as raw. Each record gives one row, which is an item or a fault; a field named here
+    must be one of the item, id is always there. No shuffle; serves streams."""
+    schema = T.StructType([f for f in ITEM.fields if fields is None or f.name in {*fields, "id"}])
+    parsed = decode_records(records).withColumn("data", R.parse_item_strictly(F.col("value"), schema))
+    fault = R.item_fault(F.col("value"), F.col("data")).alias("fault")
+    checked = parsed.select("key", "value", "data", fault)
+    sound = F.col("fault").isNull()
+    return checked.select(
+        "key",
+        *[F.when(sound, F.col("data")[f.name]).alias(f.name) for f in schema.fields],
+        F.when(~sound, F.col("value")).alias("raw"),
+        "fault",
+    )
+
+
+def sound_items(checked: DataFrame) -> DataFrame:
+    """The items of checked records."""
+    return checked.where("fault IS NULL").drop("raw", "fault")
+
+
+def faulty_records(checked: DataFrame) -> DataFrame:
+    """Key, value and fault of the others."""
+    return checked.where("fault IS NOT NULL").select("key", F.col("raw").alias("value"), "fault")
+
+
 def drop_ghosts(items: DataFrame) -> DataFrame:
     """Without the rows whose payload was no item."""
     return items.where(F.col("id").isNotNull())

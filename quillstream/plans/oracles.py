@@ -279,6 +279,23 @@ ORACLES: dict[str, str] = {
     "stream_tail": f"""SELECT event_id AS "offset", CAST(event_id AS VARCHAR) AS key,
   {EVENT_JSON} AS value FROM events""",
     "stream_restart": f"SELECT CAST(event_id AS VARCHAR) AS key, {EVENT_JSON} AS value FROM events",
+    "stream_quarantine": f"""WITH {ITEMS},
+written AS (SELECT id, CAST({ITEM_JSON} AS VARCHAR) AS j FROM items),
+raw AS (
+  SELECT CAST(id AS VARCHAR) AS key, CASE id % 10 WHEN 1 THEN left(j, length(j) // 2) WHEN 3 THEN 'null'
+    WHEN 5 THEN '{{"id":"x' || id || '"}}' WHEN 7 THEN '{{"type":"comment"}}' WHEN 9 THEN '[' || id || ']'
+    ELSE j END AS value
+  FROM written),
+judged AS (
+  SELECT key, value, CASE WHEN value = 'null' THEN 'missing' WHEN left(value, 1) <> '{{' THEN 'no-object'
+    WHEN NOT json_valid(value) THEN 'malformed' WHEN json_type(value, '$.id') IS NULL THEN 'no-id'
+    WHEN json_type(value, '$.id') NOT IN ('UBIGINT', 'BIGINT') THEN 'field-type' END AS fault
+  FROM raw),
+opened AS (SELECT *, CASE WHEN fault IS NULL THEN value END AS item FROM judged)
+SELECT key, CAST(item->>'$.id' AS BIGINT) AS id, item->>'$.type' AS type, item->>'$.by' AS "by",
+  CAST(item->>'$.time' AS BIGINT) AS time, item->>'$.text' AS text,
+  CASE WHEN fault IS NOT NULL THEN value END AS value, fault
+FROM opened""",
     "kv_decode": f"SELECT CAST(event_id AS VARCHAR) AS key, {EVENT_JSON} AS value FROM events",
     "archive_scan": f'WITH {ITEMS} SELECT id, type, "by", time, text FROM items',
     "frontier_delta": NEW_IDS,

@@ -526,6 +526,29 @@ def stream_json_sink(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("id bigint, by string, wordCount int").json(f"{work}/out")
 
 
+def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of the documents, of which many are spoilt in some way, as a stream into items and faults."""
+    work = scratch_path(spark, "quarantine")
+    key, value = F.col("key").cast("string"), F.col("value").cast("string")
+    spoilt = (
+        F.when(F.col("offset") % 10 == 1, F.expr("left(value, cast(length(value) / 2 AS int))"))
+        .when(F.col("offset") % 10 == 3, F.lit("null"))
+        .when(F.col("offset") % 10 == 5, F.concat(F.lit('{"id":"x'), "key", F.lit('"}')))
+        .when(F.col("offset") % 10 == 7, F.lit('{"type":"comment"}'))
+        .when(F.col("offset") % 10 == 9, F.concat(F.lit("["), "key", F.lit("]")))
+        .otherwise(F.col("value"))
+    )
+    topic = _document_topic(spark, sf).withColumns({"key": key, "value": value})
+    written = topic.withColumns({"key": F.col("key").cast("binary"), "value": spoilt.cast("binary")})
+    written.write.option("maxRecordsPerFile", 5000).parquet(f"{work}/topic")
+    checked = records.check_items(io.read_record_files(spark, f"{work}/topic"), ITEM_COLUMNS)
+    io.drain(io.write_checked(checked, f"{work}/out", f"{work}/checkpoint"))
+    found = io.read_checked(spark, f"{work}/out", checked.schema)
+    items = records.sound_items(found).select("key", *ITEM_COLUMNS)
+    faults = records.faulty_records(found)
+    return items.unionByName(faults, allowMissingColumns=True)
+
+
 def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     """A stream that is stopped and started from its checkpoint: views arrive first, the other
     events later, and a third run finds nothing new."""
@@ -593,5 +616,6 @@ QUERIES: dict[str, Query] = {
         document_job,
         sentence_job,
         stream_restart,
+        stream_quarantine,
     )
 }

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from quillstream.operators.ingest import upsert_archive
 from quillstream.schema import RECORD
@@ -73,6 +74,17 @@ def write_files(
     )
 
 
+def write_checked(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Append checked records to a folder, items and quarantined records apart, in one commit: each record is in
+    exactly one of the two, exactly once. Reading either opens only its own files (``read_checked``)."""
+    return write_files(rows, path, checkpoint).partitionBy("fault")
+
+
+def read_checked(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """What ``write_checked`` wrote; ``schema`` is that of the rows written."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_kafka(
     rows: DataFrame, servers: str, topic: str, checkpoint: str, **options: str
 ) -> DataStreamWriter:

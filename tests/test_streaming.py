@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.operators import ingest, records
 from quillstream.plans import jobs
+from quillstream.schema import RECORD
 from quillstream.session import scratch_path
 from quillstream.sources import frontier, tables
 from quillstream.streaming import io
@@ -206,6 +207,36 @@ def test_one_mark_file_is_read_at_a_poll(work, monkeypatch):
     assert frontier.highest_mark(f"{work}/marks") == 60
 
 
+def test_every_record_is_an_item_or_a_fault(spark, work):
+    payloads = {
+        "ok": '{"id":1,"text":"a","more":[1]}', "late": ' {"id": 2}', "null": "null", "none": None, "empty": "",
+        "cut": '{"id":3,"text":"a', "type": '{"id":"x3"}', "score": '{"id":4,"score":"high"}', "noid": '{"text":"a"}',
+        "list": "[1]", "word": "hello", "bytes": '{"id":5,"text":"\\ud800"}', "big": '{"id":99999999999999999999}',
+    }
+    rows_in = [(k.encode(), v and v.encode()) for k, v in payloads.items()]
+    rows_in = [(k, v if payloads[k.decode()] != "" else b"") for k, v in rows_in]
+    frame = spark.createDataFrame([(*r, "items", 0, n, None) for n, r in enumerate(rows_in)], RECORD)
+    frame.repartition(3).write.parquet(f"{work}/topic")
+    stream = records.check_items(io.read_record_files(spark, f"{work}/topic", max_per_trigger=1))
+    for _ in range(2):
+        io.drain(io.write_checked(stream, f"{work}/out", f"{work}/checkpoint"))
+    found = io.read_checked(spark, f"{work}/out", stream.schema)
+    items = {r.key: r for r in records.sound_items(found).collect()}
+    faults = {r.key: r for r in records.faulty_records(found).collect()}
+    assert {k: r.fault for k, r in faults.items()} == {
+        "null": "missing", "none": "missing", "empty": "no-object", "cut": "malformed", "type": "field-type",
+        "score": "field-type", "noid": "no-id", "list": "no-object", "word": "no-object", "big": "field-type",
+    }
+    assert set(items) | set(faults) == set(payloads) and len(items) + len(faults) == found.count() == len(payloads)
+    assert items["ok"].id == 1 and items["late"].id == 2 and faults["cut"].value == payloads["cut"]
+    batch = records.check_items(spark.read.parquet(f"{work}/topic"))
+    assert rows(batch.select(*stream.columns)) == rows(found.select(*stream.columns))
+    plan = records.sound_items(found)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "PartitionFilters: [isnull(fault" in plan
+
+
 def test_kafka_needs_its_connector(spark):
     """The options are accepted; without the connector's jar Spark says what is missing."""
     with pytest.raises(Exception, match="(?i)kafka"):
