@@ -10,7 +10,7 @@ from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.operators import annotate, classify, embed, incremental, ingest, logistic, records, terms
+from quillstream.operators import annotate, classify, embed, incremental, ingest, logistic, pooling, records, terms
 from quillstream.operators.rows import each
 from quillstream.plans import jobs
 from quillstream.session import scratch_path, spread
@@ -331,6 +331,16 @@ def sentence_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.select("id", "position", _digits("embedding").alias("embedding"))
 
 
+def sentence_embeddings_pooled(spark: SparkSession, sf: str) -> DataFrame:
+    """Weighted means of 128 numbers for all sentences, without their first component."""
+    items = _items(spark, sf).select("id", "text")
+    rows = annotate.annotation_rows(_annotated(spark, sf), "sentence", "id")
+    vectors = embed.fit_vectors(items, scratch_path(spark, "vectors"))
+    path = pooling.fit_pooling(rows, vectors, scratch_path(spark, "pooling"), text="result")
+    found = pooling.pooled_vectors(rows, path, text="result")
+    return found.select("id", "position", F.transform("embedding", lambda x: F.round(x, 4)).alias("embedding"))
+
+
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
     models = trained_models(spark, sf)
     vectors = embed.mean_vectors(_items(spark, sf).select("id", "text"), models.vectors)
@@ -605,6 +615,7 @@ QUERIES: dict[str, Query] = {
         token_embeddings,
         doc_embeddings,
         sentence_embeddings,
+        sentence_embeddings_pooled,
         sentiment,
         sentiment_logistic,
         keywords,
