@@ -338,7 +338,8 @@ def sentence_embeddings_pooled(spark: SparkSession, sf: str) -> DataFrame:
     vectors = embed.fit_vectors(items, scratch_path(spark, "vectors"))
     path = pooling.fit_pooling(rows, vectors, scratch_path(spark, "pooling"), text="result")
     found = pooling.pooled_vectors(rows, path, text="result")
-    return found.select("id", "position", F.transform("embedding", lambda x: F.round(x, 4)).alias("embedding"))
+    digits = F.transform("embedding", lambda x: F.round(x.cast("double") * 1e4).cast("long").cast("string"))
+    return found.select("id", "position", F.array_join(digits, ",").alias("embedding"))
 
 
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
