@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.operators import embed
@@ -79,18 +79,8 @@ def fit_pooling(rows: DataFrame, vectors: str, path: str, text: str = "text", ra
     return path
 
 
-def without_direction(vector: Column, direction: Column) -> Column:
-    """What is left of a vector once its part along a direction of length one is taken out."""
-    products = F.zip_with(vector, direction, lambda x, u: x.cast("double") * u)
-    along = F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
-    pairs = F.arrays_zip(vector.alias("x"), direction.alias("u"))
-    return F.transform(pairs, lambda p: (p["x"] - along * p["u"]).cast("float"))
-
-
 def pooled_vectors(rows: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Adds ``embedding``, the weighted mean of the words of a text column without the component that texts share.
     A text without a word (or NULL) gets the zero vector. No shuffle; serves streams."""
     direction = rows.sparkSession.read.parquet(f"{path}/component").first()["direction"]
-    means = embed.mean_vectors(rows, path, text)
-    shared = F.array(*[F.lit(float(u)) for u in direction])
-    return means.withColumn("embedding", without_direction(F.col("embedding"), shared))
+    return embed.mean_vectors(rows, path, text, direction)

@@ -288,3 +288,25 @@ def test_ghosts(spark, items):
     assert {(r.id, r.text) for r in jobs.prepare(raw, ".").collect()} == {(1, "a"), (None, ".")}
     assert jobs.prepare(raw).count() == 3
     assert jobs.prepare(raw, keep_ghosts=False).count() == 1
+
+
+def test_counting_sends_a_bucket_of_a_task_once(spark):
+    """Before, each task sent a row for each number of a bucket, and each word's hash was taken at all its places."""
+    rows = spark.createDataFrame([("a b a c " * 50,)] * 40, "text string").repartition(3)
+    counts = embed.neighbour_counts(rows, 8, 2)
+    sent = embed._bucket_counts(rows, 8, 2, embed.BUCKETS)
+    assert sent.count() <= 3 * 3
+    assert "md5" not in counts._jdf.queryExecution().toString()
+    assert counts.agg(F.sum("own")).first()[0] == 40 * 200
+    path = embed.vectors_of(counts, scratch_path(spark, "v"), 8)
+    found = {r.bucket: (r.n, r.vector) for r in spark.read.parquet(f"{path}/vectors").collect()}
+    whole = embed.load_vectors(spark, embed.fit_vectors(rows, scratch_path(spark, "v"), 8)).table.collect()
+    assert found == {r.bucket: (r.n, r.vector) for r in whole}
+
+
+def test_document_values_are_read_line_by_line(spark, small):
+    """As parquet, thousands of values of any length were in memory at a time."""
+    from quillstream.plans import registry
+
+    files = registry.document_job(spark, small).inputFiles()
+    assert files and all(".txt" in f for f in files)

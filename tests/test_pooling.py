@@ -84,3 +84,10 @@ def test_texts_without_words(spark, fitted, tmp_path):
     empty = pooling.fit_pooling(odd.limit(0), vectors, scratch_path(spark, "pooling"))
     assert not any(spark.read.parquet(f"{empty}/component").first()["direction"])
     assert pooling.pooled_vectors(odd, empty).count() == 3
+
+
+def test_the_shared_part_is_found_once_a_row(spark, fitted):
+    """It was an aggregate inside a lambda, once for each number of a vector."""
+    rows, _, path = fitted
+    plan = pooling.pooled_vectors(rows.select("text"), path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == rows.select("text")._jdf.queryExecution().optimizedPlan().toString().count("aggregate(")
