@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,11 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstream.llm.words import chunks, coded_words, row_sums
-from quillstream.session import ship_package
-
-# Labelled documents that the model is fitted on, about, half of each label; and pairs of them.
-SAMPLE_ROWS = 20_000
-PAIRS = 60_000
+from quillstream.session import scratch_path, ship_package
+
+# Places on the scale of strengths between which the losses of all pairs are interpolated, and the fewer ones by
+# which the curvature takes documents together.
+GRID = 1 << 15
+COARSE = 256
+RIDGE = 1e-3
+MOST_ROUNDS = 50
+TOLERANCE = 1e-7
+# Strengths that the driver sorts at most, to find the one of a rank.
+SORTED = 10_000
 # The score at the threshold strength, and how far scores spread around it.
 CUT_SCORE = 0.3
 FOLDS = 5
@@ -117,38 +123,155 @@ class Ranker:
         return 1 / (1 + np.exp(-np.clip(self.slope * (self.strength(values) - self.cut) + start, -30, 30)))
 
 
-def fit_pairs(good: np.ndarray, bad: np.ndarray, share: float, pairs: int = PAIRS, ridge: float = 1e-3) -> Ranker:
-    """Fit strengths so that a good document beats a bad one: logistic loss on differences of features,
-    by Newton's method. The threshold is the strength below which as large a share of labelled
-    documents lies as has label 0 (1 - share)."""
+def _totals(rows: DataFrame, add: Callable[[np.ndarray, np.ndarray, np.ndarray], None], size: int) -> np.ndarray:
+    """The sum over all rows of ``size`` numbers, which ``add`` adds to an array from features and labels. A task
+    sends that many at most, however many rows it has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                add(_values(batch), batch.column("label").to_numpy(), total)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int64()), pa.array(total[met])], ["place", "x"])
+
+    total = np.zeros(size)
+    for row in rows.mapInArrow(run, "place long, x double").groupBy("place").agg(F.sum("x").alias("x")).collect():
+        total[row["place"]] = row["x"]
+    return total
+
+
+def _values(batch: pa.RecordBatch) -> np.ndarray:
+    return pc.list_flatten(batch.column("features")).to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _losses(counts: np.ndarray, step: float) -> tuple[np.ndarray, np.ndarray]:
+    """For documents at each place of the grid: how often, as a sum of probabilities, they lose against those
+    counted at all places, and the derivative of that."""
+    gaps = np.arange(-(GRID - 1), GRID) * step
+    odds = 1 / (1 + np.exp(np.clip(gaps, -500, 500)))
+    n = 4 * GRID
+    of = np.fft.rfft(counts, n)
+
+    def met(kernel: np.ndarray) -> np.ndarray:
+        return np.fft.irfft(of * np.fft.rfft(kernel, n), n)[GRID - 1 : 2 * GRID - 1]
+
+    return met(odds), met(odds * (1 - odds))
+
+
+def fit_pairs(rows: DataFrame, pairs: tuple[int, int], ridge: float = RIDGE) -> Ranker:
+    """Fit strengths so that a good document beats a bad one: the mean logistic loss of all pairs of a good and a
+    bad document, by Newton's method. ``rows`` holds features and label of every document, ``pairs`` the numbers
+    of good and bad ones. The threshold is the strength below which as many documents lie as have label 0.
+
+    A document's part in the gradient depends only on its strength and on those of the other label. So a round
+    counts the strengths of both labels on a grid, and then adds up the documents by what the grid tells of all
+    their pairs: two aggregates, in proportion to the documents and not to the pairs.
+    """
     width = len(FEATURES)
-    both = np.concatenate([good, bad]) if len(good) + len(bad) else np.zeros((1, width))
-    mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-6)
-    if not len(good) or not len(bad):
-        return Ranker(mean, scale, np.zeros(width), 0.0, 1.0, share)
-    g, b = (np.clip((x - mean) / scale, -8, 8) for x in (good, bad))
-    # Every document meets others at steps that go round both lists.
-    turn = np.arange(min(pairs, len(g) * len(b)))
-    difference = g[turn % len(g)] - b[(turn // len(g) + turn) % len(b)]
+    n_good, n_bad = pairs
+    share = n_good / (n_good + n_bad) if n_good + n_bad else 0.5
+    none = Ranker(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 1.0, share)
+    if not n_good or not n_bad:
+        return none
+
+    def add_values(x: np.ndarray, label: np.ndarray, total: np.ndarray) -> None:
+        total += x.sum(axis=0)
+
+    mean = _totals(rows, add_values, width) / (n_good + n_bad)
+
+    def add_squares(x: np.ndarray, label: np.ndarray, total: np.ndarray) -> None:
+        total += ((x - mean) ** 2).sum(axis=0)
+
+    scale = np.maximum(np.sqrt(_totals(rows, add_squares, width) / (n_good + n_bad)), 1e-6)
+
+    def scaled(x: np.ndarray) -> np.ndarray:
+        return np.clip((x - mean) / scale, -8, 8)
+
     weights = np.zeros(width)
-    for _ in range(50):
-        wins = 1 / (1 + np.exp(-np.clip(difference @ weights, -30, 30)))
-        gradient = difference.T @ (wins - 1) / len(turn) + ridge * weights
-        curve = (difference.T * (wins * (1 - wins))) @ difference / len(turn) + ridge * np.eye(width)
-        step = np.linalg.solve(curve, gradient)
-        step *= min(1.0, 4.0 / max(np.linalg.norm(step), 1e-12))
-        weights -= step
-        if np.abs(step).max() < 1e-8:
+    for _ in range(MOST_ROUNDS):
+        # No strength is beyond this.
+        most = max(8 * np.abs(weights).sum(), 1.0)
+        step = 2 * most / (GRID - 2)
+
+        def placed(z: np.ndarray, weights=weights, most=most, step=step) -> tuple[np.ndarray, np.ndarray]:  # noqa: ANN001
+            at = (z @ weights + most) / step
+            low = np.clip(at.astype(np.int64), 0, GRID - 2)
+            return low, at - low
+
+        def add_places(x: np.ndarray, label: np.ndarray, total: np.ndarray, placed=placed) -> None:  # noqa: ANN001
+            low, part = placed(scaled(x))
+            first = np.where(label == 1, 0, GRID) + low
+            np.add.at(total, first, 1 - part)
+            np.add.at(total, first + 1, part)
+
+        counts = _totals(rows, add_places, 2 * GRID).reshape(2, GRID)
+        # Against the bad for a good one, against the good (the other way round) for a bad one.
+        good_loss, good_curve = _losses(counts[1], step)
+        bad_loss, bad_curve = (v[::-1] for v in _losses(counts[0][::-1], step))
+        tables = np.stack([good_loss, bad_loss, good_curve, bad_curve]) / (n_good * n_bad)
+
+        def add_sums(x: np.ndarray, label: np.ndarray, total: np.ndarray, placed=placed, tables=tables) -> None:  # noqa: ANN001
+            z = scaled(x)
+            low, part = placed(z)
+            of = np.where(label == 1, 0, 1)
+            loss, curve = (
+                tables[k + of, low] * (1 - part) + tables[k + of, low + 1] * part for k in (0, 2)
+            )
+            total[:width] += np.where(of == 0, -loss, loss) @ z
+            total[width : width + width * width] += ((z * curve[:, None]).T @ z).ravel()
+            bins = (of * COARSE + low * COARSE // GRID)[:, None] * width + np.arange(width)
+            np.add.at(total, width + width * width + bins, z)
+
+        sums = _totals(rows, add_sums, width + width * width + 2 * COARSE * width)
+        gradient = sums[:width] + ridge * weights
+        good, bad = sums[width + width * width :].reshape(2, COARSE, width)
+        gaps = (np.arange(COARSE)[:, None] - np.arange(COARSE)) * (step * GRID / COARSE)
+        odds = 1 / (1 + np.exp(np.clip(gaps, -500, 500)))
+        across = good.T @ (odds * (1 - odds)) @ bad / (n_good * n_bad)
+        curve = sums[width : width + width * width].reshape(width, width) - across - across.T
+        # Taken together by strength, pairs may seem to curve the other way a little.
+        values, vectors = np.linalg.eigh((curve + curve.T) / 2)
+        change = vectors @ ((vectors.T @ gradient) / (np.maximum(values, 0) + ridge))
+        change *= min(1.0, 4.0 / max(np.linalg.norm(change), 1e-12))
+        weights = weights - change
+        if np.abs(change).max() < TOLERANCE:
             break
-    strengths = np.concatenate([g @ weights, b @ weights])
-    mass = np.concatenate([np.full(len(g), share / len(g)), np.full(len(b), (1 - share) / len(b))])
-    order = np.argsort(strengths, kind="stable")
-    below = np.cumsum(mass[order])
-    at = int(np.searchsorted(below, 1 - share - 1e-9))
-    at = min(max(at, 0), len(order) - 2)
-    cut = float(strengths[order[at]] + strengths[order[at + 1]]) / 2
-    spread = float(np.median(g @ weights) - np.median(b @ weights))
-    return Ranker(mean, scale, weights, cut, 8.0 / max(spread, 1e-6), share)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                strength = pa.array(scaled(_values(batch)) @ weights)
+                yield pa.RecordBatch.from_arrays([batch.column("label").cast(pa.int32()), strength], ["label", "s"])
+
+    spark = rows.sparkSession
+    stored = scratch_path(spark, "strengths")
+    rows.mapInArrow(run, "label int, s double").write.parquet(stored)
+    strengths = spark.read.parquet(stored)
+    cut = (_of_rank(strengths, n_bad - 1) + _of_rank(strengths, n_bad)) / 2
+    good, bad = (
+        (_of_rank(own, (n - 1) // 2) + _of_rank(own, n // 2)) / 2
+        for own, n in ((strengths.where("label = 1"), n_good), (strengths.where("label = 0"), n_bad))
+    )
+    return Ranker(mean, scale, weights, cut, 8.0 / max(good - bad, 1e-6), share)
+
+
+def _of_rank(strengths: DataFrame, rank: int) -> float:
+    """The strength of a rank, from 0: counted by bins of equal width, then within the bin that holds it, until
+    the driver can sort what is left."""
+    low, high, n = strengths.agg(F.min("s"), F.max("s"), F.count("s")).first()
+    while low < high and n > SORTED:
+        inside = strengths.where(F.col("s").between(low, high))
+        place = F.least(F.floor((F.col("s") - low) / (high - low) * 4096), F.lit(4095)).alias("bin")
+        found = inside.groupBy(place).agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count("s").alias("n"))
+        for row in found.orderBy("bin").collect():
+            if rank < row["n"]:
+                break
+            rank -= row["n"]
+        low, high, n = row["low"], row["high"], row["n"]
+    if low == high:
+        return low
+    return sorted(r["s"] for r in strengths.where(F.col("s").between(low, high)).collect())[rank]
 
 
 def fold(column: str) -> Column:
@@ -162,43 +285,34 @@ def fit_ranker(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
-    sample_rows: int = SAMPLE_ROWS,
 ) -> Ranker:
-    """Fit on about sample_rows labelled documents outside the held-out fold, half of each label,
-    chosen by a hash of the id. A null label counts for nothing; of several labels of a document the
-    smallest counts."""
-    ship_package(docs.sparkSession)
+    """Fit on all labelled documents outside the held-out fold. A null label counts for nothing; of several
+    labels of a document the smallest counts."""
+    spark = docs.sparkSession
+    ship_package(spark)
     known = (
         labels.filter(F.col(label_col).isin(0, 1) & (fold(id_col) != 0))
         .groupBy(F.col(id_col).alias("of"))
         .agg(F.min(label_col).alias("label"))
     )
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    share = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
-    drawn = F.lit(False)
-    for label, n in counts.items():
-        part = int(min(1.0, sample_rows / 2 / n) * (1 << 30))
-        drawn |= (F.col("label") == label) & (F.pmod(F.xxhash64("of"), F.lit(1 << 30)) < part)
-    # About sample_rows ids of a few bytes each.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(known.filter(drawn)), F.col("id") == F.col("of")
-    )
+    texts = docs.where(fold(id_col) != 0).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             values = features(chunk.column("text"))
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column("of"), chunk.column("label"), pa.array(list(values), pa.list_(pa.float64()))],
-                ["of", "label", "features"],
-            )
+            ends = np.arange(chunk.num_rows + 1, dtype=np.int32) * values.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
+            yield pa.RecordBatch.from_arrays([chunk.column("id"), lists], ["id", "features"])
 
-    rows = texts.select("of", "label", "text")
-    schema = rows.select("of", "label", F.array(F.lit(0.0)).alias("features")).schema
+    # Features are joined, not texts: a tenth of their bytes.
+    schema = texts.select("id", F.array(F.lit(0.0)).alias("features")).schema
+    found = texts.mapInArrow(run, schema).join(known, F.col("id") == F.col("of"))
     # One row for each id, however often a document is repeated.
-    found = rows.mapInArrow(run, schema).groupBy("of", "label").agg(F.min("features").alias("features")).collect()
-    found.sort(key=lambda r: r["of"])
-    by_label = [np.array([r["features"] for r in found if r["label"] == k]).reshape(-1, len(FEATURES)) for k in (1, 0)]
-    return fit_pairs(*by_label, share)
+    stored = scratch_path(spark, "labelled-features")
+    found.groupBy("of", "label").agg(F.min("features").alias("features")).write.parquet(stored)
+    rows = spark.read.parquet(stored).select("features", "label")
+    met = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    return fit_pairs(rows, (met.get(1, 0), met.get(0, 0)))
 
 
 def quality_scores(
