@@ -3,7 +3,9 @@
 What the models are fitted on are sums over items: in how many each term is, how often words are near each
 other, the moments of each class. A batch adds its own sums as a folder, and a manifest that names the
 folder under the batch's number makes them count. A batch that runs again finds its number and changes
-nothing. Folding replaces the folders by one of their sums, and remembers up to which batch it goes.
+nothing. Folding replaces the folders by one of their sums, and remembers up to which batch it goes. While a
+stream grows, batches are folded into parts, and a part into a later one that is as large, so a row is written
+again only as often as the number of batches doubles.
 """
 
 from __future__ import annotations
@@ -21,11 +23,13 @@ from quillstream.sources.snapshots import DATA, Store
 
 @dataclass(frozen=True)
 class Sums:
-    """base: folder of all that was folded; totals: numbers of the whole; through: for each source the last
-    batch in the base; batches: for each source and number of a later batch, its folder."""
+    """base: folder of all that was folded as a whole; parts: folders of what was folded since, the oldest and
+    largest first, with the number of batches in each; totals: numbers of the whole; through: for each source the
+    last batch that was folded; batches: for each source and number of a later batch, its folder."""
 
     version: int = 0
     base: str | None = None
+    parts: list[list] = field(default_factory=list)
     totals: dict[str, int] = field(default_factory=dict)
     through: dict[str, int] = field(default_factory=dict)
     batches: dict[str, dict[str, str]] = field(default_factory=dict)
@@ -35,7 +39,8 @@ class Sums:
 
     def folders(self) -> set[str]:
         """All that hold rows; ``expire`` asks for it too."""
-        return {f for own in self.batches.values() for f in own.values()} | ({self.base} if self.base else set())
+        folded = {f for f, _ in self.parts} | ({self.base} if self.base else set())
+        return folded | {f for own in self.batches.values() for f in own.values()}
 
 
 class SumState:
@@ -75,38 +80,46 @@ class SumState:
         self.store.commit(change)
         return added[0]
 
-    def _summed(self, now: Sums) -> DataFrame:
-        folders = sorted(now.folders())
+    def _summed(self, folders: set[str], folded: str | None = None) -> DataFrame:
         if not folders:
             return self.store.spark.createDataFrame([], self.schema)
-        rows = self.store.spark.read.schema(self.schema).parquet(*map(self._path, folders))
-        if not now.batches:
+        rows = self.store.spark.read.schema(self.schema).parquet(*map(self._path, sorted(folders)))
+        if folders == {folded}:
             return rows
         return rows.groupBy(*self.keys).agg(*[F.sum(c).cast(self.schema[c].dataType).alias(c) for c in self.sums])
 
     def table(self) -> DataFrame:
         """The sums of all batches. Just folded, they are read without a shuffle."""
-        return self._summed(self.now())
+        now = self.now()
+        return self._summed(now.folders(), now.base)
 
     def totals(self) -> dict[str, int]:
         return self.now().totals
 
-    def fold(self) -> None:
-        """Put the sums of all batches so far into one folder. Batches that are added meanwhile stay apart."""
+    def fold(self, whole: bool = True) -> None:
+        """Put the sums of all batches so far into one folder, or, unless ``whole``, those of the batches that are
+        not folded yet and of the parts that have no more batches. Batches that are added meanwhile stay apart."""
         seen = self.now()
-        if not seen.batches:
+        if not seen.batches and not (whole and seen.parts):
             return
+        left_parts = [] if whole else list(seen.parts)
+        gone = {f for own in seen.batches.values() for f in own.values()}
+        n = len(gone)
+        while left_parts and left_parts[-1][1] <= n:
+            part, own = left_parts.pop()
+            gone, n = gone | {part}, n + own
         folder = uuid.uuid4().hex
-        self._summed(seen).write.parquet(self._path(folder))
+        self._summed(seen.folders() if whole else gone).write.parquet(self._path(folder))
 
         def change(now: Sums) -> Sums:
-            if now.base != seen.base:
+            if (now.base, now.parts) != (seen.base, seen.parts):
                 return now  # somebody else folded
             left = {s: {n: f for n, f in own.items() if n not in seen.batches.get(s, {})} for s, own in now.batches.items()}
             through = dict(now.through)
             for source, own in seen.batches.items():
                 through[source] = max([through.get(source, -1), *map(int, own)])
-            return replace(now, base=folder, through=through, batches={s: own for s, own in left.items() if own})
+            folded = {"base": folder, "parts": []} if whole else {"parts": [*left_parts, [folder, n]]}
+            return replace(now, **folded, through=through, batches={s: own for s, own in left.items() if own})
 
         self.store.commit(change)
 
@@ -159,11 +172,12 @@ class GrowingClassifier:
 
 
 def grow(items: DataFrame, model: GrowingIdf | GrowingVectors, checkpoint: str, fold_every: int = 64) -> DataStreamWriter:
-    """Add every batch of a stream of items to a model, once, whatever fails; fold every so many batches."""
+    """Add every batch of a stream of items to a model, once, whatever fails; fold every so many batches into a
+    part, so the rewriting does not grow with the square of the stream."""
 
     def add(batch: DataFrame, number: int) -> None:
         model.add(batch, number)
         if number % fold_every == fold_every - 1:
-            model.state.fold()
+            model.state.fold(whole=False)
 
     return items.writeStream.outputMode("append").foreachBatch(add).option("checkpointLocation", checkpoint)

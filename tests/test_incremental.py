@@ -115,3 +115,22 @@ def test_a_stream_grows_a_model(spark, items, tmp_path):
         io.drain(incremental.grow(stream, model, f"{tmp_path}/checkpoint", fold_every=2))
     assert model.state.now().through == {"stream": 1}
     assert idf_rows(model.save(f"{tmp_path}/idf"), spark) == idf_rows(terms.fit_idf(items, scratch_path(spark, "idf")), spark)
+
+
+def test_a_growing_model_is_not_rewritten_at_every_fold(spark, monkeypatch):
+    """Folding all of it each time writes the square of the batches."""
+    model = incremental.GrowingIdf(spark, scratch_path(spark, "state"))
+    folded = []
+    summed = incremental.SumState._summed
+    monkeypatch.setattr(incremental.SumState, "_summed", lambda self, folders, *a: folded.append(len(folders)) or summed(self, folders, *a))
+    for number in range(8):
+        model.add(spark.createDataFrame([([f"own{number}", "shared"],)], "tokens array<string>"), number)
+        if number % 2:
+            model.state.fold(whole=False)
+    assert folded == [2, 3, 2, 4] and [n for _, n in model.state.now().parts] == [8]
+    assert model.state.now().through == {"stream": 7} and not model.state.now().batches
+    model.add(spark.createDataFrame([(["shared"],)], "tokens array<string>"), 8)
+    found = {r.term: r.df for r in model.save(scratch_path(spark, "idf")).read(spark).collect()}
+    assert found == {"shared": 9} | {f"own{k}": 1 for k in range(8)}
+    model.state.fold()
+    assert model.state.now().parts == [] and len(model.state.now().folders()) == 1
