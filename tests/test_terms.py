@@ -126,3 +126,22 @@ def test_tf_idf_by_a_shuffle(spark, items, monkeypatch):
     monkeypatch.setattr(terms, "BROADCAST_BYTES", 0)
     assert sorted(map(tuple, terms.tf_idf(items, fitted).collect())) == expected
     assert fitted.n_pairs == len(expected)
+
+
+def test_a_batch_does_not_shuffle_a_large_table(spark, monkeypatch):
+    """The table went through a shuffle for every batch of a stream."""
+    from quillstream.operators import terms
+    from quillstream.session import scratch_path
+
+    past = spark.createDataFrame([(k, [f"w{k % 7}", f"own{k}", "the"]) for k in range(60)], "id long, tokens array<string>")
+    fitted = terms.fit_idf(past, scratch_path(spark, "idf"))
+    now = spark.createDataFrame([(1, ["the", "w3", "w3", "new"]), (2, ["own5", ""])], "id long, tokens array<string>")
+    small = {tuple(r) for r in terms.tf_idf(now, fitted).collect()}
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", 2000)
+    assert fitted.n_bytes > 2000
+    found = terms.tf_idf(now, fitted, batch=True)
+    assert {tuple(r) for r in found.collect()} == small
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", 0)
+    assert {tuple(r) for r in terms.tf_idf(now, fitted, batch=True).collect()} == small
