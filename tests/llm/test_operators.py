@@ -646,3 +646,36 @@ def test_lines_that_share_a_bit_with_a_frequent_one(spark, monkeypatch):
     cleaned, _ = lines.clean_lines(df)
     for r in cleaned.collect():
         assert r["text"] == docs[r["id"]][1].removesuffix(shared)
+
+
+def test_strengths_come_from_all_pairs(spark):
+    """120,000 pairs, of which 60,000 were taken; against the loss of all of them, pair by pair."""
+    rng = np.random.default_rng(3)
+    width = len(quality.FEATURES)
+    good, bad = rng.normal(0.4, 1, (400, width)), rng.normal(0, 1.3, (300, width))
+    rows = [(x.tolist(), label) for part, label in ((good, 1), (bad, 0)) for x in part]
+    table = spark.createDataFrame(rows, "features array<double>, label int").repartition(3)
+    ranker = quality.fit_pairs(table, (400, 300))
+    both = np.concatenate([good, bad])
+    mean, scale = both.mean(axis=0), both.std(axis=0)
+    assert np.allclose(ranker.mean, mean) and np.allclose(ranker.scale, scale)
+    g, b = (np.clip((x - mean) / scale, -8, 8) for x in (good, bad))
+    difference = (g[:, None] - b[None]).reshape(-1, width)
+    weights = np.zeros(width)
+    for _ in range(20):
+        wins = 1 / (1 + np.exp(-difference @ weights))
+        gradient = difference.T @ (wins - 1) / len(difference) + quality.RIDGE * weights
+        curve = (difference.T * (wins * (1 - wins))) @ difference / len(difference) + quality.RIDGE * np.eye(width)
+        weights -= np.linalg.solve(curve, gradient)
+    assert np.abs(ranker.weights - weights).max() < 1e-3
+    strengths = np.sort(np.concatenate([g, b]) @ ranker.weights)
+    assert abs(ranker.cut - (strengths[299] + strengths[300]) / 2) < 1e-9
+    assert ranker.share == 4 / 7
+
+
+def test_strength_of_a_rank(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SORTED", 3)
+    values = [0.5] * 40 + [k / 7 for k in range(-30, 30)] + [0.5000001, 1e6]
+    table = spark.createDataFrame([(v,) for v in values], "s double").repartition(3)
+    for rank in (0, 33, 50, 100, 101):
+        assert quality._of_rank(table, rank) == sorted(values)[rank]
