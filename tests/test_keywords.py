@@ -7,7 +7,9 @@ from collections import Counter, defaultdict
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 
+from quillstream.functions import keywords as module
 from quillstream.functions.keywords import ACRONYM, CAPITAL, keywords
 from quillstream.functions.stopwords import ENGLISH
 from quillstream.functions.text import TOKEN
@@ -127,3 +129,31 @@ def test_no_shuffle(spark):
     rows = annotate.with_tokens(annotate.with_sentences(annotate.with_document(rows)))
     plan = rows.select(keywords("token").alias("k"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_words_are_not_looked_at_by_interpreted_lambdas(spark):
+    rows = spark.createDataFrame([(1, "A b. C")], "id bigint, text string")
+    rows = annotate.with_tokens(annotate.with_sentences(annotate.with_document(rows)))
+    # What runs inside Spark for the keywords, beside the tokens: one pass, and no sort.
+    plan = rows.select(keywords("token").alias("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" not in plan
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_missing_tokens_and_slices(spark, monkeypatch):
+    texts = ["Big data. Big data.", None, "", "Ein ΣΙΣΥΦΟΣ, İstanbul 7 x-ray's NASA data " * 3, "... ok fine"] * 4
+    whole = extract(spark, texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    rows = annotate.with_tokens(annotate.with_sentences(annotate.with_document(rows)))
+    none = rows.withColumn("token", F.when(F.col("id") % 2 == 0, F.col("token")))
+    got = {r.id: r.keywords for r in annotate.with_keywords(none).collect()}
+    assert got == {i: r.keywords if i % 2 == 0 else None for i, r in whole.items()}
+    assert len(got[0]) > 0
+    # However a batch is cut, each row keeps its own keywords, with places from its first token on.
+    said = rows.select(F.expr(module._said("token")).alias("t")).toArrow().column("t").combine_chunks()
+    once = module._ranked(said, (2, 3), 0.6, 10, ENGLISH)
+    monkeypatch.setattr(module, "FLUSH_TOKENS", 10)
+    slices = list(module._slices(said))
+    assert len(slices) > 4
+    cut = [row for part in slices for row in module._ranked(part, (2, 3), 0.6, 10, ENGLISH).to_pylist()]
+    assert cut == once.to_pylist()
