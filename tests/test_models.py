@@ -331,3 +331,40 @@ def test_sentence_rows_take_little_disk(spark, small):
     files = registry.sentence_job(spark, small).inputFiles()
     assert files and all(f.endswith(".zstd.parquet") for f in files)
     assert spark.read.parquet(*files).count() == 200
+
+
+def test_words_are_hashed_together(monkeypatch):
+    """Before, word by word in Python, which took most of the time of the vectors."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(embed, "_KNOWN", {})
+    words = ["a", "", "é", "x" * 100, "日本", *[f"w{k}" for k in range(50)]]
+    expected = [int(hashlib.md5(w.encode()).hexdigest()[:13], 16) for w in words]
+    for known in (0, len(words) - 1):
+        assert len(embed._KNOWN) == known
+        assert embed._codes(pa.array(words)).tolist() == expected
+    assert embed._codes(pa.array(words).slice(2, 3)).tolist() == expected[2:5]
+    assert len(embed._codes(pa.array([], pa.string()))) == 0
+
+
+@pytest.mark.parametrize("longest", [4096, 3, 0])
+def test_means_of_long_and_empty_runs(monkeypatch, longest):
+    monkeypatch.setattr(embed, "RUN_CODES", longest)
+    vectors = (np.arange(-60, 60, dtype=np.float32) / 64).reshape(40, 3)
+    lengths = np.array([2, 0, 7, 1, 0, 3])
+    codes = np.arange(13) * 7 % 40
+    runs = np.split(codes, np.cumsum(lengths)[:-1])
+    expected = [vectors[r].astype(float).sum(axis=0) / max(len(r), 1) for r in runs]
+    assert embed._means(codes, lengths, vectors, 2).tolist() == np.float32(expected).tolist()
+    assert embed._means(codes[:0], lengths[:0], vectors, 2).shape == (0, 3)
+
+
+def test_vectors_as_text(spark):
+    """On Arrow batches as by Spark's own functions; before, it was done by lambdas that Spark interprets."""
+    numbers = [0.5, -0.25, 0.00005, -0.00005, 0.0, -0.0, 0.123456789, -0.3, 1.0]
+    rows = spark.createDataFrame([(numbers,), ([],), (None,), ([-1.0],)], "v array<float>")
+    down = F.array_join(F.transform("v", lambda x: F.floor(x.cast("double") * 1e6).cast("string")), ",")
+    near = F.transform("v", lambda x: F.round(x.cast("double") * 1e4).cast("long").cast("string"))
+    texts = embed.vector_text(1e6)("v"), embed.vector_text(1e4, rounded=True)("v")
+    for r in rows.select(down, texts[0], F.array_join(near, ","), texts[1]).collect():
+        assert r[0] == r[1] and r[2] == r[3]
