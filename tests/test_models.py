@@ -368,3 +368,48 @@ def test_vectors_as_text(spark):
     texts = embed.vector_text(1e6)("v"), embed.vector_text(1e4, rounded=True)("v")
     for r in rows.select(down, texts[0], F.array_join(near, ","), texts[1]).collect():
         assert r[0] == r[1] and r[2] == r[3]
+
+
+def test_a_vector_is_made_a_text_once_for_each_bucket(spark, items, models, monkeypatch):
+    """Before, for each token; and rows came text by text, of which equal vectors were far apart in the files."""
+    rows = annotate.with_tokens(annotate.with_document(items.select("id", "text")), units="document").cache()
+    plain = {(r.id, r.position): (r.token, r.embedding) for r in embed.token_vectors(rows, models.vectors).collect()}
+    found = embed.token_vectors(rows.coalesce(1), models.vectors, form=embed.vector_text(1e6))
+    got = found.collect()
+    for r in got:
+        token, vector = plain.pop((r.id, r.position))
+        assert r.token == token
+        assert r.embedding == ",".join(str(int(np.floor(float(x) * 1e6))) for x in vector)
+    assert not plain
+    words = [r.token.lower() for r in got]
+    assert sum(a != b for a, b in zip(words, words[1:], strict=False)) == len(set(words)) - 1
+    # In parts of few words the rows are the same.
+    monkeypatch.setattr(embed, "FLUSH_WORDS", 7)
+    again = embed.token_vectors(rows, models.vectors, form=embed.vector_text(1e6))
+    assert sorted(again.collect()) == sorted(got)
+
+
+def test_token_vectors_of_null_and_empty_texts(spark, models):
+    rows = spark.createDataFrame([("x", None), (None, "a B a"), ("y", "")], "id string, text string")
+    token = annotate.with_tokens(annotate.with_document(rows), units="document")
+    found = embed.token_vectors(token, models.vectors).collect()
+    assert sorted((r.id, r.position, r.token) for r in found) == [(None, 0, "a"), (None, 1, "B"), (None, 2, "a")]
+
+
+@pytest.mark.parametrize("most", [1000, 0])
+def test_labelled_texts_are_not_shuffled(spark, items, models, monkeypatch, most):
+    """Before, where the labels were too many for Spark to broadcast, all texts were sorted to meet them."""
+    monkeypatch.setattr(jobs, "BROADCAST_IDS", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        labels = items.where("id < 20").select("id", F.lit(1).alias("label"))
+        rows = jobs.labelled_vectors(items, labels.union(labels), models.vectors)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        expected = embed.mean_vectors(items.select("id", "text"), models.vectors)
+        if most:
+            expected = expected.where("id < 20")
+        expected = {r.id: r.embedding for r in expected.collect()}
+        assert {r.id: r.embedding for r in rows.collect()} == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
