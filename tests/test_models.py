@@ -413,3 +413,13 @@ def test_labelled_texts_are_not_shuffled(spark, items, models, monkeypatch, most
         assert {r.id: r.embedding for r in rows.collect()} == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_streams_of_annotated_items_have_settings_of_their_own(spark):
+    """Before, 2,000 whole rows waited beside each batch, gigabytes in all."""
+    names = list(io.ANNOTATED)
+    before = [spark.conf.get(n, None) for n in names]
+    with pytest.raises(ValueError, match="stop"), io.settings(spark, io.ANNOTATED):
+        assert [spark.conf.get(n) for n in names] == ["6", "200"]
+        raise ValueError("stop")
+    assert [spark.conf.get(n, None) for n in names] == before
